@@ -52,3 +52,5 @@ def lineitem_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Importing the query modules fills the registry.
 from candlewick.plans import q_analytics  # noqa: E402,F401
+from candlewick.plans import q_clean  # noqa: E402,F401
+from candlewick.plans import q_more  # noqa: E402,F401
