@@ -177,11 +177,12 @@ def inject_defects(
     flags: bool = False,
 ) -> DataFrame:
     """All steps in order. The row set after drop + duplicate is cut from its
-    lineage (shared checkpoint folder) because five picks re-read it."""
+    lineage (shared checkpoint folder) because the value picks re-read it, and
+    so is the result, which every profiling pass reads again."""
     base = with_uid(df)
     rows = cut_lineage(duplicate_rows(drop_rows(base, seed), seed))
     out = inject_values(rows, VALUE_STEPS, seed, symbols, flags=flags)
-    return out if keep_uid else out.drop(UID)
+    return cut_lineage(out if keep_uid else out.drop(UID))
 
 
 def injection_summary(df: DataFrame, seed: int = 42, symbols: Sequence[str] | None = SYMBOLS) -> DataFrame:

@@ -54,8 +54,13 @@ def _fmt6(c) -> Column:
 
 
 def sample_check_report(sample: DataFrame, n: int = 5) -> DataFrame:
-    """(seq, metric, value) report over a sample (bounded: n rows per symbol)."""
-    sample = ensure_candle_features(sample)
+    """(seq, metric, value) report over a sample (bounded: n rows per symbol).
+
+    The sample is materialised once (it is small) because five report parts
+    read it."""
+    from candlewick.session import cut_lineage
+
+    sample = cut_lineage(ensure_candle_features(sample))
     head = sample.agg(
         F.count(F.lit(1)).cast("string").alias("rows"),
         F.count_distinct("symbol").cast("string").alias("symbols"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,12 +44,18 @@ def ensure_test_checkpoint_dir(spark: SparkSession, fallback: str) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and return it.
-
-    Used between multi-pass stages so that a lost executor recomputes from the
-    checkpoint, not from the raw scan. Without a configured folder the plan is
-    returned unchanged (Spark then recomputes from lineage).
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    return a scan of it.
+
+    Used between multi-pass stages: later passes read the columnar table
+    (with column pruning) instead of recomputing the plan, and a lost executor
+    re-reads files instead of re-running the lineage. One write job, unlike
+    ``Dataset.checkpoint``, which computes an unpersisted plan twice. Without a
+    configured folder the plan is returned unchanged.
     """
-    if checkpoint_dir(df.sparkSession) is None:
+    root = checkpoint_dir(df.sparkSession)
+    if root is None:
         return df
-    return df.checkpoint(eager=True)
+    path = f"{root.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
