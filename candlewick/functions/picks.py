@@ -3,19 +3,18 @@
 ``exact_picks`` marks, for each tag, exactly ``k = min(max(minimum,
 floor(n * fraction)), n - cap_offset)`` rows: those with the smallest
 ``md5(seed|tag|uid)``. It equals ``row_number() OVER (ORDER BY md5(...)) <= k``
-but never sorts the table globally:
+but never sorts the table globally. The picked rows are exactly those with
+``hash <= T`` where ``T`` is the k-th smallest hash, and ``T`` is found as:
 
 1. one scan builds a histogram of the first 4 hex digits of every tag's hash
-   (at most 65,536 buckets per tag - a size fixed by construction, so it is
-   safe to broadcast);
-2. prefix sums over that histogram give, per tag, the buckets that are wholly
-   inside or outside the pick, and the single boundary bucket;
-3. only the boundary bucket's rows (about n / 65,536) are ranked, which yields
-   the hash threshold;
-4. a broadcast join of the per-bucket marks flags the rows.
+   (at most 65,536 buckets per tag - a size fixed by construction);
+2. prefix sums over that small histogram give each tag's count ``n``, its
+   ``k`` and the single bucket holding the k-th hash;
+3. only that bucket's rows (about n / 65,536) are ranked, giving ``T``.
 
-``uid`` must identify rows uniquely (ties at the threshold would otherwise
-all be picked).
+``T`` for all tags is one scalar subquery (a map tag -> T), so the outer query
+is a plain projection: no join, no shuffle of the table itself.
+``uid`` must identify rows uniquely (ties at ``T`` would all be picked).
 """
 
 from __future__ import annotations
@@ -38,22 +37,14 @@ def pick_size(n: Column, fraction: float, minimum: int, cap_offset: int = 0) ->
     )
 
 
-def exact_picks(
-    df: DataFrame,
-    uid: str | Column,
-    seed,
-    specs: Mapping[str, tuple[float, int, int]],
-    prefix: str = "_pick_",
+def pick_thresholds(
+    df: DataFrame, uid: Column, seed, specs: Mapping[str, tuple[float, int, int]]
 ) -> DataFrame:
-    """Add one boolean column ``prefix + tag`` per ``specs[tag] = (fraction, minimum, cap_offset)``."""
-    uid_col = F.col(uid) if isinstance(uid, str) else uid
+    """One row per tag with a pick: (tag, threshold hash T)."""
     tags = list(specs)
-    hcols = {f"_h_{t}": row_hash(seed, t, uid_col) for t in tags}
-    hashed = df.withColumns(hcols)
-
-    long = hashed.select(
+    long = df.select(
         F.explode(
-            F.array(*[F.struct(F.lit(t).alias("tag"), F.col(f"_h_{t}").alias("h")) for t in tags])
+            F.array(*[F.struct(F.lit(t).alias("tag"), row_hash(seed, t, uid).alias("h")) for t in tags])
         ).alias("x")
     ).select(F.col("x.tag").alias("tag"), F.col("x.h").alias("h"))
     long = long.withColumn("b", F.substring("h", 1, BUCKET_HEX))
@@ -71,35 +62,34 @@ def exact_picks(
         .withColumn("_k", k)
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )
-    boundary = hist.filter((F.col("_start") < F.col("_k")) & (F.col("_end") > F.col("_k"))).select(
-        "tag", "b", "_start", "_k"
+    # The bucket holding the k-th smallest hash: start < k <= end (none if k = 0).
+    boundary = hist.filter((F.col("_start") < F.col("_k")) & (F.col("_end") >= F.col("_k"))).select(
+        "tag", "b", (F.col("_k") - F.col("_start")).alias("_need")
     )
     ranked = long.join(F.broadcast(boundary), ["tag", "b"]).withColumn(
         "_rn", F.row_number().over(Window.partitionBy("tag", "b").orderBy("h"))
     )
-    thresholds = (
-        ranked.filter(F.col("_start") + F.col("_rn") <= F.col("_k"))
-        .groupBy("tag", "b")
-        .agg(F.max("h").alias("_thr"))
-    )
-    marks = hist.join(thresholds, ["tag", "b"], "left").select("tag", "b", "_end", "_k", "_thr")
+    return ranked.filter(F.col("_rn") == F.col("_need")).select("tag", F.col("h").alias("threshold"))
+
 
-    out = hashed
-    for t in tags:
-        m = marks.filter(F.col("tag") == t).select(
-            F.col("b").alias(f"_b_{t}"),
-            F.col("_end").alias(f"_e_{t}"),
-            F.col("_k").alias(f"_k_{t}"),
-            F.col("_thr").alias(f"_t_{t}"),
-        )
-        out = out.withColumn(f"_b_{t}", F.substring(f"_h_{t}", 1, BUCKET_HEX)).join(
-            F.broadcast(m), f"_b_{t}", "left"
-        )
-        out = out.withColumn(
-            prefix + t,
-            F.coalesce(
-                (F.col(f"_e_{t}") <= F.col(f"_k_{t}")) | (F.col(f"_h_{t}") <= F.col(f"_t_{t}")),
-                F.lit(False),
-            ),
-        ).drop(f"_b_{t}", f"_e_{t}", f"_k_{t}", f"_t_{t}")
-    return out.drop(*hcols)
+def exact_picks(
+    df: DataFrame,
+    uid: str | Column,
+    seed,
+    specs: Mapping[str, tuple[float, int, int]],
+    prefix: str = "_pick_",
+) -> DataFrame:
+    """Add one boolean column ``prefix + tag`` per ``specs[tag] = (fraction, minimum, cap_offset)``."""
+    uid_col = F.col(uid) if isinstance(uid, str) else uid
+    thresholds = pick_thresholds(df, uid_col, seed, specs)
+    tmap = thresholds.agg(
+        F.map_from_entries(F.collect_list(F.struct("tag", "threshold"))).alias("m")
+    ).scalar()
+    return df.withColumns(
+        {
+            prefix + t: F.coalesce(
+                row_hash(seed, t, uid_col) <= F.try_element_at(tmap, F.lit(t)), F.lit(False)
+            )
+            for t in specs
+        }
+    )

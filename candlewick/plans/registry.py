@@ -48,9 +48,3 @@ def event_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineitem_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return candles_from_lineitem(read_table(spark, sf_dir, "lineitem"))
-
-
-# Importing the query modules fills the registry.
-from candlewick.plans import q_analytics  # noqa: E402,F401
-from candlewick.plans import q_clean  # noqa: E402,F401
-from candlewick.plans import q_more  # noqa: E402,F401
