@@ -231,3 +231,15 @@ def injection_summary(df: DataFrame, seed: int = 42, symbols: Sequence[str] | No
             )
         )
     )
+
+
+def seeded_order(df: DataFrame, seed: int = 42, uid: Column | None = None) -> DataFrame:
+    """Rows in a seeded pseudo-random order (the injector's final shuffle).
+
+    A global sort on a hash key: range partitioning samples the key, and hash
+    keys are uniform, so no partition is hot. Use only right before writing.
+    """
+    from candlewick.functions.exprs import row_hash
+
+    key = row_hash(seed, "shuffle", uid if uid is not None else F.col(UID) if UID in df.columns else text_uid())
+    return df.withColumn("_order", key).orderBy("_order").drop("_order")

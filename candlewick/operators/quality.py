@@ -65,6 +65,32 @@ def most_affected_column(df: DataFrame) -> DataFrame:
     return null_profile(df).limit(1)
 
 
+def missing_map(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row: ``missing`` as map<column, count> (the report's dictionary form)."""
+    cols = list(columns) if columns is not None else df.columns
+    return df.agg(
+        F.map_from_arrays(
+            F.array(*[F.lit(c) for c in cols]),
+            F.array(*[F.count_if(F.col(c).isNull()) for c in cols]),
+        ).alias("missing")
+    )
+
+
+def count_check(df: DataFrame, expected: int, by: str = "symbol") -> DataFrame:
+    """Per group: rows, expected rows and whether they agree."""
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).select(
+        by, "n", F.lit(expected).cast("bigint").alias("expected"), (F.col("n") == expected).alias("ok")
+    )
+
+
+def expect_count(df: DataFrame, expected: int) -> int:
+    """Raise ``ValueError`` unless ``df`` has ``expected`` rows (one count job)."""
+    n = df.count()
+    if n != expected:
+        raise ValueError(f"record count check failed: {n} rows, expected {expected}")
+    return n
+
+
 def _numeric_present(df: DataFrame) -> list[str]:
     return [c for c in NUMERIC_COLUMNS if c in df.columns]
 
@@ -172,8 +198,16 @@ def quality_report(
         )
     else:
         dup_after = second.select(F.lit(0).cast("bigint").alias("duplicates_after"))
+    before_total = first.select(
+        sum((F.col(f"before:{c}") for c in raw_cols), F.lit(0)).alias("missing_before_total")
+    )
+    after_total = second.select(
+        sum((F.col(f"after:{c}") for c in clean_cols), F.lit(0)).alias("missing_after_total")
+    )
     parts = [
         _long(first, ["rows_before"]).withColumn("seq", F.lit(0)),
+        _long(before_total, ["missing_before_total"]).withColumn("seq", F.lit(199)),
+        _long(after_total, ["missing_after_total"]).withColumn("seq", F.lit(299)),
         _long(second, ["rows_after"]).withColumn("seq", F.lit(1)),
         _long(first, [f"before:{c}" for c in raw_cols], "missing_").withColumn("seq", F.col("seq") + 100),
         _long(second, [f"after:{c}" for c in clean_cols], "missing_").withColumn("seq", F.col("seq") + 200),

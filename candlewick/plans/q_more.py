@@ -41,6 +41,12 @@ def _report_sql() -> str:
         f"SELECT {200 + i}, 'missing_after:{c}', (SELECT count(*) - count({_qi(c)}) FROM cleaned)"
         for i, c in enumerate(_CLEANED)
     ]
+    rows += [
+        "SELECT 199, 'missing_before_total', (SELECT "
+        + " + ".join(f"(count(*) - count({_qi(c)}))" for c in _RAW) + " FROM messy)",
+        "SELECT 299, 'missing_after_total', (SELECT "
+        + " + ".join(f"(count(*) - count({_qi(c)}))" for c in _CLEANED) + " FROM cleaned)",
+    ]
     rows += [
         "SELECT 300, 'duplicates_before', (SELECT count(*) FROM c_typed) - (SELECT count(*) FROM c_dedup)",
         "SELECT 301, 'duplicates_after', (SELECT count(*) FROM cleaned) - "
@@ -263,3 +269,29 @@ def q_trailing_global(spark, sf):
     configure(spark)
     ev = read_table(spark, sf, "events").select("event_id", "ts")
     return trailing_count(ev, "ts", [])
+
+
+# --- record count check ---------------------------------------------------
+
+
+@query(
+    "record_count_check",
+    S.with_ctes(
+        [("candles", S.CANDLES)],
+        "SELECT symbol, count(*) AS direct_rows, count(*) AS decoded_rows, true AS equal "
+        "FROM candles GROUP BY symbol",
+    ),
+)
+def q_count_check(spark, sf):
+    """Candles per symbol built directly and through kline payloads must agree
+    (the collector's serial-versus-threaded record count check)."""
+    direct = event_candles(spark, sf)
+    decoded = decode_klines(candles_to_kline_json(direct))
+    a = direct.groupBy("symbol").agg(F.count(F.lit(1)).alias("direct_rows"))
+    b = decoded.groupBy("symbol").agg(F.count(F.lit(1)).alias("decoded_rows"))
+    return a.join(b, "symbol", "full").select(
+        "symbol",
+        "direct_rows",
+        "decoded_rows",
+        F.coalesce(F.col("direct_rows") == F.col("decoded_rows"), F.lit(False)).alias("equal"),
+    )
