@@ -24,10 +24,12 @@ SELECT symbol, '1h' AS "interval", open_time, open, high, low, close, volume,
 FROM (
   SELECT upper(event_type) || 'USDT' AS symbol,
          date_trunc('hour', ts) AS open_time,
-         arg_min(value, {'t': ts, 'i': event_id}) AS open,
+         arg_min(value, (epoch_us(ts) - epoch_us(date_trunc('hour', ts))) * 2147483648
+                        + (event_id % 2147483648)) AS open,
          max(value) AS high,
          min(value) AS low,
-         arg_max(value, {'t': ts, 'i': event_id}) AS close,
+         arg_max(value, (epoch_us(ts) - epoch_us(date_trunc('hour', ts))) * 2147483648
+                        + (event_id % 2147483648)) AS close,
          CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS volume,
          CAST(sum(CAST(value AS DECIMAL(18,2))
                   * CAST(json_extract_string(props, '$.k') AS BIGINT)) AS DOUBLE) AS quote_volume,
@@ -42,10 +44,12 @@ SELECT symbol, '1d' AS "interval", open_time, open, high, low, close, volume,
 FROM (
   SELECT l_returnflag || l_linestatus || 'USDT' AS symbol,
          date_trunc('day', l_shipdate) AS open_time,
-         arg_min(l_extendedprice, {'o': l_orderkey, 'n': l_linenumber, 'p': l_extendedprice}) AS open,
+         arg_min(l_extendedprice, (l_orderkey * 8 + l_linenumber) * 1048576
+                 + (CAST(round(l_extendedprice * 100.0) AS BIGINT) % 1048576)) AS open,
          max(l_extendedprice) AS high,
          min(l_extendedprice) AS low,
-         arg_max(l_extendedprice, {'o': l_orderkey, 'n': l_linenumber, 'p': l_extendedprice}) AS close,
+         arg_max(l_extendedprice, (l_orderkey * 8 + l_linenumber) * 1048576
+                 + (CAST(round(l_extendedprice * 100.0) AS BIGINT) % 1048576)) AS close,
          CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS volume,
          CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))
                   * (1 - CAST(l_discount AS DECIMAL(18,2)))) AS DOUBLE) AS quote_volume,

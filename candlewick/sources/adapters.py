@@ -22,17 +22,25 @@ def candles_from_events(events: DataFrame) -> DataFrame:
     """One hourly candle per (event_type, hour of ts).
 
     symbol = upper(event_type) || 'USDT'; open/close = value of the first/last
-    event (by ts, then event_id); high/low = max/min value; volume = sum(value);
-    quote_volume = sum(value * props.k); trade_count = number of events.
-    Sums are exact decimals, so they do not depend on the summation order.
+    event; high/low = max/min value; volume = sum(value); quote_volume =
+    sum(value * props.k); trade_count = number of events. Sums are exact
+    decimals, so they do not depend on the summation order.
+
+    "First" orders by one packed long, ``EVENT_ORDER``: the microsecond offset
+    inside the hour (< 2^32) times 2^31 plus ``event_id mod 2^31`` as the tie
+    break. A long key keeps ``min_by``/``max_by`` in a hash aggregate (a struct
+    key forces a sort aggregate, about 3x slower).
     """
     value = F.col("value").cast("decimal(18,2)")
     k = F.get_json_object("props", "$.k").cast("bigint")
-    order = F.struct(F.col("ts"), F.col("event_id"))
+    hour = F.date_trunc("hour", "ts")
+    order = F.expr("timestampdiff(MICROSECOND, date_trunc('hour', ts), ts)") * F.lit(
+        2**31
+    ) + F.pmod(F.col("event_id"), F.lit(2**31))
     agg = (
         events.select(
             F.concat(F.upper("event_type"), F.lit("USDT")).alias("symbol"),
-            F.date_trunc("hour", "ts").alias("open_time"),
+            hour.alias("open_time"),
             F.col("value"),
             value.alias("value_dec"),
             (value * k).alias("quote_dec"),
@@ -68,10 +76,14 @@ def candles_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """One daily candle per (returnflag || linestatus, ship date) of ``lineitem``.
 
     Prices are ``l_extendedprice``, volume is ``l_quantity``, quote volume is
-    ``l_extendedprice * (1 - l_discount)``; first/last by (orderkey, linenumber, price) —
-    the key pair alone is not unique in the generated data.
+    ``l_extendedprice * (1 - l_discount)``. First/last order by the packed long
+    ``(orderkey * 8 + linenumber) * 2^20 + price_cents mod 2^20``; the price
+    part breaks ties because (orderkey, linenumber) is not unique in the
+    generated data. Valid while orderkey < 2^40.
     """
-    order = F.struct(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_extendedprice"))
+    order = (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")) * F.lit(2**20) + F.pmod(
+        F.round(F.col("l_extendedprice") * F.lit(100.0)).cast("bigint"), F.lit(2**20)
+    )
     agg = (
         lineitem.select(
             F.concat("l_returnflag", "l_linestatus", F.lit("USDT")).alias("symbol"),
