@@ -29,16 +29,24 @@ SAMPLE = CLEAN + X.sample_ctes("cleaned", 5, SAMPLE_SEED)
 TC = X.TEXT_COLS
 
 
-def event_text(spark, sf):
-    return candles_to_text(event_candles(spark, sf))
+def event_text(spark, sf, interval="1h"):
+    return candles_to_text(event_candles(spark, sf, interval))
 
 
-def messy(spark, sf):
-    return I.inject_defects(event_text(spark, sf), SEED, symbols=None)
+def messy(spark, sf, interval="1h"):
+    return I.inject_defects(event_text(spark, sf, interval), SEED, symbols=None)
 
 
-def cleaned(spark, sf, **kw):
-    return CL.clean_candles(messy(spark, sf), **kw)
+def cleaned(spark, sf, interval="1h", **kw):
+    return CL.clean_candles(messy(spark, sf, interval), **kw)
+
+
+def messy_sql_ctes(interval="1h"):
+    return [("candles", S.candles_sql(interval))] + X.messy_ctes("candles", SEED, None)
+
+
+def clean_sql_ctes(interval="1h"):
+    return messy_sql_ctes(interval) + X.clean_ctes()
 
 
 # --- injection ------------------------------------------------------------

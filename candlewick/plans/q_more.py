@@ -28,7 +28,7 @@ def _qi(c: str) -> str:
     return '"interval"' if c == "interval" else c
 
 
-def _report_sql() -> str:
+def _report_sql(clean_ctes=None) -> str:
     rows = [
         "SELECT 0 AS seq, 'rows_before' AS metric, (SELECT count(*) FROM messy) AS value",
         "SELECT 1, 'rows_after', (SELECT count(*) FROM cleaned)",
@@ -59,7 +59,8 @@ def _report_sql() -> str:
     ]
     body = " UNION ALL ".join(rows)
     return S.with_ctes(
-        CLEAN, f"SELECT CAST(seq AS INTEGER) AS seq, metric, CAST(value AS BIGINT) AS value FROM ({body}) r"
+        clean_ctes or CLEAN,
+        f"SELECT CAST(seq AS INTEGER) AS seq, metric, CAST(value AS BIGINT) AS value FROM ({body}) r",
     )
 
 

@@ -40,9 +40,9 @@ def as_dec(df: DataFrame, columns: Iterable[str], scale: int = 6) -> DataFrame:
     return df.withColumns({c: F.col(c).cast(f"decimal(38,{scale})") for c in columns})
 
 
-def event_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_candles(spark: SparkSession, sf_dir: str, interval: str = "1h") -> DataFrame:
     configure(spark)
-    return candles_from_events(read_table(spark, sf_dir, "events"))
+    return candles_from_events(read_table(spark, sf_dir, "events"), interval)
 
 
 def lineitem_candles(spark: SparkSession, sf_dir: str) -> DataFrame:

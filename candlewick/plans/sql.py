@@ -18,18 +18,24 @@ def dec(expr: str, alias: str) -> str:
     return f"CAST({expr} AS DECIMAL(38,6)) AS {alias}"
 
 
-CANDLES = """
-SELECT symbol, '1h' AS "interval", open_time, open, high, low, close, volume,
-       open_time + INTERVAL 3599999 MILLISECOND AS close_time, quote_volume, trade_count
+def candles_sql(interval: str = "1h") -> str:
+    from candlewick.sources.adapters import INTERVALS, order_bits
+
+    unit, length_us = INTERVALS[interval]
+    shift = 2 ** order_bits(interval)
+    key = (
+        f"(epoch_us(ts) - epoch_us(date_trunc('{unit}', ts))) * {shift} + (event_id % {shift})"
+    )
+    return f"""
+SELECT symbol, '{interval}' AS "interval", open_time, open, high, low, close, volume,
+       open_time + INTERVAL {length_us // 1000 - 1} MILLISECOND AS close_time, quote_volume, trade_count
 FROM (
   SELECT upper(event_type) || 'USDT' AS symbol,
-         date_trunc('hour', ts) AS open_time,
-         arg_min(value, (epoch_us(ts) - epoch_us(date_trunc('hour', ts))) * 2147483648
-                        + (event_id % 2147483648)) AS open,
+         date_trunc('{unit}', ts) AS open_time,
+         arg_min(value, {key}) AS open,
          max(value) AS high,
          min(value) AS low,
-         arg_max(value, (epoch_us(ts) - epoch_us(date_trunc('hour', ts))) * 2147483648
-                        + (event_id % 2147483648)) AS close,
+         arg_max(value, {key}) AS close,
          CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS volume,
          CAST(sum(CAST(value AS DECIMAL(18,2))
                   * CAST(json_extract_string(props, '$.k') AS BIGINT)) AS DOUBLE) AS quote_volume,
@@ -38,6 +44,9 @@ FROM (
   GROUP BY 1, 2
 ) t"""
 
+
+CANDLES = candles_sql("1h")
+
 LINEITEM_CANDLES = """
 SELECT symbol, '1d' AS "interval", open_time, open, high, low, close, volume,
        open_time + INTERVAL 86399999 MILLISECOND AS close_time, quote_volume, trade_count

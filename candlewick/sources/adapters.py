@@ -18,29 +18,40 @@ def _close_time(open_time: str, interval_ms: int):
     return F.col(open_time) + F.expr(f"INTERVAL '{(interval_ms - 1) / 1000:.3f}' SECOND")
 
 
-def candles_from_events(events: DataFrame) -> DataFrame:
-    """One hourly candle per (event_type, hour of ts).
+# Supported candle intervals: text -> (date_trunc unit, length in microseconds).
+INTERVALS = {"1m": ("minute", 60_000_000), "1h": ("hour", 3_600_000_000), "1d": ("day", 86_400_000_000)}
+
+
+def order_bits(interval: str) -> int:
+    """Bits left for the event_id tie break after the in-candle time offset."""
+    return 63 - INTERVALS[interval][1].bit_length()
+
+
+def candles_from_events(events: DataFrame, interval: str = "1h") -> DataFrame:
+    """One candle per (event_type, ``interval`` bucket of ts).
 
     symbol = upper(event_type) || 'USDT'; open/close = value of the first/last
     event; high/low = max/min value; volume = sum(value); quote_volume =
     sum(value * props.k); trade_count = number of events. Sums are exact
     decimals, so they do not depend on the summation order.
 
-    "First" orders by one packed long, ``EVENT_ORDER``: the microsecond offset
-    inside the hour (< 2^32) times 2^31 plus ``event_id mod 2^31`` as the tie
-    break. A long key keeps ``min_by``/``max_by`` in a hash aggregate (a struct
-    key forces a sort aggregate, about 3x slower).
+    "First" orders by one packed long: the microsecond offset inside the
+    candle shifted left by ``order_bits(interval)`` plus ``event_id`` modulo
+    2^order_bits as the tie break. A long key keeps ``min_by``/``max_by`` in a
+    hash aggregate (a struct key forces a sort aggregate, about 3x slower).
     """
+    unit, length_us = INTERVALS[interval]
+    bits = order_bits(interval)
     value = F.col("value").cast("decimal(18,2)")
     k = F.get_json_object("props", "$.k").cast("bigint")
-    hour = F.date_trunc("hour", "ts")
-    order = F.expr("timestampdiff(MICROSECOND, date_trunc('hour', ts), ts)") * F.lit(
-        2**31
-    ) + F.pmod(F.col("event_id"), F.lit(2**31))
+    bucket = F.date_trunc(unit, "ts")
+    order = F.expr(f"timestampdiff(MICROSECOND, date_trunc('{unit}', ts), ts)") * F.lit(
+        2**bits
+    ) + F.pmod(F.col("event_id"), F.lit(2**bits))
     agg = (
         events.select(
             F.concat(F.upper("event_type"), F.lit("USDT")).alias("symbol"),
-            hour.alias("open_time"),
+            bucket.alias("open_time"),
             F.col("value"),
             value.alias("value_dec"),
             (value * k).alias("quote_dec"),
@@ -59,14 +70,14 @@ def candles_from_events(events: DataFrame) -> DataFrame:
     )
     return agg.select(
         "symbol",
-        F.lit("1h").alias("interval"),
+        F.lit(interval).alias("interval"),
         F.col("open_time").cast("timestamp_ntz").alias("open_time"),
         "open",
         "high",
         "low",
         "close",
         "volume",
-        _close_time("open_time", 3_600_000).cast("timestamp_ntz").alias("close_time"),
+        _close_time("open_time", length_us // 1000).cast("timestamp_ntz").alias("close_time"),
         "quote_volume",
         "trade_count",
     )
