@@ -39,7 +39,9 @@ def trailing_count(
     keys = list(keys)
     per_instant = df.groupBy(*keys, F.col(ts).alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
     per_instant = per_instant.withColumn("_us", F.unix_micros(F.col("_t").cast("timestamp")))
-    bucket = F.floor(F.col("_us") / F.lit(window_us)).cast("bigint")
+    # exact integer floor division (also for times before 1970)
+    bucket = (F.col("_us") - F.pmod(F.col("_us"), F.lit(window_us))).cast("bigint") / F.lit(window_us)
+    bucket = bucket.cast("bigint")
     spread = per_instant.withColumn(
         "_x", F.explode(F.array(F.struct(bucket.alias("b"), F.lit(True).alias("own")),
                                 F.struct((bucket + 1).alias("b"), F.lit(False).alias("own"))))
