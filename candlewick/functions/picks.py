@@ -1,24 +1,27 @@
 """Seeded, exact-size row picks that are independent of partitioning.
 
 ``exact_picks`` marks, for each tag, exactly ``k = min(max(minimum,
-floor(n * fraction)), n - cap_offset)`` rows: those with the smallest
+int(n * fraction)), n - cap_offset)`` rows: those with the smallest
 ``md5(seed|tag|uid)``. It equals ``row_number() OVER (ORDER BY md5(...)) <= k``
-but never sorts the table globally. The picked rows are exactly those with
-``hash <= T`` where ``T`` is the k-th smallest hash, and ``T`` is found as:
-
-1. one scan builds a histogram of the first 4 hex digits of every tag's hash
-   (at most 65,536 buckets per tag - a size fixed by construction);
-2. prefix sums over that small histogram give each tag's count ``n``, its
-   ``k`` and the single bucket holding the k-th hash;
-3. only that bucket's rows (about n / 65,536) are ranked, giving ``T``.
-
-``T`` for all tags is one scalar subquery (a map tag -> T), so the outer query
-is a plain projection: no join, no shuffle of the table itself.
-``uid`` must identify rows uniquely (ties at ``T`` would all be picked).
+but never sorts or shuffles the table. The picked rows are exactly those with
+``hash <= T``, ``T`` being the k-th smallest hash, found as:
+
+1. ``n`` is counted (one job; metadata-only on a Parquet checkpoint) and the
+   hash prefix width is chosen so that there are about sqrt(n) buckets;
+2. one scan builds a histogram of the hash prefixes of every tag (about
+   sqrt(n) rows per tag, so the prefix-sum window over it stays small);
+3. the bucket holding the k-th hash is found from the prefix sums and only its
+   rows (about sqrt(n)) are ranked, giving ``T``.
+
+``T`` for all tags reaches the outer query as one scalar subquery (a map
+tag -> T), so the outer query is a plain projection: no join, no shuffle of
+the table. ``uid`` must identify rows uniquely (ties at ``T`` would all be
+picked).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,43 +29,55 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.exprs import row_hash
 
-BUCKET_HEX = 4  # 16 bits -> at most 65,536 histogram rows per tag
+MAX_BUCKET_HEX = 8
 
 
-def pick_size(n: Column, fraction: float, minimum: int, cap_offset: int = 0) -> Column:
-    """``min(max(minimum, floor(n * fraction)), n - cap_offset)`` (double product)."""
-    return F.least(
-        F.greatest(F.lit(minimum).cast("bigint"), F.floor(n * F.lit(float(fraction))).cast("bigint")),
-        n - F.lit(cap_offset),
-    )
+def bucket_hex(n: int) -> int:
+    """Hex digits of the hash prefix giving about sqrt(n) buckets."""
+    if n <= 1:
+        return 1
+    return max(1, min(MAX_BUCKET_HEX, math.ceil(math.log(math.sqrt(n), 16))))
+
+
+def pick_size(n: int, fraction: float, minimum: int, cap_offset: int = 0) -> int:
+    """``min(max(minimum, int(n * fraction)), n - cap_offset)``, never negative."""
+    return max(0, min(max(minimum, int(n * fraction)), n - cap_offset))
 
 
 def pick_thresholds(
-    df: DataFrame, uid: Column, seed, specs: Mapping[str, tuple[float, int, int]]
+    df: DataFrame,
+    uid: Column,
+    seed,
+    specs: Mapping[str, tuple[float, int, int]],
+    n: int | None = None,
 ) -> DataFrame:
-    """One row per tag with a pick: (tag, threshold hash T)."""
-    tags = list(specs)
+    """One row per tag with a non-empty pick: (tag, threshold hash T)."""
+    if n is None:
+        n = df.count()
+    ks = {t: pick_size(n, *spec) for t, spec in specs.items()}
+    tags = [t for t, k in ks.items() if k > 0]
+    width = bucket_hex(n)
+    if not tags:
+        return df.sparkSession.createDataFrame([], "tag string, threshold string")
     long = df.select(
         F.explode(
             F.array(*[F.struct(F.lit(t).alias("tag"), row_hash(seed, t, uid).alias("h")) for t in tags])
         ).alias("x")
     ).select(F.col("x.tag").alias("tag"), F.col("x.h").alias("h"))
-    long = long.withColumn("b", F.substring("h", 1, BUCKET_HEX))
+    long = long.withColumn("b", F.substring("h", 1, width))
 
-    hist = long.groupBy("tag", "b").agg(F.count(F.lit(1)).alias("_n"))
-    cum = Window.partitionBy("tag").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    total = Window.partitionBy("tag")
     k = None
-    for t, (fraction, minimum, cap_offset) in specs.items():
-        size = pick_size(F.col("_total"), fraction, minimum, cap_offset)
-        k = F.when(F.col("tag") == t, size) if k is None else k.when(F.col("tag") == t, size)
+    for t in tags:
+        k = F.when(F.col("tag") == t, F.lit(ks[t])) if k is None else k.when(F.col("tag") == t, F.lit(ks[t]))
+    cum = Window.partitionBy("tag").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
     hist = (
-        hist.withColumn("_end", F.sum("_n").over(cum))
-        .withColumn("_total", F.sum("_n").over(total))
-        .withColumn("_k", k)
+        long.groupBy("tag", "b")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_end", F.sum("_n").over(cum))
+        .withColumn("_k", k.cast("bigint"))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )
-    # The bucket holding the k-th smallest hash: start < k <= end (none if k = 0).
+    # The bucket holding the k-th smallest hash: start < k <= end.
     boundary = hist.filter((F.col("_start") < F.col("_k")) & (F.col("_end") >= F.col("_k"))).select(
         "tag", "b", (F.col("_k") - F.col("_start")).alias("_need")
     )
@@ -78,10 +93,11 @@ def exact_picks(
     seed,
     specs: Mapping[str, tuple[float, int, int]],
     prefix: str = "_pick_",
+    n: int | None = None,
 ) -> DataFrame:
     """Add one boolean column ``prefix + tag`` per ``specs[tag] = (fraction, minimum, cap_offset)``."""
     uid_col = F.col(uid) if isinstance(uid, str) else uid
-    thresholds = pick_thresholds(df, uid_col, seed, specs)
+    thresholds = pick_thresholds(df, uid_col, seed, specs, n)
     tmap = thresholds.agg(
         F.map_from_entries(F.collect_list(F.struct("tag", "threshold"))).alias("m")
     ).scalar()
