@@ -176,10 +176,11 @@ def inject_defects(
     keep_uid: bool = False,
     flags: bool = False,
 ) -> DataFrame:
-    """All steps in order. The row set after drop + duplicate is cut from its
-    lineage (shared checkpoint folder) because the value picks re-read it, and
-    so is the result, which every profiling pass reads again."""
-    base = with_uid(df)
+    """All steps in order. The input, the row set after drop + duplicate and
+    the result are written to the shared checkpoint folder: each pick reads
+    its input several times (count, histogram, boundary), and every profiling
+    pass reads the result again."""
+    base = cut_lineage(with_uid(df))
     rows = cut_lineage(duplicate_rows(drop_rows(base, seed), seed))
     out = inject_values(rows, VALUE_STEPS, seed, symbols, flags=flags)
     return cut_lineage(out if keep_uid else out.drop(UID))

@@ -108,21 +108,34 @@ def invalid_numeric_rows(raw: DataFrame) -> DataFrame:
 
 
 def invalid_timestamps(raw: DataFrame) -> DataFrame:
-    """Per time column: missing, unparsable (text present, no time) and both."""
-    parts = []
-    for i, c in enumerate(_time_present(raw)):
+    """Per time column: missing, unparsable (text present, no time) and both.
+
+    One aggregate pass for all time columns, then one row per column."""
+    cols = _time_present(raw)
+    aggs = []
+    for c in cols:
         parsed = safe_timestamp(c)
-        parts.append(
-            raw.agg(
-                F.count_if(F.col(c).isNull()).alias("missing"),
-                F.count_if(F.col(c).isNotNull() & parsed.isNull()).alias("unparsable"),
-                F.count_if(parsed.isNull()).alias("invalid"),
-            ).select(F.lit(c).alias("column"), "missing", "unparsable", "invalid")
+        aggs += [
+            F.count_if(F.col(c).isNull()).alias(f"{c}:missing"),
+            F.count_if(F.col(c).isNotNull() & parsed.isNull()).alias(f"{c}:unparsable"),
+            F.count_if(parsed.isNull()).alias(f"{c}:invalid"),
+        ]
+    one = raw.agg(*aggs)
+    return one.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("column"),
+                        F.col(f"`{c}:missing`").alias("missing"),
+                        F.col(f"`{c}:unparsable`").alias("unparsable"),
+                        F.col(f"`{c}:invalid`").alias("invalid"),
+                    )
+                    for c in cols
+                ]
+            )
         )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    )
 
 
 def duplicate_count(raw: DataFrame) -> DataFrame:
