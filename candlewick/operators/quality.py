@@ -161,6 +161,20 @@ def _after_null_exprs(cleaned_cols: Sequence[str], keep: Column, exprs: dict) ->
     return [F.count_if(keep & exprs[c].isNull()).alias(f"after:{c}") for c in cleaned_cols]
 
 
+def _explode(one_row: DataFrame, items: Sequence[tuple[int, str, Column]]) -> DataFrame:
+    """One-row aggregate -> (seq, metric, value) rows."""
+    return one_row.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(seq).alias("seq"), F.lit(m).alias("metric"), v.cast("bigint").alias("value"))
+                    for seq, m, v in items
+                ]
+            )
+        )
+    )
+
+
 def quality_report(
     raw: DataFrame,
     *,
@@ -170,69 +184,73 @@ def quality_report(
 ) -> DataFrame:
     """Before/after report as (seq, metric, value), mirroring ``clean_candles``.
 
-    Pass 1 reads ``raw``. Pass 2 reads the de-duplicated table, which is cut
-    from its lineage first (it is also what the cleaner writes). Rows left
-    after cleaning are distinct by construction, so ``duplicates_after`` is 0
-    unless ``recheck_duplicates`` asks for a third pass to count it.
+    Two aggregate passes: one over ``raw`` (rows, missing values) and one over
+    the de-duplicated table (rows kept, rule hits, nulls left after
+    cleaning). Each pass is exploded into long rows once; the duplicate count
+    (rows before minus rows after de-duplication) combines the two through a
+    union and a global sum, so no join is needed. Rows left after cleaning are
+    distinct by construction, so ``duplicates_after`` is 0 unless
+    ``recheck_duplicates`` asks for a third pass to count it.
     """
     from candlewick.operators.analytics import derive_candle_features
-    from candlewick.session import cut_lineage
 
     raw_cols = raw.columns
+    before = {c: F.count_if(F.col(c).isNull()) for c in raw_cols}
     first = raw.agg(
         F.count(F.lit(1)).alias("rows_before"),
-        *[F.count_if(F.col(c).isNull()).alias(f"before:{c}") for c in raw_cols],
+        *[e.alias(f"b{i}") for i, e in enumerate(before.values())],
     )
     typed = C.coerce(raw)
     deduped = C.dedup_by_key(typed, dedup_keys) if dedup_keys else C.dedup_rows(typed)
-    deduped = cut_lineage(deduped)
     rules = C.rule_columns(deduped, strict)
     removed = C.violates_any(deduped, strict)
     featured = derive_candle_features(deduped)
-    clean_cols = [c for c in featured.columns]
+    clean_cols = list(featured.columns)
     second = featured.agg(
         F.count(F.lit(1)).alias("rows_deduped"),
         F.count_if(~removed).alias("rows_after"),
         F.count_if(removed).alias("rule_removed"),
-        *[F.count_if(r).alias(n) for n, r in rules.items()],
-        *[F.count_if(~removed & F.col(c).isNull()).alias(f"after:{c}") for c in clean_cols],
+        *[F.count_if(r).alias(f"r{i}") for i, r in enumerate(rules.values())],
+        *[F.count_if(~removed & F.col(c).isNull()).alias(f"a{i}") for i, c in enumerate(clean_cols)],
+    )
+    before_total = sum((F.col(f"b{i}") for i in range(len(raw_cols))), F.lit(0))
+    after_total = sum((F.col(f"a{i}") for i in range(len(clean_cols))), F.lit(0))
+    long_first = _explode(
+        first,
+        [(0, "rows_before", F.col("rows_before")), (199, "missing_before_total", before_total)]
+        + [(100 + i, f"missing_before:{c}", F.col(f"b{i}")) for i, c in enumerate(raw_cols)]
+        + [(-1, "_dup", F.col("rows_before"))],
+    )
+    long_second = _explode(
+        second,
+        [
+            (1, "rows_after", F.col("rows_after")),
+            (299, "missing_after_total", after_total),
+            (302, "rule_removed", F.col("rule_removed")),
+            (-1, "_dup", -F.col("rows_deduped")),
+        ]
+        + [(200 + i, f"missing_after:{c}", F.col(f"a{i}")) for i, c in enumerate(clean_cols)]
+        + [(303 + i, n, F.col(f"r{i}")) for i, n in enumerate(rules)],
     )
+    both = long_first.unionByName(long_second)
     dup_before = (
-        first.select(F.col("rows_before").alias("n"))
-        .unionByName(second.select((-F.col("rows_deduped")).alias("n")))
-        .agg(F.sum("n").alias("duplicates_before"))
+        both.filter(F.col("metric") == "_dup")
+        .agg(F.sum("value").alias("value"))
+        .select(F.lit(300).alias("seq"), F.lit("duplicates_before").alias("metric"), F.col("value").cast("bigint"))
     )
     if recheck_duplicates:
         cleaned = featured.filter(~removed)
         dup_after = (
             cleaned.agg(F.count(F.lit(1)).alias("n"))
             .unionByName(cleaned.dropDuplicates().agg((-F.count(F.lit(1))).alias("n")))
-            .agg(F.sum("n").alias("duplicates_after"))
+            .agg(F.sum("n").alias("value"))
+            .select(F.lit(301).alias("seq"), F.lit("duplicates_after").alias("metric"), F.col("value").cast("bigint"))
         )
     else:
-        dup_after = second.select(F.lit(0).cast("bigint").alias("duplicates_after"))
-    before_total = first.select(
-        sum((F.col(f"before:{c}") for c in raw_cols), F.lit(0)).alias("missing_before_total")
-    )
-    after_total = second.select(
-        sum((F.col(f"after:{c}") for c in clean_cols), F.lit(0)).alias("missing_after_total")
-    )
-    parts = [
-        _long(first, ["rows_before"]).withColumn("seq", F.lit(0)),
-        _long(before_total, ["missing_before_total"]).withColumn("seq", F.lit(199)),
-        _long(after_total, ["missing_after_total"]).withColumn("seq", F.lit(299)),
-        _long(second, ["rows_after"]).withColumn("seq", F.lit(1)),
-        _long(first, [f"before:{c}" for c in raw_cols], "missing_").withColumn("seq", F.col("seq") + 100),
-        _long(second, [f"after:{c}" for c in clean_cols], "missing_").withColumn("seq", F.col("seq") + 200),
-        _long(dup_before, ["duplicates_before"]).withColumn("seq", F.lit(300)),
-        _long(dup_after, ["duplicates_after"]).withColumn("seq", F.lit(301)),
-        _long(second, ["rule_removed"]).withColumn("seq", F.lit(302)),
-        _long(second, list(rules)).withColumn("seq", F.col("seq") + 303),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("seq", "metric", "value")
+        dup_after = first.select(
+            F.lit(301).alias("seq"), F.lit("duplicates_after").alias("metric"), F.lit(0).cast("bigint").alias("value")
+        )
+    return both.filter(F.col("metric") != "_dup").unionByName(dup_before).unionByName(dup_after)
 
 
 def render_report(report: DataFrame) -> str:
