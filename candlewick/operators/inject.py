@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.exprs import hash_choice, is_numeric_text
-from candlewick.functions.picks import exact_picks
+from candlewick.functions.picks import exact_picks, pick_size
 from candlewick.functions.text import text_uid
 from candlewick.schema import (
     BAD_TIME_WORDS,
@@ -48,21 +48,27 @@ def _spec(step: str, cap_offset: int = 0):
     return (fraction, minimum, cap_offset)
 
 
-def drop_rows(df: DataFrame, seed: int = 42) -> DataFrame:
-    """Remove ``min(max(5, floor(3% n)), n-1)`` rows."""
+def drop_rows(df: DataFrame, seed: int = 42, n: int | None = None) -> DataFrame:
+    """Remove ``min(max(5, floor(3% n)), n-1)`` rows (``n`` counted if not given)."""
     df = with_uid(df)
-    picked = exact_picks(df, UID, seed, {"drop": _spec("drop", 1)})
+    picked = exact_picks(df, UID, seed, {"drop": _spec("drop", 1)}, n=n)
     return picked.filter(~F.col("_pick_drop")).drop("_pick_drop")
 
 
-def duplicate_rows(df: DataFrame, seed: int = 42) -> DataFrame:
-    """Append copies of ``min(max(5, floor(3% n)), n)`` rows."""
+def duplicate_rows(df: DataFrame, seed: int = 42, n: int | None = None) -> DataFrame:
+    """Append copies of ``min(max(5, floor(3% n)), n)`` rows (``n`` counted if not given)."""
     df = with_uid(df)
-    picked = exact_picks(df, UID, seed, {"duplicate": _spec("duplicate")})
+    picked = exact_picks(df, UID, seed, {"duplicate": _spec("duplicate")}, n=n)
     dups = picked.filter(F.col("_pick_duplicate")).withColumn(UID, F.concat(F.col(UID), F.lit("#dup")))
     return picked.unionByName(dups).drop("_pick_duplicate")
 
 
+def sizes_after_rows_steps(n: int) -> tuple[int, int]:
+    """Row counts after the drop step and after the duplicate step."""
+    kept = n - pick_size(n, *_spec("drop", 1))
+    return kept, kept + pick_size(kept, *_spec("duplicate"))
+
+
 def _present(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c in df.columns]
 
@@ -138,11 +144,12 @@ def inject_values(
     seed: int = 42,
     symbols: Sequence[str] | None = SYMBOLS,
     flags: bool = False,
+    n: int | None = None,
 ) -> DataFrame:
     """Run the chosen value-rewriting steps (all picks from one pass)."""
     df = with_uid(df)
     specs = {s: _spec(s) for s in steps}
-    picked = exact_picks(df, UID, seed, specs)
+    picked = exact_picks(df, UID, seed, specs, n=n)
     for s in VALUE_STEPS:
         if s not in steps:
             picked = picked.withColumn(f"_pick_{s}", F.lit(False))
@@ -176,22 +183,28 @@ def inject_defects(
     keep_uid: bool = False,
     flags: bool = False,
 ) -> DataFrame:
-    """All steps in order. The input, the row set after drop + duplicate and
-    the result are written to the shared checkpoint folder: each pick reads
-    its input several times (count, histogram, boundary), and every profiling
-    pass reads the result again."""
+    """All steps in order. The input is counted once; every later row count
+    follows from it. The input, the row set after drop + duplicate and the
+    result are written to the shared checkpoint folder: each pick re-reads its
+    input (histogram, boundary rank, projection) and nested threshold
+    subqueries would otherwise be recomputed; every profiling pass reads the
+    result again."""
     base = cut_lineage(with_uid(df))
-    rows = cut_lineage(duplicate_rows(drop_rows(base, seed), seed))
-    out = inject_values(rows, VALUE_STEPS, seed, symbols, flags=flags)
+    n = base.count()
+    kept, final = sizes_after_rows_steps(n)
+    rows = cut_lineage(duplicate_rows(drop_rows(base, seed, n), seed, kept))
+    out = inject_values(rows, VALUE_STEPS, seed, symbols, flags=flags, n=final)
     return cut_lineage(out if keep_uid else out.drop(UID))
 
 
 def injection_summary(df: DataFrame, seed: int = 42, symbols: Sequence[str] | None = SYMBOLS) -> DataFrame:
     """(metric, value) counts of every step, like the injector's printed summary."""
-    base = with_uid(df)
-    dropped = drop_rows(base, seed)
-    rows = cut_lineage(duplicate_rows(dropped, seed))
-    flagged = inject_values(rows, VALUE_STEPS, seed, symbols, flags=True)
+    base = cut_lineage(with_uid(df))
+    n = base.count()
+    kept, final = sizes_after_rows_steps(n)
+    dropped = drop_rows(base, seed, n)
+    rows = cut_lineage(duplicate_rows(dropped, seed, kept))
+    flagged = inject_values(rows, VALUE_STEPS, seed, symbols, flags=True, n=final)
     first = base.agg(F.count(F.lit(1)).alias("original_rows"))
     kept = dropped.agg(F.count(F.lit(1)).alias("kept"))
     after = flagged.agg(
