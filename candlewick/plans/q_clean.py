@@ -240,10 +240,9 @@ _RAW_TB = "md5(" + " || '|' || ".join(
 ) + ")"
 
 
-@query(
-    "dedup_by_candle_key",
-    S.with_ctes(
-        MESSY
+def dedup_key_sql(messy_ctes) -> str:
+    return S.with_ctes(
+        messy_ctes
         + [
             ("k_raw", f"SELECT *, {_RAW_TB} AS _tb FROM messy"),
             ("k_typed", X.typed_of("k_raw").replace(" FROM k_raw", ", _tb FROM k_raw")),
@@ -255,10 +254,10 @@ _RAW_TB = "md5(" + " || '|' || ".join(
      + (close_time IS NULL)::INT + (quote_volume IS NULL)::INT + (trade_count IS NULL)::INT
      + (open_time__orig IS NULL)::INT + (close_time__orig IS NULL)::INT), _tb) AS _rn
   FROM k_typed) s WHERE _rn = 1""",
-    ),
-)
-def q_dedup_key(spark, sf):
-    raw = messy(spark, sf)
+    )
+
+
+def dedup_key_spark(raw):
     cols = raw.columns
     raw = raw.withColumn(
         "_tb", F.md5(F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("\\N")) for c in cols]))
@@ -268,6 +267,11 @@ def q_dedup_key(spark, sf):
     return CL.dedup_by_key(typed, CL.CANDLE_KEY, tiebreak=F.col("_tb")).drop("_tb")
 
 
+@query("dedup_by_candle_key", dedup_key_sql(MESSY))
+def q_dedup_key(spark, sf):
+    return dedup_key_spark(messy(spark, sf))
+
+
 @query(
     "rule_violation_counts",
     S.with_ctes(

@@ -6,8 +6,18 @@ from __future__ import annotations
 from candlewick.operators import analytics as A
 from candlewick.operators import quality as Q
 from candlewick.plans import sql as S
-from candlewick.plans.q_clean import cleaned, clean_sql_ctes, messy, messy_sql_ctes
-from candlewick.plans.q_more import _report_sql
+from candlewick.operators import sampling as SM
+from candlewick.plans import sql_clean as X
+from candlewick.plans.q_clean import (
+    SAMPLE_SEED,
+    clean_sql_ctes,
+    cleaned,
+    dedup_key_spark,
+    dedup_key_sql,
+    messy,
+    messy_sql_ctes,
+)
+from candlewick.plans.q_more import _report_sql, _sample_report_sql
 from candlewick.plans.registry import as_dec, event_candles, query
 
 M = "1m"
@@ -55,3 +65,21 @@ def q_report_1m(spark, sf):
 )
 def q_summary_cleaned_1m(spark, sf):
     return as_dec(A.market_summary(cleaned(spark, sf, M)), _SUMMARY_DEC + ["total_trades"])
+
+
+_SAMPLE_1M = clean_sql_ctes(M) + X.sample_ctes("cleaned", 5, SAMPLE_SEED)
+
+
+@query("stratified_sample_5_1m", S.with_ctes(_SAMPLE_1M, "SELECT * FROM sample"))
+def q_sample_1m(spark, sf):
+    return SM.stratified_sample(cleaned(spark, sf, M), n=5, seed=SAMPLE_SEED)
+
+
+@query("sample_check_report_1m", _sample_report_sql(_SAMPLE_1M))
+def q_sample_report_1m(spark, sf):
+    return SM.sample_check_report(SM.stratified_sample(cleaned(spark, sf, M), n=5, seed=SAMPLE_SEED))
+
+
+@query("dedup_by_candle_key_1m", dedup_key_sql(messy_sql_ctes(M)))
+def q_dedup_key_1m(spark, sf):
+    return dedup_key_spark(messy(spark, sf, M))

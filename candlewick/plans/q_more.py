@@ -86,7 +86,7 @@ def q_sample(spark, sf):
     return sample(spark, sf)
 
 
-def _sample_report_sql() -> str:
+def _sample_report_sql(sample_ctes=None) -> str:
     w_order = "{'npr': -price_range, 's': symbol, 't': open_time}"
     rows = [
         "SELECT 1 AS seq, 'Sample rows used' AS metric, CAST((SELECT count(*) FROM sample) AS VARCHAR) AS value",
@@ -110,7 +110,9 @@ def _sample_report_sql() -> str:
         "AS VARCHAR) FROM sample WHERE price_range IS NOT NULL)",
     ]
     body = " UNION ALL ".join(rows)
-    return S.with_ctes(SAMPLE, f"SELECT CAST(seq AS INTEGER) AS seq, metric, value FROM ({body}) r")
+    return S.with_ctes(
+        sample_ctes or SAMPLE, f"SELECT CAST(seq AS INTEGER) AS seq, metric, value FROM ({body}) r"
+    )
 
 
 @query("sample_check_report", _sample_report_sql())

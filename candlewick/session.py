@@ -23,6 +23,40 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scale_settings(
+    input_bytes: int,
+    *,
+    total_cores: int,
+    target_partition_bytes: int = 256 << 20,
+    max_split_bytes: int = 256 << 20,
+) -> dict[str, str]:
+    """Shuffle and scan sizing for an input of ``input_bytes``.
+
+    About ``target_partition_bytes`` of shuffle data per task (at least one
+    wave over all cores); AQE then coalesces small partitions and splits
+    skewed ones (a hot symbol's partition is divided for joins), so the
+    number is an upper bound rather than a guess to get exactly right.
+    At 100 TB with 1,000 executors x 8 cores this gives 400,000 shuffle
+    partitions of ~256 MB.
+    """
+    partitions = max(total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
+def apply_scale_settings(spark: SparkSession, input_bytes: int, total_cores: int) -> dict[str, str]:
+    conf = scale_settings(input_bytes, total_cores=total_cores)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
     sc = spark.sparkContext
