@@ -157,6 +157,8 @@ def direction_counts(df: DataFrame) -> DataFrame:
     )
 
 
+TOP_SYMBOLS_FORMAT = "Most active: %s. Most volatile: %s."
+
 SUMMARY_COLUMNS = (
     "symbol",
     "total_records",
@@ -274,7 +276,7 @@ def interpretation(df: DataFrame) -> DataFrame:
         "top_activity_symbol",
         "top_volatility_symbol",
         F.format_string(
-            "Most active: %s. Most volatile: %s.",
+            TOP_SYMBOLS_FORMAT,
             F.col("top_activity_symbol"),
             F.col("top_volatility_symbol"),
         ).alias("message"),

@@ -19,11 +19,7 @@ from candlewick.functions.exprs import safe_double, safe_timestamp
 from candlewick.operators import clean as C
 from candlewick.schema import NUMERIC_COLUMNS, TIME_COLUMNS
 
-# Fixed value: the cleaning decision sentence of the report.
-DECISION = (
-    "removed rows with negative volume/trade_count or high < low; converted numeric and "
-    "timestamp columns using safe coercion; deduplicated rows; cleaned symbol formatting."
-)
+from candlewick.schema import QUALITY_DECISION, QUALITY_REPORT_LINES
 
 
 def _long(one_row: DataFrame, names: Sequence[str], prefix: str = "") -> DataFrame:
@@ -259,18 +255,19 @@ def render_report(report: DataFrame) -> str:
     vals = {r["metric"]: r["value"] for r in rows}
     before = {r["metric"][len("missing_before:"):]: r["value"] for r in rows if r["metric"].startswith("missing_before:")}
     after = {r["metric"][len("missing_after:"):]: r["value"] for r in rows if r["metric"].startswith("missing_after:")}
-    lines = [
-        "Data-quality report",
-        f"Rows before cleaning: {vals.get('rows_before')}",
-        f"Rows after cleaning: {vals.get('rows_after')}",
-        f"Missing values before (per column):\n{before}",
-        f"Missing values after (per column):\n{after}",
-        f"Duplicate rows before: {vals.get('duplicates_before')}",
-        f"Duplicate rows after: {vals.get('duplicates_after')}",
-        f"Invalid numeric rows removed: {vals.get('rule_removed')}",
-        f"Negative volume rows: {vals.get('negative_volume')}",
-        f"Negative trade_count rows: {vals.get('negative_trade_count')}",
-        f"Rows where high < low: {vals.get('high_lt_low')}",
-        f"Cleaning decision: {DECISION}",
+    values = [
+        None,
+        vals.get("rows_before"),
+        vals.get("rows_after"),
+        before,
+        after,
+        vals.get("duplicates_before"),
+        vals.get("duplicates_after"),
+        vals.get("rule_removed"),
+        vals.get("negative_volume"),
+        vals.get("negative_trade_count"),
+        vals.get("high_lt_low"),
+        QUALITY_DECISION,
     ]
+    lines = [fmt.format(v) if v is not None or "{}" in fmt else fmt for fmt, v in zip(QUALITY_REPORT_LINES, values)]
     return "\n".join(lines)

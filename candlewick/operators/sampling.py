@@ -16,11 +16,18 @@ from pyspark.sql import functions as F
 from candlewick.functions.exprs import row_hash
 from candlewick.functions.text import content_uid, iso_utc
 from candlewick.operators.analytics import ensure_candle_features
-from candlewick.schema import CANDLE_COLUMNS
+from candlewick.schema import (
+    CANDLE_COLUMNS,
+    SAMPLE_REPORT_LABELS,
+    SAMPLE_REPORT_NULL_LABEL,
+    SAMPLE_REPORT_PREFIXES,
+    SAMPLE_REPORT_QUESTIONS,
+)
 
-# Labels of the sample check report.
-QUESTIONS = "average_close, highest_avg_volume, candle_direction_counts, largest_price_range_row"
-NULL_LABEL = "nan"
+# Report layout: label i of SAMPLE_REPORT_LABELS goes to position HEAD_SEQ[i];
+# per-row parts follow their heading (100, 201, 301, 401-403).
+HEAD_SEQ = (1, 2, 3, 4, 5, 200, 300, 400)
+AVG_CLOSE, TOP_VOLUME, DIRECTION, W_SYMBOL, W_TIME, W_RANGE = SAMPLE_REPORT_PREFIXES
 
 
 def default_uid(df: DataFrame) -> Column:
@@ -67,29 +74,32 @@ def sample_check_report(sample: DataFrame, n: int = 5) -> DataFrame:
     ).select(
         F.inline(
             F.array(
-                _row(1, "Sample rows used", F.col("rows")),
-                _row(2, "Symbols included", F.col("symbols")),
-                _row(3, "Records per symbol (target)", F.lit(str(n))),
-                _row(4, "Questions answered", F.lit(QUESTIONS)),
-                _row(5, "-- average close by symbol --", F.lit("")),
-                _row(200, "-- highest average volume --", F.lit("")),
-                _row(300, "-- candle direction counts --", F.lit("")),
-                _row(400, "-- largest price range row --", F.lit("")),
+                *[
+                    _row(seq, label, value)
+                    for seq, label, value in zip(
+                        HEAD_SEQ,
+                        SAMPLE_REPORT_LABELS,
+                        [F.col("rows"), F.col("symbols"), F.lit(str(n)), F.lit(SAMPLE_REPORT_QUESTIONS)]
+                        + [F.lit("")] * 4,
+                    )
+                ],
             )
         )
     )
     by_symbol = sample.groupBy("symbol").agg(F.avg("close").alias("c"), F.avg("volume").alias("v"))
     avg_close = by_symbol.select(
         (F.lit(100)).alias("seq"),
-        F.concat(F.lit("avg_close_"), F.col("symbol")).alias("metric"),
+        F.concat(F.lit(AVG_CLOSE), F.col("symbol")).alias("metric"),
         _fmt6("c").alias("value"),
     )
     top_volume = by_symbol.filter(F.col("v").isNotNull()).agg(
         F.min_by("symbol", F.struct((-F.col("v")).alias("nv"), F.col("symbol"))).alias("s")
-    ).select(F.lit(201).alias("seq"), F.lit("highest_avg_volume").alias("metric"), F.col("s").alias("value"))
+    ).select(F.lit(201).alias("seq"), F.lit(TOP_VOLUME).alias("metric"), F.col("s").alias("value"))
     directions = sample.groupBy("candle_direction").agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(301).alias("seq"),
-        F.concat(F.lit("candle_"), F.coalesce(F.col("candle_direction"), F.lit(NULL_LABEL))).alias("metric"),
+        F.concat(F.lit(DIRECTION), F.coalesce(F.col("candle_direction"), F.lit(SAMPLE_REPORT_NULL_LABEL))).alias(
+            "metric"
+        ),
         F.col("n").cast("string").alias("value"),
     )
     time_col = "open_time"
@@ -102,9 +112,9 @@ def sample_check_report(sample: DataFrame, n: int = 5) -> DataFrame:
     widest_rows = widest.select(
         F.inline(
             F.array(
-                _row(401, "symbol", F.col("w.symbol")),
-                _row(402, "open_time", iso_utc(F.col("w.t"))),
-                _row(403, "price_range", _fmt6(F.col("w.price_range"))),
+                _row(401, W_SYMBOL, F.col("w.symbol")),
+                _row(402, W_TIME, iso_utc(F.col("w.t"))),
+                _row(403, W_RANGE, _fmt6(F.col("w.price_range"))),
             )
         )
     )

@@ -214,9 +214,9 @@ def q_summary_lineitem(spark, sf):
     "interpretation",
     S.with_ctes(
         CF + [("agg", S.summary_agg("feat")), ("ranked", S.summary_ranked("agg"))],
-        """SELECT arg_min(symbol, activity_rank) AS top_activity_symbol,
+        f"""SELECT arg_min(symbol, activity_rank) AS top_activity_symbol,
        arg_min(symbol, volatility_rank) AS top_volatility_symbol,
-       printf('Most active: %s. Most volatile: %s.', arg_min(symbol, activity_rank),
+       printf('{A.TOP_SYMBOLS_FORMAT}', arg_min(symbol, activity_rank),
               arg_min(symbol, volatility_rank)) AS message
 FROM ranked""",
     ),

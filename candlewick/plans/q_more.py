@@ -88,25 +88,27 @@ def q_sample(spark, sf):
 
 def _sample_report_sql(sample_ctes=None) -> str:
     w_order = "{'npr': -price_range, 's': symbol, 't': open_time}"
-    rows = [
-        "SELECT 1 AS seq, 'Sample rows used' AS metric, CAST((SELECT count(*) FROM sample) AS VARCHAR) AS value",
-        "SELECT 2, 'Symbols included', CAST((SELECT count(DISTINCT symbol) FROM sample) AS VARCHAR)",
-        "SELECT 3, 'Records per symbol (target)', '5'",
-        f"SELECT 4, 'Questions answered', {X.q(SM.QUESTIONS)}",
-        "SELECT 5, '-- average close by symbol --', ''",
-        "SELECT 200, '-- highest average volume --', ''",
-        "SELECT 300, '-- candle direction counts --', ''",
-        "SELECT 400, '-- largest price range row --', ''",
-        "SELECT 100, 'avg_close_' || symbol, CAST(CAST(avg(close) AS DECIMAL(38,6)) AS VARCHAR) "
+    L = SM.SAMPLE_REPORT_LABELS
+    avg_close, top_volume, direction, w_symbol, w_time, w_range = (X.q(p) for p in SM.SAMPLE_REPORT_PREFIXES)
+    heads = [
+        "CAST((SELECT count(*) FROM sample) AS VARCHAR)",
+        "CAST((SELECT count(DISTINCT symbol) FROM sample) AS VARCHAR)",
+        "'5'",
+        X.q(SM.SAMPLE_REPORT_QUESTIONS),
+    ] + ["''"] * 4
+    rows = [f"SELECT {seq} AS seq, {X.q(label)} AS metric, {value} AS value"
+            for seq, label, value in zip(SM.HEAD_SEQ, L, heads)]
+    rows += [
+        f"SELECT 100, {avg_close} || symbol, CAST(CAST(avg(close) AS DECIMAL(38,6)) AS VARCHAR) "
         "FROM sample GROUP BY symbol",
-        "SELECT 201, 'highest_avg_volume', (SELECT arg_min(symbol, {'nv': -v, 's': symbol}) FROM "
+        f"SELECT 201, {top_volume}, (SELECT arg_min(symbol, {{'nv': -v, 's': symbol}}) FROM "
         "(SELECT symbol, avg(volume) AS v FROM sample GROUP BY symbol) a WHERE v IS NOT NULL)",
-        "SELECT 301, 'candle_' || coalesce(candle_direction, 'nan'), CAST(count(*) AS VARCHAR) "
-        "FROM sample GROUP BY candle_direction",
-        f"SELECT 401, 'symbol', (SELECT arg_min(symbol, {w_order}) FROM sample WHERE price_range IS NOT NULL)",
-        f"SELECT 402, 'open_time', (SELECT {X.iso(f'arg_min(open_time, {w_order})')} FROM sample "
+        f"SELECT 301, {direction} || coalesce(candle_direction, {X.q(SM.SAMPLE_REPORT_NULL_LABEL)}), "
+        "CAST(count(*) AS VARCHAR) FROM sample GROUP BY candle_direction",
+        f"SELECT 401, {w_symbol}, (SELECT arg_min(symbol, {w_order}) FROM sample WHERE price_range IS NOT NULL)",
+        f"SELECT 402, {w_time}, (SELECT {X.iso(f'arg_min(open_time, {w_order})')} FROM sample "
         "WHERE price_range IS NOT NULL)",
-        f"SELECT 403, 'price_range', (SELECT CAST(CAST(arg_min(price_range, {w_order}) AS DECIMAL(38,6)) "
+        f"SELECT 403, {w_range}, (SELECT CAST(CAST(arg_min(price_range, {w_order}) AS DECIMAL(38,6)) "
         "AS VARCHAR) FROM sample WHERE price_range IS NOT NULL)",
     ]
     body = " UNION ALL ".join(rows)

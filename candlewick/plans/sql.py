@@ -8,6 +8,12 @@ DECIMAL(38,6) on both sides.
 
 from __future__ import annotations
 
+from candlewick.schema import INTERPRETATION_FORMAT
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
 
 def with_ctes(ctes: list[tuple[str, str]], body: str) -> str:
     parts = ",\n".join(f"{name} AS (\n{sql}\n)" for name, sql in ctes)
@@ -127,6 +133,5 @@ SELECT symbol, total_records,
        {dec('avg_price_range', 'avg_price_range')},
        up_count, down_count, flat_count, volatility_rank, activity_rank,
        CAST(total_quote_volume AS DECIMAL(38,{quote_scale})) AS total_quote_volume,
-       printf('Activity: %s was active and ranked by volatility %d', symbol, volatility_rank)
-         AS interpretation
+       printf({_q(INTERPRETATION_FORMAT)}, symbol, volatility_rank) AS interpretation
 FROM {src}"""

@@ -94,6 +94,40 @@ KLINE_FIELDS = (
 DIRECTIONS = ("up", "down", "flat")
 # Sentence written per symbol into the market summary.
 INTERPRETATION_FORMAT = "Activity: %s was active and ranked by volatility %d"
+# Sample check report, in output order: the metric labels, then the per-row
+# metric prefixes, the label of a missing direction and the questions line.
+SAMPLE_REPORT_LABELS = (
+    "Sample rows used",
+    "Symbols included",
+    "Records per symbol (target)",
+    "Questions answered",
+    "-- average close by symbol --",
+    "-- highest average volume --",
+    "-- candle direction counts --",
+    "-- largest price range row --",
+)
+SAMPLE_REPORT_PREFIXES = ("avg_close_", "highest_avg_volume", "candle_", "symbol", "open_time", "price_range")
+SAMPLE_REPORT_NULL_LABEL = "nan"
+SAMPLE_REPORT_QUESTIONS = "average_close, highest_avg_volume, candle_direction_counts, largest_price_range_row"
+# Data-quality text report, line by line ({} = value).
+QUALITY_REPORT_LINES = (
+    "Data-quality report",
+    "Rows before cleaning: {}",
+    "Rows after cleaning: {}",
+    "Missing values before (per column):\n{}",
+    "Missing values after (per column):\n{}",
+    "Duplicate rows before: {}",
+    "Duplicate rows after: {}",
+    "Invalid numeric rows removed: {}",
+    "Negative volume rows: {}",
+    "Negative trade_count rows: {}",
+    "Rows where high < low: {}",
+    "Cleaning decision: {}",
+)
+QUALITY_DECISION = (
+    "removed rows with negative volume/trade_count or high < low; converted numeric and "
+    "timestamp columns using safe coercion; deduplicated rows; cleaned symbol formatting."
+)
 # Per-step sizes of the defect injector: (fraction, minimum).
 INJECT_SIZES = {
     "drop": (0.03, 5),
