@@ -10,14 +10,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from candlewick.functions.text import candles_to_text
-from candlewick.operators import analytics as A
 from candlewick.operators import clean as CL
 from candlewick.operators import inject as I
 from candlewick.operators import quality as Q
-from candlewick.operators import sampling as SM
 from candlewick.plans import sql as S
 from candlewick.plans import sql_clean as X
-from candlewick.plans.registry import as_dec, event_candles, query
+from candlewick.plans.registry import event_candles, query
 
 SEED = 42
 SAMPLE_SEED = 1

@@ -13,7 +13,6 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.plans import sql as S
 from candlewick.session import configure
 from candlewick.sources.adapters import candles_from_events, candles_from_lineitem
 from candlewick.sources.files import read_table
