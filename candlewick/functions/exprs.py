@@ -49,19 +49,42 @@ def is_timestamp_text(c) -> Column:
     return _c(c).rlike(TIMESTAMP_PATTERN)
 
 
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def _epoch() -> Column:
+    return F.lit(EPOCH_NTZ).cast("timestamp_ntz")
+
+
+def ntz_epoch_micros(c) -> Column:
+    """UTC wall-clock ``timestamp_ntz`` -> microseconds since the epoch.
+
+    Pure calendar arithmetic: does not depend on the session time zone."""
+    return F.timestamp_diff("MICROSECOND", _epoch(), _c(c))
+
+
+def ntz_from_epoch_micros(c) -> Column:
+    return F.timestamp_add("MICROSECOND", _c(c), _epoch())
+
+
 def safe_timestamp(c) -> Column:
     """ISO text -> UTC wall-clock ``timestamp_ntz``; other text -> null.
 
-    Text without an offset is read as UTC (the session zone is pinned to UTC
-    by ``candlewick.configure``).
+    Text with an offset ('Z', '+02:00') is converted to UTC through its epoch
+    instant; text without one is taken as UTC wall-clock. Neither path
+    depends on the session time zone.
     """
     col = _c(c)
-    return F.when(is_timestamp_text(col), col.try_cast("timestamp").cast("timestamp_ntz"))
+    has_offset = col.rlike(r"(Z|[+-]\d\d:\d\d)$")
+    instant = ntz_from_epoch_micros(F.unix_micros(col.try_cast("timestamp")))
+    return F.when(
+        is_timestamp_text(col), F.when(has_offset, instant).otherwise(col.try_cast("timestamp_ntz"))
+    )
 
 
 def epoch_ms_to_timestamp(c) -> Column:
-    """Epoch milliseconds -> UTC wall-clock ``timestamp_ntz``."""
-    return F.timestamp_millis(_c(c)).cast("timestamp_ntz")
+    """Epoch milliseconds -> UTC wall-clock ``timestamp_ntz`` (zone independent)."""
+    return F.timestamp_add("MILLISECOND", _c(c), _epoch())
 
 
 def percent_change(change, base) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.functions.exprs import ntz_epoch_micros
 from candlewick.schema import CANDLE_COLUMNS, TIME_COLUMNS
 
 
@@ -15,7 +16,8 @@ def iso_utc(c) -> Column:
     ts = F.col(c) if isinstance(c, str) else c
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
     frac = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.concat(F.when(F.date_trunc("second", ts) == ts, whole).otherwise(frac), F.lit("+00:00"))
+    whole_second = F.pmod(ntz_epoch_micros(ts.cast("timestamp_ntz")), F.lit(1_000_000)) == 0
+    return F.concat(F.when(whole_second, whole).otherwise(frac), F.lit("+00:00"))
 
 
 def number_text(c) -> Column:

@@ -23,11 +23,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.functions.exprs import ntz_epoch_micros
+
 # The request-rate limit of the collector (requests per window).
 RATE_LIMIT = 100
 RATE_WINDOW_SECONDS = 60
 
 
+def _micros(df: DataFrame, ts: str):
+    """Epoch microseconds of the (renamed) time column, zone independent."""
+    if dict(df.dtypes)[ts] == "timestamp_ntz":
+        return ntz_epoch_micros(F.col("_t"))
+    return F.unix_micros(F.col("_t").cast("timestamp"))
+
+
 def trailing_count(
     df: DataFrame,
     ts: str,
@@ -38,7 +47,7 @@ def trailing_count(
 ) -> DataFrame:
     keys = list(keys)
     per_instant = df.groupBy(*keys, F.col(ts).alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
-    per_instant = per_instant.withColumn("_us", F.unix_micros(F.col("_t").cast("timestamp")))
+    per_instant = per_instant.withColumn("_us", _micros(df, ts))
     # exact integer floor division (also for times before 1970)
     bucket = (F.col("_us") - F.pmod(F.col("_us"), F.lit(window_us))).cast("bigint") / F.lit(window_us)
     bucket = bucket.cast("bigint")

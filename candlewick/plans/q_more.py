@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewick.functions.exprs import epoch_ms_to_timestamp
+from candlewick.functions.exprs import epoch_ms_to_timestamp, ntz_epoch_micros
 from candlewick.operators import analytics as A
 from candlewick.operators import quality as Q
 from candlewick.operators import sampling as SM
@@ -233,8 +233,8 @@ def q_epoch(spark, sf):
     c = event_candles(spark, sf)
     ms = c.select(
         "symbol",
-        F.unix_millis(F.col("open_time").cast("timestamp")).alias("open_ms"),
-        F.unix_millis(F.col("close_time").cast("timestamp")).alias("close_ms"),
+        F.floor(ntz_epoch_micros("open_time") / 1000).cast("bigint").alias("open_ms"),
+        F.floor(ntz_epoch_micros("close_time") / 1000).cast("bigint").alias("close_ms"),
     )
     return ms.select(
         "symbol",

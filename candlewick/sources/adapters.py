@@ -11,9 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candlewick.functions.exprs import ntz_epoch_micros, ntz_from_epoch_micros
 from candlewick.schema import CANDLE_COLUMNS
 
 
+def _day(ts):
+    us = ntz_epoch_micros(ts)
+    return ntz_from_epoch_micros(us - F.pmod(us, F.lit(86_400_000_000)))
+
+
 def _close_time(open_time: str, interval_ms: int):
     return F.col(open_time) + F.expr(f"INTERVAL '{(interval_ms - 1) / 1000:.3f}' SECOND")
 
@@ -40,14 +46,15 @@ def candles_from_events(events: DataFrame, interval: str = "1h") -> DataFrame:
     2^order_bits as the tie break. A long key keeps ``min_by``/``max_by`` in a
     hash aggregate (a struct key forces a sort aggregate, about 3x slower).
     """
-    unit, length_us = INTERVALS[interval]
+    _, length_us = INTERVALS[interval]
     bits = order_bits(interval)
     value = F.col("value").cast("decimal(18,2)")
     k = F.get_json_object("props", "$.k").cast("bigint")
-    bucket = F.date_trunc(unit, "ts")
-    order = F.expr(f"timestampdiff(MICROSECOND, date_trunc('{unit}', ts), ts)") * F.lit(
-        2**bits
-    ) + F.pmod(F.col("event_id"), F.lit(2**bits))
+    # Bucketing is epoch arithmetic on the UTC wall clock (no session zone).
+    us = ntz_epoch_micros("ts")
+    offset = F.pmod(us, F.lit(length_us))
+    bucket = ntz_from_epoch_micros(us - offset)
+    order = offset * F.lit(2**bits) + F.pmod(F.col("event_id"), F.lit(2**bits))
     agg = (
         events.select(
             F.concat(F.upper("event_type"), F.lit("USDT")).alias("symbol"),
@@ -98,7 +105,7 @@ def candles_from_lineitem(lineitem: DataFrame) -> DataFrame:
     agg = (
         lineitem.select(
             F.concat("l_returnflag", "l_linestatus", F.lit("USDT")).alias("symbol"),
-            F.date_trunc("day", "l_shipdate").alias("open_time"),
+            _day(F.col("l_shipdate")).alias("open_time"),
             F.col("l_extendedprice").alias("price"),
             F.col("l_quantity").cast("decimal(18,2)").alias("qty"),
             (

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.functions.exprs import epoch_ms_to_timestamp, safe_double
+from candlewick.functions.exprs import epoch_ms_to_timestamp, ntz_epoch_micros, safe_double
 from candlewick.schema import CANDLE_COLUMNS, KLINE_FIELDS
 
 _TIME_FIELDS = ("open_time", "close_time")
@@ -76,7 +76,7 @@ def candles_to_kline_json(candles: DataFrame) -> DataFrame:
     """
     rec = F.concat(
         F.lit("["),
-        F.unix_millis(F.col("open_time").cast("timestamp")).cast("string"),
+        F.floor(ntz_epoch_micros("open_time") / 1000).cast("bigint").cast("string"),
         F.lit(',"'),
         _num_text("open"),
         F.lit('","'),
@@ -88,7 +88,7 @@ def candles_to_kline_json(candles: DataFrame) -> DataFrame:
         F.lit('","'),
         _num_text("volume"),
         F.lit('",'),
-        F.unix_millis(F.col("close_time").cast("timestamp")).cast("string"),
+        F.floor(ntz_epoch_micros("close_time") / 1000).cast("bigint").cast("string"),
         F.lit(',"'),
         _num_text("quote_volume"),
         F.lit('",'),
