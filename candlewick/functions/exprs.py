@@ -59,8 +59,17 @@ def _epoch() -> Column:
 def ntz_epoch_micros(c) -> Column:
     """UTC wall-clock ``timestamp_ntz`` -> microseconds since the epoch.
 
-    Pure calendar arithmetic: does not depend on the session time zone."""
-    return F.timestamp_diff("MICROSECOND", _epoch(), _c(c))
+    Built from calendar fields (days since epoch, hour, minute, seconds with
+    fraction), which are read from the wall clock without any zone.
+    ``timestamp_diff`` would route through the session zone and shift
+    wall-clock times that fall in a daylight-saving gap there.
+    """
+    ts = _c(c)
+    return (
+        F.unix_date(F.to_date(ts)).cast("bigint") * F.lit(86_400_000_000)
+        + (F.hour(ts).cast("bigint") * 3600 + F.minute(ts).cast("bigint") * 60) * F.lit(1_000_000)
+        + (F.date_part(F.lit("SECOND"), ts) * F.lit(1_000_000)).cast("bigint")
+    )
 
 
 def ntz_from_epoch_micros(c) -> Column:

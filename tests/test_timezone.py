@@ -43,3 +43,19 @@ def test_results_do_not_depend_on_session_zone(spark):
         assert utc[part] == other[part], part
     parsed = [r[0] for r in utc["parse"]]
     assert str(parsed[0]) == "2024-03-10 02:30:00" and parsed.count(parsed[0]) == 3
+
+
+def test_epoch_micros_of_a_dst_gap_wall_clock(spark):
+    from candlewick.functions.exprs import epoch_ms_to_timestamp, ntz_epoch_micros
+
+    key = "spark.sql.session.timeZone"
+    try:
+        spark.conf.set(key, "America/New_York")
+        df = spark.createDataFrame([("2024-03-10 02:30:00.5",)], "t string").select(
+            F.col("t").cast("timestamp_ntz").alias("ts")
+        )
+        r = df.select(ntz_epoch_micros("ts").alias("us"), epoch_ms_to_timestamp(F.lit(1710037800500)).alias("back")).first()
+    finally:
+        spark.conf.set(key, "UTC")
+    assert r["us"] == 1710037800500000
+    assert str(r["back"]) == "2024-03-10 02:30:00.500000"
