@@ -3,9 +3,11 @@
 from candlewick.sources.adapters import candles_from_events, candles_from_lineitem
 from candlewick.sources.files import (
     read_candles_csv,
+    read_candles_parquet,
     read_cleaned_csv,
     read_messy_csv,
     read_table,
+    write_candles_parquet,
     write_csv,
     write_single_csv,
 )
@@ -17,10 +19,12 @@ __all__ = [
     "candles_to_kline_json",
     "decode_klines",
     "read_candles_csv",
+    "read_candles_parquet",
     "read_cleaned_csv",
     "read_klines",
     "read_messy_csv",
     "read_table",
+    "write_candles_parquet",
     "write_csv",
     "write_single_csv",
 ]

@@ -93,3 +93,26 @@ def write_single_csv(df: DataFrame, path: str, columns: Sequence[str] | None = N
     fs.rename(parts[0], dest)
     fs.delete(tmp_path, True)
     return path
+
+
+def write_candles_parquet(
+    df: DataFrame, path: str, *, mode: str = "overwrite", max_records_per_file: int = 5_000_000
+) -> None:
+    """Candle table as Parquet partitioned by UTC ``open_date``.
+
+    No repartition before the write: each task writes the dates it holds, so a
+    hot date is spread over many tasks and files instead of landing in one.
+    Readers then get partition pruning on date filters and column pruning.
+    """
+    (
+        df.withColumn("open_date", F.to_date("open_time"))
+        .write.mode(mode)
+        .option("maxRecordsPerFile", max_records_per_file)
+        .partitionBy("open_date")
+        .parquet(path)
+    )
+
+
+def read_candles_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Read a table written by ``write_candles_parquet`` (``open_date`` is a partition column)."""
+    return spark.read.parquet(path)

@@ -91,3 +91,18 @@ def test_csv_sinks_round_trip(spark, tmp_dir):
         lines = f.read().strip().splitlines()
     assert lines[0].startswith("symbol,total_records,avg_volume")
     assert len(lines) == 6
+
+
+def test_parquet_candles_prune_dates_and_columns(spark, tmp_dir):
+    from candlewick.sources.files import read_candles_parquet, write_candles_parquet
+
+    candles = candles_from_events(read_table(spark, SF01, "events"))
+    write_candles_parquet(candles, f"{tmp_dir}/candles")
+    back = read_candles_parquet(spark, f"{tmp_dir}/candles")
+    q = back.filter(F.col("open_date") == F.lit("2024-01-05").cast("date")).select("symbol", "volume")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(open_date" in plan
+    assert "ReadSchema: struct<symbol:string,volume:double>" in plan
+    want = candles.filter(F.to_date("open_time") == F.lit("2024-01-05").cast("date")).select("symbol", "volume")
+    assert sorted(map(tuple, q.collect())) == sorted(map(tuple, want.collect()))
+    assert back.count() == candles.count()
