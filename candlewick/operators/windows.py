@@ -24,10 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.exprs import ntz_epoch_micros
+from candlewick.schema import RATE_LIMIT, RATE_WINDOW_SECONDS
 
-# The request-rate limit of the collector (requests per window).
-RATE_LIMIT = 100
-RATE_WINDOW_SECONDS = 60
 
 
 def _micros(df: DataFrame, ts: str):

@@ -128,6 +128,9 @@ QUALITY_DECISION = (
     "removed rows with negative volume/trade_count or high < low; converted numeric and "
     "timestamp columns using safe coercion; deduplicated rows; cleaned symbol formatting."
 )
+# Request-rate limit of the collector: at most RATE_LIMIT requests per window.
+RATE_LIMIT = 100
+RATE_WINDOW_SECONDS = 60
 # Per-step sizes of the defect injector: (fraction, minimum).
 INJECT_SIZES = {
     "drop": (0.03, 5),
