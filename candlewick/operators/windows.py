@@ -13,7 +13,8 @@ a hot key (or the whole table, without a key) into one task. Instead:
 3. the frame sum over (key, bucket) is the trailing count; it is joined back
    to the rows on (key, time).
 
-Tasks are bounded by one key's rows in two window lengths, not by the key.
+A task holds the distinct instants of one key in two window lengths (at
+most 2 x 6e7 for a 60 s window at microsecond resolution), never a whole key.
 """
 
 from __future__ import annotations
