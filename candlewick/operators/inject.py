@@ -182,19 +182,22 @@ def inject_defects(
     symbols: Sequence[str] | None = SYMBOLS,
     keep_uid: bool = False,
     flags: bool = False,
+    materialize: bool = True,
 ) -> DataFrame:
     """All steps in order. The input is counted once; every later row count
     follows from it. The input, the row set after drop + duplicate and the
     result are written to the shared checkpoint folder: each pick re-reads its
     input (histogram, boundary rank, projection) and nested threshold
     subqueries would otherwise be recomputed; every profiling pass reads the
-    result again."""
+    result again. ``materialize=False`` skips the last write for consumers
+    that read the result once (cleaning, sampling, summaries)."""
     base = cut_lineage(with_uid(df))
     n = base.count()
     kept, final = sizes_after_rows_steps(n)
     rows = cut_lineage(duplicate_rows(drop_rows(base, seed, n), seed, kept))
     out = inject_values(rows, VALUE_STEPS, seed, symbols, flags=flags, n=final)
-    return cut_lineage(out if keep_uid else out.drop(UID))
+    out = out if keep_uid else out.drop(UID)
+    return cut_lineage(out) if materialize else out
 
 
 def injection_summary(df: DataFrame, seed: int = 42, symbols: Sequence[str] | None = SYMBOLS) -> DataFrame:

@@ -31,11 +31,13 @@ def event_text(spark, sf, interval="1h"):
     return candles_to_text(event_candles(spark, sf, interval))
 
 
-def messy(spark, sf, interval="1h"):
-    return I.inject_defects(event_text(spark, sf, interval), SEED, symbols=None)
+def messy(spark, sf, interval="1h", materialize=True):
+    return I.inject_defects(event_text(spark, sf, interval), SEED, symbols=None, materialize=materialize)
 
 
 def cleaned(spark, sf, interval="1h", **kw):
+    # Measured: cleaning the materialised dirty table is not slower than
+    # cleaning it inline (the inline plan re-runs the value-step subquery).
     return CL.clean_candles(messy(spark, sf, interval), **kw)
 
 
