@@ -86,6 +86,17 @@ def test_csv_sinks_round_trip(spark, tmp_dir):
     back = read_cleaned_csv(spark, f"{tmp_dir}/cleaned")
     assert back.count() == cleaned.count()
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, cleaned.collect()))
+    inferred = read_cleaned_csv(spark, f"{tmp_dir}/cleaned", infer=True)
+    assert inferred.count() == cleaned.count()
+    assert dict(inferred.dtypes)["volume"] == "double"
+
+    from candlewick.sources.files import read_candles_csv
+
+    candles = candles_from_events(read_table(spark, SF001, "events"))
+    write_csv(candles, f"{tmp_dir}/candles")
+    assert sorted(map(tuple, read_candles_csv(spark, f"{tmp_dir}/candles").collect())) == sorted(
+        map(tuple, candles.collect())
+    )
     path = write_single_csv(market_summary(back), f"{tmp_dir}/spark_market_summary.csv")
     with open(path) as f:
         lines = f.read().strip().splitlines()
