@@ -60,7 +60,11 @@ def read_klines(spark: SparkSession, path: str, *, with_taker: bool = False) ->
     Each file is one response; the directory names supply symbol and interval
     (partition discovery), so files decode in parallel.
     """
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = (
+        spark.read.schema("value string, symbol string, interval string")  # no partition type inference
+        .option("wholetext", True)
+        .text(path)
+    )
     return decode_klines(raw, "value", "symbol", "interval", with_taker=with_taker)
 
 
