@@ -83,3 +83,11 @@ def q_sample_report_1m(spark, sf):
 @query("dedup_by_candle_key_1m", dedup_key_sql(messy_sql_ctes(M)))
 def q_dedup_key_1m(spark, sf):
     return dedup_key_spark(messy(spark, sf, M))
+
+
+@query("kline_decode_1m", S.with_ctes([("candles", S.candles_sql(M))], "SELECT * FROM candles"))
+def q_kline_1m(spark, sf):
+    """Round trip through payloads of up to 1,440 one-minute candles per symbol-day."""
+    from candlewick.sources.klines import candles_to_kline_json, decode_klines
+
+    return decode_klines(candles_to_kline_json(event_candles(spark, sf, M)))
