@@ -14,12 +14,30 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.embed_dedup import embedding_components
+
+    return embedding_components(read_table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candlewick.llm.token_count import token_counts
 
     return token_counts(read_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.packing import pack
+
+    return pack(read_table(spark, sf_dir, "documents"), vocabulary(), window=1024)
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.simhash import simhash_components
+
+    return simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, radius=3, seed=42)
+
+
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candlewick.llm.bpe import bpe_round_trip
 
@@ -27,7 +45,10 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op3_token_counts": op3_token_counts,
+    "op4_packing": op4_packing,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_bpe_codec": op10_bpe_codec,
 }
 
