@@ -20,6 +20,12 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(read_table(spark, sf_dir, "embeddings"), cosine=0.98)
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.lm_score import lm_scores
+
+    return lm_scores(read_table(spark, sf_dir, "documents"), modulus=7, held_out=2)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candlewick.llm.token_count import token_counts
 
@@ -32,6 +38,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), vocabulary(), window=1024)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.substring import dedup_substrings
+
+    return dedup_substrings(read_table(spark, sf_dir, "documents"), window=20)
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candlewick.llm.simhash import simhash_components
 
@@ -46,8 +58,10 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
+    "op2_lm_scores": op2_lm_scores,
     "op3_token_counts": op3_token_counts,
     "op4_packing": op4_packing,
+    "op6_substring_dedup": op6_substring_dedup,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_bpe_codec": op10_bpe_codec,
 }
