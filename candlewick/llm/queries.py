@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from candlewick.llm.common import read_table
 
 
@@ -38,18 +40,40 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), vocabulary(), window=1024)
 
 
+def op5_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.topk import top_inner_products
+
+    return top_inner_products(read_table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256.0)
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candlewick.llm.substring import dedup_substrings
 
     return dedup_substrings(read_table(spark, sf_dir, "documents"), window=20)
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.pii import find_personal_data
+
+    return find_personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candlewick.llm.simhash import simhash_components
 
     return simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, radius=3, seed=42)
 
 
+def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.quality import quality_scores
+
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), modulus=4, held_out=2, threshold=0.7)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candlewick.llm.bpe import bpe_round_trip
 
@@ -61,9 +85,13 @@ QUERIES = {
     "op2_lm_scores": op2_lm_scores,
     "op3_token_counts": op3_token_counts,
     "op4_packing": op4_packing,
+    "op5_top_inner_products": op5_top_inner_products,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_personal_data": op7_personal_data,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_quality_scores": op9_quality_scores,
     "op10_bpe_codec": op10_bpe_codec,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {}
