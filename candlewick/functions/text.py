@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.exprs import ntz_epoch_micros
-from candlewick.schema import CANDLE_COLUMNS, TIME_COLUMNS
+from candlewick.schema import CANDLE_COLUMNS, TAKER_COLUMNS, TIME_COLUMNS
 
 
 def iso_utc(c) -> Column:
@@ -21,15 +21,19 @@ def iso_utc(c) -> Column:
 
 
 def number_text(c) -> Column:
-    """Number -> fixed 8-decimal text ('58497.65000000'); integers stay integers."""
+    """Number -> fixed 8-decimal text ('58497.65000000') where that holds the
+    value; other numbers (1e31, 1e-9) keep their shortest exact text."""
     col = F.col(c) if isinstance(c, str) else c
-    return col.try_cast("decimal(38,8)").cast("string")
+    fixed = col.try_cast("decimal(38,8)")
+    whole = F.coalesce(fixed.cast("double") == col.cast("double"), F.lit(False))
+    return F.when(whole, fixed.cast("string")).otherwise(col.cast("string"))
 
 
 def candles_to_text(df: DataFrame) -> DataFrame:
-    """Render a typed candle table as the all-text table a CSV export holds."""
+    """Render a typed candle table as the all-text table a CSV export holds,
+    with the taker columns when the table has them."""
     exprs = []
-    for c in CANDLE_COLUMNS:
+    for c in (*CANDLE_COLUMNS, *(t for t in TAKER_COLUMNS if t in df.columns)):
         if c in TIME_COLUMNS:
             exprs.append(iso_utc(c).alias(c))
         elif c == "trade_count":

@@ -116,12 +116,17 @@ _PERIODS = {"hour": "trade_hour", "date": "trade_date", "day_of_week": "day_of_w
 _METRICS = {"trades": ("trade_count", "total_trades"), "quote": ("quote_volume", "total_quote_volume")}
 
 
-def period_totals(df: DataFrame, by: str = "hour", metric: str = "trades") -> DataFrame:
-    """Sum of a metric per period; the null period (unparsable time) is a group."""
+def period_totals(
+    df: DataFrame, by: str = "hour", metric: str = "trades", drop_null_period: bool = False
+) -> DataFrame:
+    """Sum of a metric per period; the null period (unparsable time) is a group
+    unless ``drop_null_period``."""
     period = _PERIODS.get(by, by)
     source, alias = _METRICS.get(metric, (metric, f"total_{metric}"))
     if period not in df.columns:
         df = derive_time_features(df)
+    if drop_null_period:
+        df = df.filter(F.col(period).isNotNull())
     return df.groupBy(period).agg(F.sum(source).alias(alias))
 
 
@@ -281,3 +286,26 @@ def interpretation(df: DataFrame) -> DataFrame:
             F.col("top_volatility_symbol"),
         ).alias("message"),
     )
+
+
+#: The statements of the SQL surface, over the view that ``register_market_data`` makes.
+MARKET_DATA_SQL = {
+    "preview": "SELECT * FROM market_data LIMIT 10",
+    "avg_close": "SELECT symbol, avg(close) AS avg_close_price FROM market_data GROUP BY symbol ORDER BY symbol",
+    "avg_volume": "SELECT symbol, avg(volume) AS avg_volume FROM market_data GROUP BY symbol ORDER BY symbol",
+    "row_count": "SELECT symbol, count(*) AS total_rows FROM market_data GROUP BY symbol ORDER BY symbol",
+    "busiest_hour": "SELECT trade_hour, sum(trade_count) AS total_trades FROM market_data "
+    "GROUP BY trade_hour ORDER BY total_trades DESC, trade_hour LIMIT 1",
+    "busiest_date": "SELECT trade_date, sum(quote_volume) AS total_quote_volume FROM market_data "
+    "GROUP BY trade_date ORDER BY total_quote_volume DESC, trade_date LIMIT 1",
+}
+
+
+def register_market_data(df: DataFrame, name: str = "market_data") -> DataFrame:
+    """Make ``df``, with the candle and time features it lacks, a temporary SQL
+    view called ``name``; returns what the view shows."""
+    out = ensure_candle_features(df)
+    if "trade_hour" not in out.columns:
+        out = derive_time_features(out)
+    out.createOrReplaceTempView(name)
+    return out

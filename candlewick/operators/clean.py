@@ -62,17 +62,25 @@ def dedup_by_key(
     """One row per candle key: the row with the fewest nulls, then the smallest
     ``tiebreak`` (default: md5 of the raw time texts and numbers).
 
-    ``min_by`` over a struct is a partial aggregate, so a hot key is reduced
-    map-side; no per-key window, no group collected into one task.
+    Rows per key are counted first (a hash aggregate of keys only). Keys that
+    occur once pass through an anti join; the ordered pick, whose struct buffer
+    needs a sorted aggregate, runs on repeated keys alone and combines
+    map-side, so no group is collected into one task.
     """
     value_cols = [c for c in df.columns if c not in keys]
     if tiebreak is None:
         tiebreak = F.md5(
             F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in value_cols])
         )
+    names = [f"_k{i}" for i in range(len(keys))]
+    repeated = (
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    )
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(repeated[n]) for k, n in zip(keys, names)])
     order = F.struct(null_count(df.columns).alias("nulls"), tiebreak.alias("tb"))
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*value_cols), order).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in value_cols]).select(*df.columns)
+    best = df.join(repeated, same, "left_semi").groupBy(*keys).agg(F.min_by(F.struct(*value_cols), order).alias("_best"))
+    picked = best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in value_cols]).select(*df.columns)
+    return df.join(repeated, same, "left_anti").unionByName(picked)
 
 
 def rule_columns(df: DataFrame, strict: bool = False) -> dict[str, Column]:

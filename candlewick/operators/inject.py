@@ -43,6 +43,27 @@ def with_uid(df: DataFrame, uid: Column | None = None) -> DataFrame:
     return df.withColumn(UID, uid if uid is not None else text_uid())
 
 
+def with_unique_uid(df: DataFrame) -> DataFrame:
+    """Row identities that stay unique where candles repeat, so that picks are
+    exact there too. An identity that occurs once is itself; repeated ones get
+    the hash of the whole row and, for equal rows, a running number.
+
+    Equal rows are first counted (combined map-side) and made again from the
+    count in steps of bounded size over all tasks, so a group of copies of any
+    size never meets in one task."""
+    if UID in df.columns:
+        return df
+    whole = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in df.columns]))
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_id", text_uid())
+    repeated = rows.groupBy("_id").agg(F.sum("_n").alias("_all")).where("_all > 1").select("_id", F.lit(True).alias("_again"))
+    step = 10_000
+    parts = rows.join(repeated, "_id", "left").withColumn("_from", F.explode(F.expr(f"sequence(1L, _n, {step}L)")))
+    spread = parts.where(f"_n <= {step}").unionByName(parts.where(f"_n > {step}").repartition("_id", "_from"))
+    copies = spread.withColumn("_at", F.explode(F.expr(f"sequence(_from, least(_n, _from + {step - 1}L))")))
+    uid = F.when(F.col("_again"), F.concat("_id", F.lit("|"), whole, F.lit("#"), F.col("_at").cast("string"))).otherwise(F.col("_id"))
+    return copies.select(*df.columns, uid.alias(UID))
+
+
 def _spec(step: str, cap_offset: int = 0):
     fraction, minimum = INJECT_SIZES[step]
     return (fraction, minimum, cap_offset)
@@ -156,26 +177,6 @@ def inject_values(
     return _apply_value_steps(picked, seed, symbols, flags)
 
 
-def corrupt_missing_values(df, seed=42):
-    return inject_values(df, ["missing"], seed)
-
-
-def corrupt_numeric_text(df, seed=42):
-    return inject_values(df, ["text"], seed)
-
-
-def corrupt_invalid_times(df, seed=42):
-    return inject_values(df, ["bad_time"], seed)
-
-
-def corrupt_symbol_names(df, seed=42, symbols: Sequence[str] | None = SYMBOLS):
-    return inject_values(df, ["symbol"], seed, symbols)
-
-
-def corrupt_negative_volumes(df, seed=42):
-    return inject_values(df, ["negative"], seed)
-
-
 def inject_defects(
     df: DataFrame,
     seed: int = 42,

@@ -2,10 +2,11 @@
 and the before/after report.
 
 The report needs two aggregate passes: one over the raw table (row count,
-missing and unparsable values) and one over the de-duplicated table (rule
-hits and the nulls left after cleaning). Results are long (metric, value)
-DataFrames built by ``union`` of one-row aggregates: no joins, nothing
-collected. ``render_report`` formats the bounded report on the driver.
+missing, unparsable and repaired values) and one over the de-duplicated table
+(rule hits and the nulls left after cleaning). Results are long (metric,
+value) DataFrames built from one-row aggregates: no joins, nothing collected.
+``render_report`` formats the bounded report on the driver, ``write_report``
+writes it.
 """
 
 from __future__ import annotations
@@ -15,11 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.functions.exprs import safe_double, safe_timestamp
+from candlewick.functions.exprs import clean_symbol, safe_double, safe_timestamp
 from candlewick.operators import clean as C
-from candlewick.schema import NUMERIC_COLUMNS, TIME_COLUMNS
-
-from candlewick.schema import QUALITY_DECISION, QUALITY_REPORT_LINES
+from candlewick.schema import NUMERIC_COLUMNS, QUALITY_DECISION_REST, QUALITY_REPORT_LINES, RULE_TEXTS, TIME_COLUMNS
 
 
 def _long(one_row: DataFrame, names: Sequence[str], prefix: str = "") -> DataFrame:
@@ -147,14 +146,51 @@ def rule_violation_counts(typed: DataFrame, strict: bool = False) -> DataFrame:
     rules = C.rule_columns(typed, strict)
     one = typed.agg(
         *[F.count_if(r).alias(n) for n, r in rules.items()],
+        sum((F.count_if(r) for r in rules.values()), F.lit(0)).alias("rule_hits"),
         F.count_if(C.violates_any(typed, strict)).alias("rows_removed"),
     )
-    names = list(rules) + ["rows_removed"]
+    names = list(rules) + ["rule_hits", "rows_removed"]
     return _long(one, names).select("metric", "value")
 
 
-def _after_null_exprs(cleaned_cols: Sequence[str], keep: Column, exprs: dict) -> list[Column]:
-    return [F.count_if(keep & exprs[c].isNull()).alias(f"after:{c}") for c in cleaned_cols]
+def invalid_numbers(raw: DataFrame) -> DataFrame:
+    """Per numeric column: missing, unparsable (text present, no number) and
+    both, one aggregate pass."""
+    cols = _numeric_present(raw)
+    one = raw.agg(
+        *[F.count_if(F.col(c).isNull()).alias(f"{c}:missing") for c in cols],
+        *[F.count_if(F.col(c).isNotNull() & safe_double(c).isNull()).alias(f"{c}:unparsable") for c in cols],
+    )
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.col(f"`{c}:missing`").alias("missing"),
+            F.col(f"`{c}:unparsable`").alias("unparsable"),
+            (F.col(f"`{c}:missing`") + F.col(f"`{c}:unparsable`")).alias("invalid"),
+        )
+        for c in cols
+    ]
+    return one.select(F.inline(F.array(*rows)))
+
+
+def repaired(raw: DataFrame) -> Column:
+    """A row that coercion changes: another spelling of the symbol, or a number
+    or time text that becomes null."""
+    out = F.lit(False)
+    if "symbol" in raw.columns:
+        out = out | F.coalesce(F.col("symbol") != clean_symbol("symbol"), F.lit(False))
+    for c in _numeric_present(raw):
+        out = out | (F.col(c).isNotNull() & safe_double(c).isNull())
+    for c in _time_present(raw):
+        out = out | (F.col(c).isNotNull() & safe_timestamp(c).isNull())
+    return out
+
+
+def decision_text(rules: Sequence[str]) -> str:
+    """What the cleaner does, from the rules that are active."""
+    said = [RULE_TEXTS.get(r, r.replace("_", " ")) for r in rules]
+    listed = said[0] if len(said) == 1 else ", ".join(said[:-1]) + " or " + said[-1] if said else "no rule"
+    return f"rows with {listed} are dropped; {QUALITY_DECISION_REST}"
 
 
 def _explode(one_row: DataFrame, items: Sequence[tuple[int, str, Column]]) -> DataFrame:
@@ -176,98 +212,118 @@ def quality_report(
     *,
     strict: bool = False,
     dedup_keys: Sequence[str] | None = None,
-    recheck_duplicates: bool = False,
 ) -> DataFrame:
     """Before/after report as (seq, metric, value), mirroring ``clean_candles``.
 
-    Two aggregate passes: one over ``raw`` (rows, missing values) and one over
-    the de-duplicated table (rows kept, rule hits, nulls left after
-    cleaning). Each pass is exploded into long rows once; the duplicate count
-    (rows before minus rows after de-duplication) combines the two through a
-    union and a global sum, so no join is needed. Rows left after cleaning are
-    distinct by construction, so ``duplicates_after`` is 0 unless
-    ``recheck_duplicates`` asks for a third pass to count it.
+    Two scans of ``raw``: one aggregate over the rows as they are (missing,
+    unparsable and repaired values), one over the de-duplicated table. The
+    second counts rows kept, rule hits and nulls left, and the distinct rows
+    among those kept in the same pass (rows are grouped with their count, so
+    ``duplicates_after`` is measured rather than assumed). The two one-row
+    results meet in a union and a global sum; every report row comes from it.
     """
     from candlewick.operators.analytics import derive_candle_features
 
-    raw_cols = raw.columns
-    before = {c: F.count_if(F.col(c).isNull()) for c in raw_cols}
-    first = raw.agg(
-        F.count(F.lit(1)).alias("rows_before"),
-        *[e.alias(f"b{i}") for i, e in enumerate(before.values())],
-    )
+    raw_cols, numbers, times = raw.columns, _numeric_present(raw), _time_present(raw)
     typed = C.coerce(raw)
     deduped = C.dedup_by_key(typed, dedup_keys) if dedup_keys else C.dedup_rows(typed)
-    rules = C.rule_columns(deduped, strict)
-    removed = C.violates_any(deduped, strict)
     featured = derive_candle_features(deduped)
     clean_cols = list(featured.columns)
-    second = featured.agg(
-        F.count(F.lit(1)).alias("rows_deduped"),
-        F.count_if(~removed).alias("rows_after"),
-        F.count_if(removed).alias("rule_removed"),
-        *[F.count_if(r).alias(f"r{i}") for i, r in enumerate(rules.values())],
-        *[F.count_if(~removed & F.col(c).isNull()).alias(f"a{i}") for i, c in enumerate(clean_cols)],
-    )
-    before_total = sum((F.col(f"b{i}") for i in range(len(raw_cols))), F.lit(0))
-    after_total = sum((F.col(f"a{i}") for i in range(len(clean_cols))), F.lit(0))
-    long_first = _explode(
-        first,
-        [(0, "rows_before", F.col("rows_before")), (199, "missing_before_total", before_total)]
-        + [(100 + i, f"missing_before:{c}", F.col(f"b{i}")) for i, c in enumerate(raw_cols)]
-        + [(-1, "_dup", F.col("rows_before"))],
-    )
-    long_second = _explode(
-        second,
-        [
-            (1, "rows_after", F.col("rows_after")),
-            (299, "missing_after_total", after_total),
-            (302, "rule_removed", F.col("rule_removed")),
-            (-1, "_dup", -F.col("rows_deduped")),
-        ]
-        + [(200 + i, f"missing_after:{c}", F.col(f"a{i}")) for i, c in enumerate(clean_cols)]
-        + [(303 + i, n, F.col(f"r{i}")) for i, n in enumerate(rules)],
-    )
-    both = long_first.unionByName(long_second)
-    dup_before = (
-        both.filter(F.col("metric") == "_dup")
-        .agg(F.sum("value").alias("value"))
-        .select(F.lit(300).alias("seq"), F.lit("duplicates_before").alias("metric"), F.col("value").cast("bigint"))
-    )
-    if recheck_duplicates:
-        cleaned = featured.filter(~removed)
-        dup_after = (
-            cleaned.agg(F.count(F.lit(1)).alias("n"))
-            .unionByName(cleaned.dropDuplicates().agg((-F.count(F.lit(1))).alias("n")))
-            .agg(F.sum("n").alias("value"))
-            .select(F.lit(301).alias("seq"), F.lit("duplicates_after").alias("metric"), F.col("value").cast("bigint"))
-        )
-    else:
-        dup_after = first.select(
-            F.lit(301).alias("seq"), F.lit("duplicates_after").alias("metric"), F.lit(0).cast("bigint").alias("value")
-        )
-    return both.filter(F.col("metric") != "_dup").unionByName(dup_before).unionByName(dup_after)
+    # equal rows of the cleaned table, grouped: one row and how many there are
+    grouped = featured.groupBy(*clean_cols).agg(F.count(F.lit(1)).alias("_copies"))
+    rules = C.rule_columns(grouped.drop("_copies"), strict)
+    removed = C.violates_any(grouped.drop("_copies"), strict)
+
+    def rows_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("_copies"))), F.lit(0))
+
+    one: dict[str, Column] = {"rows_before": F.count(F.lit(1))}
+    one |= {f"b{i}": F.count_if(F.col(c).isNull()) for i, c in enumerate(raw_cols)}
+    one |= {f"n{i}": F.count_if(F.col(c).isNotNull() & safe_double(c).isNull()) for i, c in enumerate(numbers)}
+    one |= {f"t{i}": F.count_if(F.col(c).isNotNull() & safe_timestamp(c).isNull()) for i, c in enumerate(times)}
+    bad_number = F.lit(False)
+    for c in numbers:
+        bad_number = bad_number | safe_double(c).isNull()
+    one |= {"invalid_numeric_rows": F.count_if(bad_number), "rows_repaired": F.count_if(repaired(raw))}
+    two: dict[str, Column] = {
+        "rows_deduped": F.coalesce(F.sum("_copies"), F.lit(0)),
+        "rows_after": rows_where(~removed),
+        "distinct_after": F.count_if(~removed),
+        "rule_removed": rows_where(removed),
+    }
+    two |= {f"r{i}": rows_where(r) for i, r in enumerate(rules.values())}
+    two |= {f"a{i}": rows_where(~removed & F.col(c).isNull()) for i, c in enumerate(clean_cols)}
+    zero = F.lit(0).cast("bigint")
+    first = raw.agg(*[e.cast("bigint").alias(n) for n, e in one.items()]).select(*one, *[zero.alias(n) for n in two])
+    second = grouped.agg(*[e.cast("bigint").alias(n) for n, e in two.items()]).select(*[zero.alias(n) for n in one], *two)
+    facts = first.unionByName(second).agg(*[F.sum(n).alias(n) for n in (*one, *two)])
+
+    def total(prefix: str, n: int) -> Column:
+        return sum((F.col(f"{prefix}{i}") for i in range(n)), zero)
+
+    items = [
+        (0, "rows_before", F.col("rows_before")),
+        (1, "rows_after", F.col("rows_after")),
+        (199, "missing_before_total", total("b", len(raw_cols))),
+        (299, "missing_after_total", total("a", len(clean_cols))),
+        (300, "duplicates_before", F.col("rows_before") - F.col("rows_deduped")),
+        (301, "duplicates_after", F.col("rows_after") - F.col("distinct_after")),
+        (302, "rule_removed", F.col("rule_removed")),
+        (390, "rule_hits", total("r", len(rules))),
+        (400, "invalid_numeric_rows", F.col("invalid_numeric_rows")),
+        (401, "rows_repaired", F.col("rows_repaired")),
+    ]
+    items += [(100 + i, f"missing_before:{c}", F.col(f"b{i}")) for i, c in enumerate(raw_cols)]
+    items += [(200 + i, f"missing_after:{c}", F.col(f"a{i}")) for i, c in enumerate(clean_cols)]
+    items += [(303 + i, n, F.col(f"r{i}")) for i, n in enumerate(rules)]
+    items += [(410 + i, f"unparsable:{c}", F.col(f"n{i}")) for i, c in enumerate(numbers)]
+    items += [(430 + i, f"unparsable:{c}", F.col(f"t{i}")) for i, c in enumerate(times)]
+    return _explode(facts, items)
 
 
 def render_report(report: DataFrame) -> str:
-    """Text form of the (bounded, ~40-row) report, rendered on the driver."""
+    """Text form of the (bounded, ~50-row) report, rendered on the driver."""
     rows = sorted(report.collect(), key=lambda r: r["seq"])
     vals = {r["metric"]: r["value"] for r in rows}
-    before = {r["metric"][len("missing_before:"):]: r["value"] for r in rows if r["metric"].startswith("missing_before:")}
-    after = {r["metric"][len("missing_after:"):]: r["value"] for r in rows if r["metric"].startswith("missing_after:")}
+
+    def of(prefix: str) -> dict:
+        return {r["metric"][len(prefix) :]: r["value"] for r in rows if r["metric"].startswith(prefix)}
+
+    rules = [r["metric"] for r in rows if 303 <= r["seq"] < 390]
     values = [
         None,
         vals.get("rows_before"),
         vals.get("rows_after"),
-        before,
-        after,
+        of("missing_before:"),
+        of("missing_after:"),
         vals.get("duplicates_before"),
         vals.get("duplicates_after"),
         vals.get("rule_removed"),
         vals.get("negative_volume"),
         vals.get("negative_trade_count"),
         vals.get("high_lt_low"),
-        QUALITY_DECISION,
+        decision_text(rules),
     ]
     lines = [fmt.format(v) if v is not None or "{}" in fmt else fmt for fmt, v in zip(QUALITY_REPORT_LINES, values)]
+    lines[-1:-1] = [f"{RULE_TEXTS.get(r, r)}: {vals[r]}" for r in rules if r not in ("negative_volume", "negative_trade_count", "high_lt_low")]
+    lines[-1:-1] = [
+        f"Rule hits in all: {vals.get('rule_hits')}",
+        f"Rows with an invalid number: {vals.get('invalid_numeric_rows')}",
+        f"Unparsable values (per column): {of('unparsable:')}",
+        f"Rows repaired: {vals.get('rows_repaired')}",
+    ]
     return "\n".join(lines)
+
+
+def write_report(report: DataFrame, path: str) -> str:
+    """The report's text form as one UTF-8 file at ``path`` (overwritten), on
+    any file system that Spark writes to."""
+    text = render_report(report) + "\n"
+    spark = report.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return path

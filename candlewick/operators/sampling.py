@@ -146,6 +146,21 @@ def widest_range_row(df: DataFrame) -> DataFrame:
     ).select("w.symbol", "w.open_time", "w.price_range")
 
 
-def distinct_symbols(df: DataFrame, limit: int = 20) -> DataFrame:
-    """Up to ``limit`` distinct non-null symbols, in order."""
-    return df.select("symbol").filter(F.col("symbol").isNotNull()).distinct().orderBy("symbol").limit(limit)
+def distinct_symbols(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Distinct non-null symbols, in order; the first ``limit`` for a preview."""
+    out = df.select("symbol").filter(F.col("symbol").isNotNull()).distinct().orderBy("symbol")
+    return out if limit is None else out.limit(limit)
+
+
+def sample_against_full(sample: DataFrame, full: DataFrame) -> DataFrame:
+    """Per symbol: rows, average close and average volume of the sample beside
+    those of all rows. Both sides are aggregated before the join."""
+
+    def averages(df: DataFrame, side: str) -> DataFrame:
+        return df.where("symbol is not null").groupBy("symbol").agg(
+            F.count(F.lit(1)).alias(f"{side}_rows"),
+            F.avg("close").alias(f"{side}_avg_close"),
+            F.avg("volume").alias(f"{side}_avg_volume"),
+        )
+
+    return averages(full, "full").join(averages(sample, "sample"), "symbol", "left")

@@ -3,18 +3,19 @@
 ``trailing_count`` gives every row the number of rows with the same key in
 the ``window_us`` microseconds up to and including its own time, and flags
 counts above ``limit``. A plain ``RANGE`` window partitioned by key would put
-a hot key (or the whole table, without a key) into one task. Instead:
-
-1. rows are pre-aggregated to (key, time, n) - copies at one instant combine
-   map-side;
-2. time is cut into buckets of the window length; each (key, time, n) row is
-   also sent to the next bucket as context, so a window partitioned by
-   (key, bucket) sees everything its trailing frame can reach;
-3. the frame sum over (key, bucket) is the trailing count; it is joined back
-   to the rows on (key, time).
-
-A task holds the distinct instants of one key in two window lengths (at
-most 2 x 6e7 for a 60 s window at microsecond resolution), never a whole key.
+a hot key (or the whole table, without a key) into one task. Instead time is
+cut into buckets of a 60th of the window. The count of a row is then
+
+* the rows of its own bucket up to its time,
+* plus the rows of the bucket one window earlier that are later than its time
+  minus the window,
+* plus everything in the 59 buckets between, taken from per-bucket counts.
+
+Every row goes to its own bucket with its columns and, as a bare mark, to the
+bucket one window later; one shuffle by (key, bucket) and running sums give
+the first two parts. The third comes in as one row per bucket. No join is
+needed, and a task holds two buckets' rows of a key, never a key's. Only the
+per-bucket counts of a key (time span / bucket length rows) meet in one task.
 """
 
 from __future__ import annotations
@@ -29,11 +30,15 @@ from candlewick.schema import RATE_LIMIT, RATE_WINDOW_SECONDS
 
 
 
+#: Buckets per window (1 when the window's length is not a multiple).
+SUB_BUCKETS = 60
+
+
 def _micros(df: DataFrame, ts: str):
-    """Epoch microseconds of the (renamed) time column, zone independent."""
+    """Epoch microseconds of the time column, zone independent."""
     if dict(df.dtypes)[ts] == "timestamp_ntz":
-        return ntz_epoch_micros(F.col("_t"))
-    return F.unix_micros(F.col("_t").cast("timestamp"))
+        return ntz_epoch_micros(F.col(ts))
+    return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
 def trailing_count(
@@ -44,28 +49,32 @@ def trailing_count(
     limit: int = RATE_LIMIT,
     out: str = "trailing_count",
 ) -> DataFrame:
+    """``df`` with ``out`` and ``over_limit``. Null keys form a group; rows
+    without a time bypass the windows and get nulls."""
     keys = list(keys)
-    per_instant = df.groupBy(*keys, F.col(ts).alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
-    per_instant = per_instant.withColumn("_us", _micros(df, ts))
-    # exact integer floor division (also for times before 1970)
-    bucket = (F.col("_us") - F.pmod(F.col("_us"), F.lit(window_us))).cast("bigint") / F.lit(window_us)
-    bucket = bucket.cast("bigint")
-    spread = per_instant.withColumn(
-        "_x", F.explode(F.array(F.struct(bucket.alias("b"), F.lit(True).alias("own")),
-                                F.struct((bucket + 1).alias("b"), F.lit(False).alias("own"))))
-    ).select(*keys, "_t", "_us", "_n", F.col("_x.b").alias("_b"), F.col("_x.own").alias("_own"))
-    w = (
-        Window.partitionBy(*keys, "_b")
-        .orderBy("_us")
-        .rangeBetween(-(window_us - 1), 0)
-    )
-    counts = (
-        spread.withColumn("_c", F.sum("_n").over(w))
-        .filter(F.col("_own"))
-        .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_t"), F.col("_c").alias(out))
+    parts = SUB_BUCKETS if window_us % SUB_BUCKETS == 0 else 1
+    length = window_us // parts
+    base = df.withColumn("_at", _micros(df, ts))
+    timed, untimed = base.where("_at is not null"), base.where("_at is null").drop("_at")
+
+    def bucket(at):  # exact integer floor division (also for times before 1970)
+        return F.expr(f"({at} - pmod({at}, {length}L)) div {length}L")
+
+    none = [F.lit(None).cast(kind).alias(c) for c, kind in df.dtypes if c not in keys]
+    rest = [c for c in df.columns if c not in keys]
+    own = timed.select(*keys, *rest, "_at", bucket("_at").alias("_b"), F.lit(1).alias("_own"), F.lit(0).alias("_past"), F.lit(0).cast("long").alias("_between"))
+    past = timed.select(
+        *keys, *none, (F.col("_at") + window_us).alias("_at"), (bucket("_at") + parts).alias("_b"),
+        F.lit(0).alias("_own"), F.lit(1).alias("_past"), F.lit(0).cast("long").alias("_between"),
+    )
+    per_bucket = timed.groupBy(*keys, bucket("_at").alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_b").rangeBetween(-(parts - 1), -1)
+    between = per_bucket.withColumn("_between", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) if parts > 1 else F.lit(0).cast("long")).select(
+        *keys, *none, (F.col("_b") * length).alias("_at"), "_b", F.lit(0).alias("_own"), F.lit(0).alias("_past"), "_between"
     )
-    # Null-safe equality: rows with a null key still get their group's count;
-    # rows without a time have no window and get a null count.
-    cond = [df[k].eqNullSafe(counts[f"_k{i}"]) for i, k in enumerate(keys)] + [df[ts] == counts["_t"]]
-    result = df.join(counts, cond, "left").drop("_t", *[f"_k{i}" for i in range(len(keys))])
+    group = Window.partitionBy(*keys, "_b")
+    so_far = group.orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+    count = F.sum("_own").over(so_far) + F.sum("_past").over(group) - F.sum("_past").over(so_far) + F.max("_between").over(group)
+    counted = own.unionByName(past).unionByName(between).withColumn(out, count).where("_own = 1").select(*df.columns, out)
+    result = counted.unionByName(untimed.withColumn(out, F.lit(None).cast("long")))
     return result.withColumn("over_limit", F.col(out) > F.lit(limit))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from candlewick.operators import analytics as A
 from candlewick.plans import sql as S
 from candlewick.plans.registry import as_dec, event_candles, lineitem_candles, query
-from candlewick.session import configure
 
 C = [("candles", S.CANDLES)]
 CF = C + [("feat", S.features("candles"))]
@@ -225,16 +224,41 @@ def q_interpretation(spark, sf):
     return A.interpretation(event_candles(spark, sf))
 
 
+def _statement(name: str, decimals: tuple[str, ...] = ()):
+    """A statement of the SQL surface over the market_data view."""
+
+    def fn(spark, sf):
+        A.register_market_data(event_candles(spark, sf))
+        return as_dec(spark.sql(A.MARKET_DATA_SQL[name]), decimals)
+
+    return fn
+
+
 @query(
     "limit_10",
     S.with_ctes(CT, "SELECT count(*) AS n FROM (SELECT * FROM tf LIMIT 10) l"),
 )
 def q_limit(spark, sf):
-    """``SELECT * FROM market_data LIMIT 10``: which rows is undefined, so the
-    comparable result is the number of rows returned."""
-    configure(spark)
-    event_candles(spark, sf).transform(A.derive_time_features).createOrReplaceTempView("market_data")
-    return spark.sql("SELECT count(*) AS n FROM (SELECT * FROM market_data LIMIT 10)")
+    """Which ten rows the preview shows is undefined, so the comparable result
+    is the number of rows returned."""
+    return _statement("preview")(spark, sf).agg(F.count(F.lit(1)).alias("n"))
+
+
+query(
+    "sql_avg_close",
+    S.with_ctes(C, f"SELECT symbol, {S.dec('avg(close)', 'avg_close_price')} FROM candles GROUP BY symbol"),
+)(_statement("avg_close", ("avg_close_price",)))
+query(
+    "sql_avg_volume",
+    S.with_ctes(C, f"SELECT symbol, {S.dec('avg(volume)', 'avg_volume')} FROM candles GROUP BY symbol"),
+)(_statement("avg_volume", ("avg_volume",)))
+query("sql_row_count", S.with_ctes(C, "SELECT symbol, count(*) AS total_rows FROM candles GROUP BY symbol"))(
+    _statement("row_count")
+)
+query("sql_busiest_hour", _busiest_sql("trade_hour", "trade_count", "total_trades", "BIGINT"))(_statement("busiest_hour"))
+query("sql_busiest_date", _busiest_sql("trade_date", "quote_volume", "total_quote_volume", None))(
+    _statement("busiest_date", ("total_quote_volume",))
+)
 
 
 @query(

@@ -16,6 +16,7 @@ from candlewick.operators import quality as Q
 from candlewick.plans import sql as S
 from candlewick.plans import sql_clean as X
 from candlewick.plans.registry import event_candles, query
+from candlewick.schema import CANDLE_COLUMNS, NUMERIC_COLUMNS
 
 SEED = 42
 SAMPLE_SEED = 1
@@ -108,6 +109,42 @@ def q_inject_summary(spark, sf):
     return I.injection_summary(event_text(spark, sf), SEED, symbols=None)
 
 
+# Candles that repeat: all of them, those of even hours twice more (equal rows)
+# and those of odd hours once more with another close (same identity).
+_REPEATED = """SELECT * FROM m_text UNION ALL SELECT m_text.* FROM m_text, (VALUES (1), (2)) v(i)
+WHERE CAST(substr(open_time, 12, 2) AS INTEGER) % 2 = 0
+UNION ALL SELECT * REPLACE ('1.00000000' AS close) FROM m_text WHERE CAST(substr(open_time, 12, 2) AS INTEGER) % 2 = 1"""
+_IDENTITY = "coalesce(symbol, '\\N') || '|' || coalesce(\"interval\", '\\N') || '|' || coalesce(open_time, '\\N')"
+_WHOLE = "md5(" + " || '|' || ".join(f"coalesce({X.qi(c)}, '\\N')" for c in CANDLE_COLUMNS) + ")"
+
+
+@query(
+    "inject_drop_repeated",
+    S.with_ctes(
+        TEXT[:-1]
+        + [
+            ("r_all", _REPEATED),
+            ("r_id", f"SELECT *, {_IDENTITY} AS _id, {_WHOLE} AS _row FROM r_all"),
+            (
+                "r_uid",
+                "SELECT * EXCLUDE (_id, _row), CASE WHEN count(*) OVER (PARTITION BY _id) = 1 THEN _id ELSE _id || '|' || _row "
+                "|| '#' || CAST(row_number() OVER (PARTITION BY _id, _row) AS VARCHAR) END AS _uid FROM r_id",
+            ),
+        ]
+        + X.drop_ctes("r_uid", SEED),
+        f"SELECT {TC} FROM i_drop",
+    ),
+)
+def q_drop_repeated(spark, sf):
+    """Dropping rows from a table in which candles repeat: exactly as many go as
+    the fraction says, though identities (and whole rows) are not unique."""
+    text = event_text(spark, sf)
+    hour = F.substring("open_time", 12, 2).cast("int")
+    even, odd = text.where(hour % 2 == 0), text.where(hour % 2 == 1)
+    rows = text.unionByName(even).unionByName(even).unionByName(odd.withColumn("close", F.lit("1.00000000")))
+    return I.drop_rows(I.with_unique_uid(rows), SEED).drop(I.UID)
+
+
 # --- coercion and profiling ------------------------------------------------
 
 
@@ -129,7 +166,7 @@ def q_symbol(spark, sf):
     )
 
 
-_NUM = ["open", "high", "low", "close", "volume", "quote_volume", "trade_count"]
+_NUM = [c for c in NUMERIC_COLUMNS if c in CANDLE_COLUMNS]
 
 
 @query(
@@ -169,8 +206,7 @@ def q_ts(spark, sf):
 
 _NULLS = " UNION ALL ".join(
     f"SELECT {X.q(c)} AS \"column\", count(*) - count({X.q(c)[1:-1] if c != 'interval' else '\"interval\"'}) AS missing FROM messy"
-    for c in ["symbol", "interval", "open_time", "open", "high", "low", "close", "volume",
-              "close_time", "quote_volume", "trade_count"]
+    for c in CANDLE_COLUMNS
 )
 
 
@@ -235,8 +271,7 @@ def q_dedup(spark, sf):
 
 _RAW_TB = "md5(" + " || '|' || ".join(
     f"coalesce({'\"interval\"' if c == 'interval' else c}, '\\N')"
-    for c in ["symbol", "interval", "open_time", "open", "high", "low", "close", "volume",
-              "close_time", "quote_volume", "trade_count"]
+    for c in CANDLE_COLUMNS
 ) + ")"
 
 
@@ -279,7 +314,10 @@ def q_dedup_key(spark, sf):
         " UNION ALL ".join(
             f"SELECT '{n}' AS metric, CAST(count_if({e}) AS BIGINT) AS value FROM c_dedup"
             for n, e in list(X.RULES.items()) + [("rows_removed", X.any_rule())]
-        ),
+        )
+        + " UNION ALL SELECT 'rule_hits', CAST("
+        + " + ".join(f"count_if({e})" for e in X.RULES.values())
+        + " AS BIGINT) FROM c_dedup",
     ),
 )
 def q_rules(spark, sf):

@@ -14,9 +14,9 @@ from candlewick.plans import sql as S
 from candlewick.plans import sql_clean as X
 from candlewick.plans.q_clean import CLEAN, MESSY, SAMPLE, SAMPLE_SEED, cleaned, messy
 from candlewick.plans.registry import as_dec, event_candles, query
-from candlewick.schema import CANDLE_COLUMNS
+from candlewick.schema import CANDLE_COLUMNS, NUMERIC_COLUMNS, TIME_COLUMNS
 from candlewick.sources.files import read_table
-from candlewick.sources.klines import candles_to_kline_json, decode_klines
+from candlewick.sources.klines import candles_to_kline_json, decode_klines, payload_fault
 from candlewick.session import configure
 
 _RAW = list(CANDLE_COLUMNS)
@@ -57,6 +57,22 @@ def _report_sql(clean_ctes=None) -> str:
         f"SELECT {303 + i}, '{n}', (SELECT count_if({e}) FROM c_dedup)"
         for i, (n, e) in enumerate(X.RULES.items())
     ]
+    numbers = [c for c in _RAW if c in NUMERIC_COLUMNS]
+    bad = {c: f"({c} IS NOT NULL AND {X.safe_double(c)} IS NULL)" for c in numbers}
+    bad |= {c: f"({c} IS NOT NULL AND {X.safe_ts(c)} IS NULL)" for c in TIME_COLUMNS}
+    # the column order of the report follows NUMERIC_COLUMNS
+    rows += [
+        f"SELECT {410 + i}, 'unparsable:{c}', (SELECT count_if({bad[c]}) FROM messy)"
+        for i, c in enumerate(n for n in NUMERIC_COLUMNS if n in numbers)
+    ]
+    rows += [f"SELECT {430 + i}, 'unparsable:{c}', (SELECT count_if({bad[c]}) FROM messy)" for i, c in enumerate(TIME_COLUMNS)]
+    any_null = " OR ".join(f"{X.safe_double(c)} IS NULL" for c in numbers)
+    respelled = f"coalesce(symbol <> {X.clean_symbol('symbol')}, false)"
+    rows += [
+        "SELECT 390, 'rule_hits', (SELECT " + " + ".join(f"count_if({e})" for e in X.RULES.values()) + " FROM c_dedup)",
+        f"SELECT 400, 'invalid_numeric_rows', (SELECT count_if({any_null}) FROM messy)",
+        f"SELECT 401, 'rows_repaired', (SELECT count_if({' OR '.join([respelled, *bad.values()])}) FROM messy)",
+    ]
     body = " UNION ALL ".join(rows)
     return S.with_ctes(
         clean_ctes or CLEAN,
@@ -71,7 +87,25 @@ def q_report(spark, sf):
 
 @query("quality_report_rechecked", _report_sql())
 def q_report_recheck(spark, sf):
-    return Q.quality_report(messy(spark, sf), recheck_duplicates=True)
+    """The same report over the dirty table read in another partitioning."""
+    return Q.quality_report(messy(spark, sf).repartition(7, "symbol", "open_time"))
+
+
+@query(
+    "invalid_numbers",
+    S.with_ctes(
+        MESSY,
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing, "
+            f"CAST(count_if({c} IS NOT NULL AND {X.safe_double(c)} IS NULL) AS BIGINT) AS unparsable, "
+            f"CAST(count_if({X.safe_double(c)} IS NULL) AS BIGINT) AS invalid FROM messy"
+            for c in _RAW
+            if c in NUMERIC_COLUMNS
+        ),
+    ),
+)
+def q_invalid_numbers(spark, sf):
+    return Q.invalid_numbers(messy(spark, sf))
 
 
 # --- sampling -------------------------------------------------------------
@@ -149,7 +183,7 @@ def q_top_volume(spark, sf):
 @query(
     "distinct_symbols_raw",
     S.with_ctes(
-        MESSY, "SELECT DISTINCT symbol FROM messy WHERE symbol IS NOT NULL ORDER BY symbol LIMIT 20"
+        MESSY, "SELECT DISTINCT symbol FROM messy WHERE symbol IS NOT NULL"
     ),
 )
 def q_distinct_raw(spark, sf):
@@ -159,7 +193,7 @@ def q_distinct_raw(spark, sf):
 @query(
     "distinct_symbols_clean",
     S.with_ctes(
-        CLEAN, "SELECT DISTINCT symbol FROM cleaned WHERE symbol IS NOT NULL ORDER BY symbol LIMIT 20"
+        CLEAN, "SELECT DISTINCT symbol FROM cleaned WHERE symbol IS NOT NULL"
     ),
 )
 def q_distinct_clean(spark, sf):
@@ -283,8 +317,11 @@ def q_trailing_global(spark, sf):
     "record_count_check",
     S.with_ctes(
         [("candles", S.CANDLES)],
-        "SELECT symbol, count(*) AS direct_rows, count(*) AS decoded_rows, true AS equal "
-        "FROM candles GROUP BY symbol",
+        # decoded rows are counted from the events, not from the candles
+        """SELECT symbol, direct_rows, decoded_rows, coalesce(direct_rows = decoded_rows, false) AS equal
+FROM (SELECT symbol, count(*) AS direct_rows FROM candles GROUP BY symbol) a
+FULL JOIN (SELECT upper(event_type) || 'USDT' AS symbol, count(DISTINCT date_trunc('hour', ts)) AS decoded_rows
+           FROM events GROUP BY 1) b USING (symbol)""",
     ),
 )
 def q_count_check(spark, sf):
@@ -300,3 +337,76 @@ def q_count_check(spark, sf):
         "decoded_rows",
         F.coalesce(F.col("direct_rows") == F.col("decoded_rows"), F.lit(False)).alias("equal"),
     )
+
+
+@query(
+    "expected_count_check",
+    S.with_ctes(
+        [("candles", S.CANDLES)],
+        """SELECT symbol, count(*) AS n, (SELECT count(DISTINCT date_trunc('hour', ts)) FROM events) AS expected,
+       count(*) = (SELECT count(DISTINCT date_trunc('hour', ts)) FROM events) AS ok
+FROM candles GROUP BY symbol""",
+    ),
+)
+def q_expected_count(spark, sf):
+    """Rows per symbol against the records asked for: one per hour that the
+    event stream covers (the collector's symbols x limit check)."""
+    configure(spark)
+    hours = read_table(spark, sf, "events").select(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("h")).distinct().count()
+    return Q.count_check(event_candles(spark, sf), hours)
+
+
+_AVERAGES = "count(*) AS {0}_rows, avg(close) AS {0}_c, avg(volume) AS {0}_v"
+
+
+@query(
+    "sample_against_full",
+    S.with_ctes(
+        SAMPLE,
+        f"""SELECT symbol, full_rows, {S.dec('full_c', 'full_avg_close')}, {S.dec('full_v', 'full_avg_volume')},
+       sample_rows, {S.dec('sample_c', 'sample_avg_close')}, {S.dec('sample_v', 'sample_avg_volume')}
+FROM (SELECT symbol, {_AVERAGES.format('full')} FROM cleaned WHERE symbol IS NOT NULL GROUP BY symbol) f
+LEFT JOIN (SELECT symbol, {_AVERAGES.format('sample')} FROM sample GROUP BY symbol) s USING (symbol)""",
+    ),
+)
+def q_sample_full(spark, sf):
+    full = cleaned(spark, sf)
+    out = SM.sample_against_full(SM.stratified_sample(full, n=5, seed=SAMPLE_SEED), full)
+    return as_dec(out, [c for c in out.columns if "_avg_" in c])
+
+
+_PAYLOADS = """SELECT upper(event_type) || 'USDT' AS symbol, CAST(date_trunc('day', ts) AS DATE) AS day,
+       count(DISTINCT date_trunc('hour', ts)) AS records, count(*) % 7 AS kind FROM events GROUP BY 1, 2"""
+
+
+@query(
+    "kline_decode_bad_payloads",
+    f"""SELECT symbol, CAST(count_if(kind > 3) AS BIGINT) AS good_payloads,
+       CAST(coalesce(sum(CASE WHEN kind > 3 THEN records END), 0) AS BIGINT) AS decoded_rows,
+       CAST(count_if(kind <= 2) AS BIGINT) AS not_arrays, CAST(count_if(kind = 3) AS BIGINT) AS short_records
+FROM ({_PAYLOADS}) p GROUP BY symbol""",
+)
+def q_bad_payloads(spark, sf):
+    """Payloads of the event candles, three in seven kinds damaged by the day's
+    event count: an error object, a cut-off array, garbage, a short record.
+    Good ones decode, the others are reported, none vanishes."""
+    candles = event_candles(spark, sf)
+    counts = candles.groupBy("symbol", F.to_date("open_time").alias("day")).agg((F.sum("trade_count") % 7).alias("kind"))
+    kind, value = F.col("kind"), F.col("value")
+    broken = (
+        F.when(kind == 0, F.lit('{"code":-1121,"msg":"Invalid symbol."}'))
+        .when(kind == 1, F.substring(value, F.lit(1), (F.length(value) / 2).cast("int")))
+        .when(kind == 2, F.lit("<html>busy</html>"))
+        .when(kind == 3, F.lit('[[1,"2","3"]]'))
+        .otherwise(value)
+    )
+    payloads = candles_to_kline_json(candles).join(counts, ["symbol", "day"]).withColumn("value", broken)
+    decoded = decode_klines(payloads, on_bad="skip").groupBy("symbol").agg(F.count(F.lit(1)).alias("decoded_rows"))
+    faults = payloads.withColumn("fault", payload_fault("value")).groupBy("symbol").agg(
+        F.count_if(F.col("fault").isNull()).alias("good_payloads"),
+        F.count_if(F.col("fault").startswith("not")).alias("not_arrays"),
+        F.count_if(F.col("fault").startswith("record")).alias("short_records"),
+    )
+    return faults.join(decoded, "symbol", "left").select(
+        "symbol", "good_payloads", F.coalesce("decoded_rows", F.lit(0)).cast("bigint").alias("decoded_rows"), "not_arrays", "short_records"
+    )

@@ -25,26 +25,20 @@ def dec(expr: str, alias: str) -> str:
 
 
 def candles_sql(interval: str = "1h") -> str:
-    from candlewick.sources.adapters import INTERVALS, order_bits
-
-    unit, length_us = INTERVALS[interval]
-    shift = 2 ** order_bits(interval)
-    key = (
-        f"(epoch_us(ts) - epoch_us(date_trunc('{unit}', ts))) * {shift} + (event_id % {shift})"
-    )
+    unit, last_ms = {"1m": ("minute", 59_999), "1h": ("hour", 3_599_999), "1d": ("day", 86_399_999)}[interval]
     return f"""
 SELECT symbol, '{interval}' AS "interval", open_time, open, high, low, close, volume,
-       open_time + INTERVAL {length_us // 1000 - 1} MILLISECOND AS close_time, quote_volume, trade_count
+       open_time + INTERVAL {last_ms} MILLISECOND AS close_time, quote_volume, trade_count
 FROM (
   SELECT upper(event_type) || 'USDT' AS symbol,
          date_trunc('{unit}', ts) AS open_time,
-         arg_min(value, {key}) AS open,
+         first(value ORDER BY ts, event_id) AS open,
          max(value) AS high,
          min(value) AS low,
-         arg_max(value, {key}) AS close,
-         CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS volume,
-         CAST(sum(CAST(value AS DECIMAL(18,2))
-                  * CAST(json_extract_string(props, '$.k') AS BIGINT)) AS DOUBLE) AS quote_volume,
+         last(value ORDER BY ts, event_id) AS close,
+         CAST(sum(CAST(value AS DECIMAL(24,8))) AS DOUBLE) AS volume,
+         CAST(sum(CAST(value AS DECIMAL(24,8))
+                  * CAST(json_extract_string(props, '$.k') AS DECIMAL(12,0))) AS DOUBLE) AS quote_volume,
          count(*) AS trade_count
   FROM events
   GROUP BY 1, 2
@@ -59,12 +53,10 @@ SELECT symbol, '1d' AS "interval", open_time, open, high, low, close, volume,
 FROM (
   SELECT l_returnflag || l_linestatus || 'USDT' AS symbol,
          date_trunc('day', l_shipdate) AS open_time,
-         arg_min(l_extendedprice, (l_orderkey * 8 + l_linenumber) * 1048576
-                 + (CAST(round(l_extendedprice * 100.0) AS BIGINT) % 1048576)) AS open,
+         first(l_extendedprice ORDER BY l_orderkey, l_linenumber, l_extendedprice) AS open,
          max(l_extendedprice) AS high,
          min(l_extendedprice) AS low,
-         arg_max(l_extendedprice, (l_orderkey * 8 + l_linenumber) * 1048576
-                 + (CAST(round(l_extendedprice * 100.0) AS BIGINT) % 1048576)) AS close,
+         last(l_extendedprice ORDER BY l_orderkey, l_linenumber, l_extendedprice) AS close,
          CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS volume,
          CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))
                   * (1 - CAST(l_discount AS DECIMAL(18,2)))) AS DOUBLE) AS quote_volume,

@@ -22,6 +22,11 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def qi(c: str) -> str:
+    """A column name, quoted where SQL reserves it."""
+    return f'"{c}"' if c == "interval" else c
+
+
 def iso(c: str) -> str:
     return (
         f"(CASE WHEN date_trunc('second', {c}) = {c} THEN strftime({c}, '%Y-%m-%dT%H:%M:%S') "

@@ -35,8 +35,20 @@ CANDLE_COLUMNS = (
     "quote_volume",
     "trade_count",
 )
-# Numeric columns coerced by the cleaner.
-NUMERIC_COLUMNS = ("open", "high", "low", "close", "volume", "quote_volume", "trade_count")
+# Columns that a collector may add behind the base columns.
+TAKER_COLUMNS = ("taker_buy_base_volume", "taker_buy_quote_volume")
+# Numeric columns coerced by the cleaner (taker columns only when present).
+NUMERIC_COLUMNS = (
+    "open",
+    "high",
+    "low",
+    "close",
+    "volume",
+    "quote_volume",
+    "trade_count",
+    "taker_buy_base_volume",
+    "taker_buy_quote_volume",
+)
 # Numeric columns known to the defect injector (taker columns only when present).
 INJECT_NUMERIC_COLUMNS = (
     "open",
@@ -124,10 +136,17 @@ QUALITY_REPORT_LINES = (
     "Rows where high < low: {}",
     "Cleaning decision: {}",
 )
-QUALITY_DECISION = (
-    "removed rows with negative volume/trade_count or high < low; converted numeric and "
-    "timestamp columns using safe coercion; deduplicated rows; cleaned symbol formatting."
-)
+# How the cleaning decision names a rule, and what the cleaner always does.
+RULE_TEXTS = {
+    "negative_volume": "a negative volume",
+    "negative_trade_count": "a negative trade count",
+    "high_lt_low": "a high below the low",
+    "negative_quote_volume": "a negative quote volume",
+    "negative_taker_buy_base_volume": "a negative taker base volume",
+    "negative_taker_buy_quote_volume": "a negative taker quote volume",
+    "missing_required": "a required value missing",
+}
+QUALITY_DECISION_REST = "numbers and times that cannot be read become null, symbols are spelled one way, equal rows are kept once."
 # Request-rate limit of the collector: at most RATE_LIMIT requests per window.
 RATE_LIMIT = 100
 RATE_WINDOW_SECONDS = 60

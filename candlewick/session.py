@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,23 +24,29 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Beyond this, shuffle blocks (map tasks x partitions) burden the driver more
+#: than larger partitions burden the executors.
+MAX_SHUFFLE_PARTITIONS = 20_000
+
+
 def scale_settings(
     input_bytes: int,
     *,
     total_cores: int,
+    shuffle_bytes: int | None = None,
     target_partition_bytes: int = 256 << 20,
     max_split_bytes: int = 256 << 20,
 ) -> dict[str, str]:
-    """Shuffle and scan sizing for an input of ``input_bytes``.
-
-    About ``target_partition_bytes`` of shuffle data per task (at least one
-    wave over all cores); AQE then coalesces small partitions and splits
-    skewed ones (a hot symbol's partition is divided for joins), so the
-    number is an upper bound rather than a guess to get exactly right.
-    At 100 TB with 1,000 executors x 8 cores this gives 400,000 shuffle
-    partitions of ~256 MB.
+    """Shuffle and scan sizing.
+
+    Partitions follow the bytes that are shuffled, about
+    ``target_partition_bytes`` each and at least one wave over all cores, at
+    most ``MAX_SHUFFLE_PARTITIONS``. ``shuffle_bytes`` defaults to a tenth of
+    the input: candle aggregates combine map-side, so their exchanges carry
+    far less than the scan. AQE coalesces small partitions and splits skewed ones.
     """
-    partitions = max(total_cores, -(-input_bytes // target_partition_bytes))
+    moved = shuffle_bytes if shuffle_bytes is not None else input_bytes // 10
+    partitions = min(MAX_SHUFFLE_PARTITIONS, max(total_cores, -(-moved // target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
@@ -77,7 +84,7 @@ def ensure_test_checkpoint_dir(spark: SparkSession, fallback: str) -> None:
         spark.sparkContext.setCheckpointDir(fallback)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, *, without_folder: str = "warn") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
     return a scan of it.
 
@@ -85,11 +92,35 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     (with column pruning) instead of recomputing the plan, and a lost executor
     re-reads files instead of re-running the lineage. One write job, unlike
     ``Dataset.checkpoint``, which computes an unpersisted plan twice. Without a
-    configured folder the plan is returned unchanged.
+    configured folder the plan is recomputed by every pass: ``without_folder``
+    says whether to "warn", "fail" or "ignore". Tables are deleted when the
+    application ends, or earlier by ``drop_table``.
     """
-    root = checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    root = checkpoint_dir(spark)
     if root is None:
+        if without_folder == "fail":
+            raise RuntimeError(f"{_CHECKPOINT} is not set")
+        if without_folder == "warn":
+            warnings.warn(f"{_CHECKPOINT} is not set: multi-pass stages recompute their input", stacklevel=2)
         return df
     path = f"{root.rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    _TABLES[id(out)] = (out, path)
+    return out
+
+
+#: Tables that ``cut_lineage`` wrote, by the DataFrame that scans them.
+_TABLES: dict[int, tuple[DataFrame, str]] = {}
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the table behind a ``cut_lineage`` result that nothing reads any more."""
+    _, path = _TABLES.pop(id(df), (None, None))
+    if path:
+        spark = df.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

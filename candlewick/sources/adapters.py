@@ -28,9 +28,8 @@ def _close_time(open_time: str, interval_ms: int):
 INTERVALS = {"1m": ("minute", 60_000_000), "1h": ("hour", 3_600_000_000), "1d": ("day", 86_400_000_000)}
 
 
-def order_bits(interval: str) -> int:
-    """Bits left for the event_id tie break after the in-candle time offset."""
-    return 63 - INTERVALS[interval][1].bit_length()
+def _decimal(c, digits: int, scale: int = 0):
+    return c.cast(f"decimal({digits},{scale})")
 
 
 def candles_from_events(events: DataFrame, interval: str = "1h") -> DataFrame:
@@ -38,23 +37,22 @@ def candles_from_events(events: DataFrame, interval: str = "1h") -> DataFrame:
 
     symbol = upper(event_type) || 'USDT'; open/close = value of the first/last
     event; high/low = max/min value; volume = sum(value); quote_volume =
-    sum(value * props.k); trade_count = number of events. Sums are exact
-    decimals, so they do not depend on the summation order.
+    sum(value * props.k); trade_count = number of events. Sums are decimals
+    with eight places, so they do not depend on the summation order.
 
-    "First" orders by one packed long: the microsecond offset inside the
-    candle shifted left by ``order_bits(interval)`` plus ``event_id`` modulo
-    2^order_bits as the tie break. A long key keeps ``min_by``/``max_by`` in a
-    hash aggregate (a struct key forces a sort aggregate, about 3x slower).
+    "First" orders by (ts, event_id), both in full: one decimal(38,0) key,
+    microsecond offset inside the candle * 2^64 + event_id. A decimal key has a
+    fixed-width buffer and keeps ``min_by``/``max_by`` in a hash aggregate (a
+    struct key forces a sort aggregate, about 3x slower).
     """
     _, length_us = INTERVALS[interval]
-    bits = order_bits(interval)
-    value = F.col("value").cast("decimal(18,2)")
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    value = _decimal(F.col("value"), 24, 8)
+    k = _decimal(F.get_json_object("props", "$.k"), 12)
     # Bucketing is epoch arithmetic on the UTC wall clock (no session zone).
     us = ntz_epoch_micros("ts")
     offset = F.pmod(us, F.lit(length_us))
     bucket = ntz_from_epoch_micros(us - offset)
-    order = offset * F.lit(2**bits) + F.pmod(F.col("event_id"), F.lit(2**bits))
+    order = _decimal(offset, 12) * _decimal(F.lit(str(2**64)), 20) + _decimal(F.col("event_id"), 20)
     agg = (
         events.select(
             F.concat(F.upper("event_type"), F.lit("USDT")).alias("symbol"),
@@ -62,7 +60,7 @@ def candles_from_events(events: DataFrame, interval: str = "1h") -> DataFrame:
             F.col("value"),
             value.alias("value_dec"),
             (value * k).alias("quote_dec"),
-            order.alias("ord"),
+            _decimal(order, 38).alias("ord"),
         )
         .groupBy("symbol", "open_time")
         .agg(
@@ -94,13 +92,20 @@ def candles_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """One daily candle per (returnflag || linestatus, ship date) of ``lineitem``.
 
     Prices are ``l_extendedprice``, volume is ``l_quantity``, quote volume is
-    ``l_extendedprice * (1 - l_discount)``. First/last order by the packed long
-    ``(orderkey * 8 + linenumber) * 2^20 + price_cents mod 2^20``; the price
-    part breaks ties because (orderkey, linenumber) is not unique in the
-    generated data. Valid while orderkey < 2^40.
+    ``l_extendedprice * (1 - l_discount)``. First/last order by (orderkey,
+    linenumber, price); the price breaks ties because (orderkey, linenumber)
+    is not unique in the generated data. The key is one decimal(38,0): 19
+    digits of orderkey (any long), 3 of linenumber, 16 of the price in cents.
+    A linenumber outside 0..999 or a price of 5e13 or more fails the query
+    rather than being cut.
     """
-    order = (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")) * F.lit(2**20) + F.pmod(
-        F.round(F.col("l_extendedprice") * F.lit(100.0)).cast("bigint"), F.lit(2**20)
+    cents = _decimal(F.round(F.col("l_extendedprice") * F.lit(100.0)), 16)
+    line = F.col("l_linenumber")
+    fits = (line.isNull() | line.between(0, 999)) & (cents.isNull() | (F.abs(cents) < F.lit(5 * 10**15)))
+    high = _decimal(_decimal(F.col("l_orderkey"), 19) * F.lit(1000) + line, 22)
+    key = _decimal(high, 22) * _decimal(F.lit(str(10**16)), 17)
+    order = F.when(fits, _decimal(_decimal(key, 38) + cents, 38)).otherwise(
+        F.raise_error(F.lit("line number or price beyond the candle order key")).cast("decimal(38,0)")
     )
     agg = (
         lineitem.select(

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.schema import CANDLE_SCHEMA, CLEANED_SCHEMA, MESSY_SCHEMA, NA_SENTINELS
-
-TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+from candlewick.functions.exprs import safe_double, safe_timestamp
+from candlewick.functions.text import iso_utc
+from candlewick.schema import CANDLE_COLUMNS, CANDLE_SCHEMA, CLEANED_SCHEMA, NA_SENTINELS, TAKER_COLUMNS, require_columns
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,15 +25,25 @@ def null_sentinels(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     )
 
 
+def _text_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as text, named by the header (files whose headers differ
+    from the first one's fail); base columns first, in their fixed order."""
+    df = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    require_columns(df, CANDLE_COLUMNS)
+    return df.select(*CANDLE_COLUMNS, *[c for c in df.columns if c not in CANDLE_COLUMNS])
+
+
 def read_messy_csv(
     spark: SparkSession, path: str, *, pandas_na: bool = True, require_rows: bool = False
 ) -> DataFrame:
-    """All-text CSV with a header. ``pandas_na`` nulls pandas' NA sentinels.
+    """All-text CSV with a header; columns are found by name, optional ones
+    (taker volumes) and unknown ones are kept. ``pandas_na`` nulls pandas' NA
+    sentinels.
 
     ``require_rows`` raises ``ValueError`` on an empty file (costs one small job).
     A missing path raises Spark's ``PATH_NOT_FOUND`` error.
     """
-    df = spark.read.schema(MESSY_SCHEMA).option("header", True).csv(path)
+    df = _text_csv(spark, path)
     if pandas_na:
         df = null_sentinels(df)
     if require_rows and df.isEmpty():
@@ -41,56 +51,81 @@ def read_messy_csv(
     return df
 
 
-def read_candles_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Typed candle CSV (times as ISO text, UTC)."""
-    return (
-        spark.read.schema(CANDLE_SCHEMA)
-        .option("header", True)
-        .option("timestampNTZFormat", TS_TEXT)
-        .csv(path)
-    )
-
-
-def read_cleaned_csv(spark: SparkSession, path: str, *, infer: bool = False) -> DataFrame:
+def _typed(df: DataFrame, schema, path: str, require_times: bool) -> DataFrame:
+    """Text columns -> the types of ``schema``, by name. Times are read with or
+    without an offset, with 'T' or a blank between date and time."""
+    kinds = {f.name: f.dataType.typeName() for f in schema} | dict.fromkeys(TAKER_COLUMNS, "double")
+    cols = []
+    for c in df.columns:
+        kind = kinds.get(c, "string")
+        if kind == "double":
+            cols.append(safe_double(c).alias(c))
+        elif kind == "long":
+            cols.append(F.coalesce(F.col(c).try_cast("bigint"), safe_double(c).cast("bigint")).alias(c))
+        elif kind == "timestamp_ntz":
+            cols.append(safe_timestamp(c).alias(c))
+        else:
+            cols.append(F.col(c))
+    out = df.select(*cols)
+    if require_times and out.where("open_time is not null").isEmpty() and not out.isEmpty():
+        raise ValueError(f"no open_time of {path} could be read")
+    return out
+
+
+def read_candles_csv(spark: SparkSession, path: str, *, require_times: bool = True) -> DataFrame:
+    """Typed candle CSV, columns by name. ``require_times`` raises ``ValueError``
+    when rows exist and not one time can be read (stops at the first that can)."""
+    return _typed(null_sentinels(_text_csv(spark, path)), CANDLE_SCHEMA, path, require_times)
+
+
+def read_cleaned_csv(spark: SparkSession, path: str, *, infer: bool = False, require_times: bool = True) -> DataFrame:
     """Cleaned candle CSV. ``infer=True`` uses schema inference (one extra pass)."""
-    reader = spark.read.option("header", True)
     if infer:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(CLEANED_SCHEMA).option("timestampNTZFormat", TS_TEXT).csv(path)
+        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return _typed(null_sentinels(_text_csv(spark, path)), CLEANED_SCHEMA, path, require_times)
+
+
+def utc_texts(df: DataFrame) -> DataFrame:
+    """Times as text with their UTC offset: '2026-06-29 00:00:00+00:00'."""
+    times = [c for c, kind in df.dtypes if kind == "timestamp_ntz"]
+    return df.withColumns({c: F.translate(iso_utc(c), "T", " ") for c in times})
 
 
 def write_csv(
     df: DataFrame, path: str, columns: Sequence[str] | None = None, *, mode: str = "overwrite"
 ) -> None:
-    """Directory of CSV part files with a header, in a fixed column order."""
+    """Directory of CSV part files with a header, in a fixed column order and
+    times with their UTC offset."""
     out = df.select(*columns) if columns is not None else df
-    (
-        out.write.option("header", True)
-        .option("timestampNTZFormat", TS_TEXT)
-        .mode(mode)
-        .csv(path)
-    )
+    utc_texts(out).write.option("header", True).mode(mode).csv(path)
 
 
 def write_single_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> str:
     """One CSV file at ``path`` (overwritten). Only for summary-sized results.
 
-    Writes one part through ``coalesce(1)`` into ``path + '.parts'`` and renames
-    it with the Hadoop file system, so it works on any cluster file system.
+    ``repartition(1)`` keeps the work before it parallel; one task writes the
+    part into ``path + '.parts'``. The Hadoop file system renames it, so it
+    works on any cluster file system; an old file is set aside first and comes
+    back if the rename fails.
     """
     tmp = path.rstrip("/") + ".parts"
-    write_csv(df.coalesce(1), tmp, columns)
+    write_csv(df.repartition(1), tmp, columns)
     jvm = df.sparkSession._jvm
     conf = df.sparkSession._jsc.hadoopConfiguration()
-    tmp_path = jvm.org.apache.hadoop.fs.Path(tmp)
+    tmp_path, dest, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (tmp, path, path.rstrip("/") + ".old"))
     fs = tmp_path.getFileSystem(conf)
     parts = [s.getPath() for s in fs.listStatus(tmp_path) if s.getPath().getName().startswith("part-")]
     if len(parts) != 1:
         raise RuntimeError(f"expected one CSV part in {tmp}, found {len(parts)}")
-    dest = jvm.org.apache.hadoop.fs.Path(path)
-    if fs.exists(dest):
-        fs.delete(dest, True)
-    fs.rename(parts[0], dest)
+    had = fs.exists(dest)
+    if had and not fs.rename(dest, old):
+        raise RuntimeError(f"cannot set {path} aside")
+    if not fs.rename(parts[0], dest):
+        if had:
+            fs.rename(old, dest)
+        raise RuntimeError(f"cannot rename the new part to {path}")
+    if had:
+        fs.delete(old, True)
     fs.delete(tmp_path, True)
     return path
 

@@ -7,13 +7,32 @@ payload (one file or one row each); nothing passes through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.functions.exprs import epoch_ms_to_timestamp, ntz_epoch_micros, safe_double
+from candlewick.functions.text import number_text
 from candlewick.schema import CANDLE_COLUMNS, KLINE_FIELDS
 
 _TIME_FIELDS = ("open_time", "close_time")
+_RECORDS = "array<array<string>>"
+
+
+def payload_fault(payload) -> Column:
+    """Why a payload can't be decoded, null for a good one: not an array of
+    arrays (error objects, cut-off or other text, null) or a record with fewer
+    fields than a candle has. An empty array is a good response without rows."""
+    text = F.col(payload) if isinstance(payload, str) else payload
+    records = F.from_json(text, _RECORDS)
+    least = KLINE_FIELDS.index("trade_count") + 1
+    short = F.exists(records, lambda r: r.isNull() | (F.size(r) < least))
+    closed = F.trim(text).rlike(r"(?s)^\s*\[.*\]\s*$")
+    return F.when(records.isNull() | ~F.coalesce(closed, F.lit(False)), "not an array of records").when(short, "record with missing fields")
+
+
+def bad_payloads(df: DataFrame, payload: str = "value") -> DataFrame:
+    """The rows of ``df`` that ``decode_klines`` refuses, with the ``fault``."""
+    return df.withColumn("fault", payload_fault(payload)).where("fault is not null")
 
 
 def decode_klines(
@@ -23,20 +42,26 @@ def decode_klines(
     interval="interval",
     *,
     with_taker: bool = False,
+    on_bad: str = "fail",
 ) -> DataFrame:
     """Explode JSON payloads into typed candles.
 
+    ``on_bad="fail"`` ends the query at the first payload with a fault;
+    ``"skip"`` leaves such payloads out, to be reported by ``bad_payloads``.
+
     ``symbol`` / ``interval`` are column names (request parameters carried
     alongside each payload) or literal Columns. Numbers and quoted numbers
     both decode as text, then go through the safe casts.
     """
     sym = F.col(symbol) if isinstance(symbol, str) else symbol
     itv = F.col(interval) if isinstance(interval, str) else interval
-    records = df.select(
-        sym.alias("symbol"),
-        itv.alias("interval"),
-        F.explode(F.from_json(F.col(payload), "array<array<string>>")).alias("rec"),
-    )
+    if on_bad not in ("fail", "skip"):
+        raise ValueError(f"on_bad must be 'fail' or 'skip', not {on_bad!r}")
+    fault = payload_fault(payload)
+    said = F.concat(F.lit("bad kline payload for "), F.coalesce(sym, F.lit("?")), F.lit(": "), fault)
+    bad = F.raise_error(said) if on_bad == "fail" else F.lit(None)
+    parsed = F.when(fault.isNull(), F.from_json(F.col(payload), _RECORDS)).otherwise(bad.cast(_RECORDS))
+    records = df.select(sym.alias("symbol"), itv.alias("interval"), F.explode(parsed).alias("rec"))
     fields = {}
     for i, name in enumerate(KLINE_FIELDS):
         raw = F.try_element_at(F.col("rec"), F.lit(i + 1))
@@ -54,7 +79,7 @@ def decode_klines(
     )
 
 
-def read_klines(spark: SparkSession, path: str, *, with_taker: bool = False) -> DataFrame:
+def read_klines(spark: SparkSession, path: str, *, with_taker: bool = False, on_bad: str = "fail") -> DataFrame:
     """Read payload files laid out as ``.../symbol=XXX/interval=1h/*.json``.
 
     Each file is one response; the directory names supply symbol and interval
@@ -65,36 +90,33 @@ def read_klines(spark: SparkSession, path: str, *, with_taker: bool = False) ->
         .option("wholetext", True)
         .text(path)
     )
-    return decode_klines(raw, "value", "symbol", "interval", with_taker=with_taker)
-
-
-def _num_text(c: str):
-    return F.col(c).cast("decimal(28,8)").cast("string")
+    return decode_klines(raw, "value", "symbol", "interval", with_taker=with_taker, on_bad=on_bad)
 
 
 def candles_to_kline_json(candles: DataFrame) -> DataFrame:
     """Render candles as kline payloads, one per (symbol, interval, UTC day).
 
-    A day holds at most 24 hourly candles, so each payload row is bounded.
+    A day holds at most 1,440 one-minute candles, so a payload row is bounded
+    where candles are unique per (symbol, interval, open_time).
     Output: ``symbol, interval, day, value`` (JSON text).
     """
     rec = F.concat(
         F.lit("["),
         F.floor(ntz_epoch_micros("open_time") / 1000).cast("bigint").cast("string"),
         F.lit(',"'),
-        _num_text("open"),
+        number_text("open"),
         F.lit('","'),
-        _num_text("high"),
+        number_text("high"),
         F.lit('","'),
-        _num_text("low"),
+        number_text("low"),
         F.lit('","'),
-        _num_text("close"),
+        number_text("close"),
         F.lit('","'),
-        _num_text("volume"),
+        number_text("volume"),
         F.lit('",'),
         F.floor(ntz_epoch_micros("close_time") / 1000).cast("bigint").cast("string"),
         F.lit(',"'),
-        _num_text("quote_volume"),
+        number_text("quote_volume"),
         F.lit('",'),
         F.col("trade_count").cast("bigint").cast("string"),
         F.lit(',"0","0"]'),

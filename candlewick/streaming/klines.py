@@ -23,13 +23,16 @@ _FILE_SCHEMA = T.StructType(
 )
 
 
-def stream_klines(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming candles from payload files under ``path/symbol=X/interval=Y/``."""
+def stream_klines(
+    spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None, on_bad: str = "fail"
+) -> DataFrame:
+    """Streaming candles from payload files under ``path/symbol=X/interval=Y/``;
+    a bad payload ends the stream unless ``on_bad="skip"``."""
     reader = spark.readStream.schema(_FILE_SCHEMA).option("wholetext", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.text(path)
-    return decode_klines(raw, "value", "symbol", "interval")
+    return decode_klines(raw, "value", "symbol", "interval", on_bad=on_bad)
 
 
 def ingest_klines(
@@ -39,16 +42,17 @@ def ingest_klines(
     checkpoint: str,
     *,
     once: bool = True,
+    on_bad: str = "fail",
 ):
     """Append decoded candles to the Parquet table at ``sink``, partitioned by
-    symbol. ``once=True`` processes what is there and stops (availableNow)."""
+    ``open_date`` like ``write_candles_parquet``. ``once=True`` processes what is there and stops (availableNow)."""
     query = (
-        stream_klines(spark, source)
+        stream_klines(spark, source, on_bad=on_bad)
         .withColumn("open_date", F.to_date("open_time"))
         .writeStream.format("parquet")
         .option("path", sink)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("symbol")
+        .partitionBy("open_date")
         .outputMode("append")
     )
     query = query.trigger(availableNow=True) if once else query.trigger(processingTime="1 minute")

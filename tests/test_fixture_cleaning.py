@@ -43,7 +43,7 @@ def test_duplicates_merge_padded_symbol_only(raw):
 def test_rule_counts(raw):
     typed = CL.dedup_rows(CL.coerce(raw))
     got = {r["metric"]: r["value"] for r in Q.rule_violation_counts(typed).collect()}
-    assert got == {"negative_volume": 1, "negative_trade_count": 1, "high_lt_low": 1, "rows_removed": 3}
+    assert got == {"negative_volume": 1, "negative_trade_count": 1, "high_lt_low": 1, "rule_hits": 3, "rows_removed": 3}
 
 
 def test_clean_keeps_null_volume_rows(raw):
@@ -67,7 +67,7 @@ def test_zero_open_gives_null_percent_but_direction(raw):
 
 
 def test_quality_report_invariants(raw):
-    rep = _report(raw, recheck_duplicates=True)
+    rep = _report(raw)
     assert rep["rows_before"] == 13
     assert rep["rows_after"] == 9
     assert rep["duplicates_before"] == 1

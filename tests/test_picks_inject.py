@@ -70,7 +70,7 @@ def test_injection_summary_and_round_trip(spark):
 
     messy = I.inject_defects(text, 42, symbols=None)
     assert messy.count() == final
-    rep = {r["metric"]: r["value"] for r in Q.quality_report(messy, recheck_duplicates=True).collect()}
+    rep = {r["metric"]: r["value"] for r in Q.quality_report(messy).collect()}
     assert rep["rows_after"] == rep["rows_before"] - rep["duplicates_before"] - rep["rule_removed"]
     assert rep["duplicates_after"] == 0
     cleaned = CL.clean_candles(messy)

@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from candlewick.functions.picks import exact_picks
@@ -14,10 +15,24 @@ from candlewick.sources.files import read_table
 from tests.conftest import SF001
 
 
-def _plan(df) -> str:
+def _plan(df, run: bool = False) -> str:
+    """The physical plan; after execution (the final adaptive one) with ``run``."""
+    if run:
+        df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture()
+def no_broadcast(spark):
+    """Plans as they are where no side is small enough to broadcast."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k in keys:
+        spark.conf.unset(k)
+
+
 def _events(spark):
     return read_table(spark, SF001, "events")
 
@@ -60,8 +75,37 @@ def test_key_dedup_and_full_dedup_combine_map_side(spark):
     assert any("HashAggregate" in ln for ln in lines[ex + 1:])  # partial aggregate below the exchange
 
 
-def test_trailing_window_is_split_by_time_bucket(spark):
+def test_trailing_window_shuffles_details_once_and_does_not_join(spark, no_broadcast):
     ev = _events(spark).select("event_id", "user_id", "ts")
-    plan = _plan(trailing_count(ev, "ts", ["user_id"]))
-    assert re.search(r"Exchange hashpartitioning\(user_id#\d+L?, _b#\d+L?", plan)
-    assert "partial_count" in plan  # per-instant pre-aggregation
+    plan = _plan(trailing_count(ev, "ts", ["user_id"]), run=True)
+    assert "isFinalPlan=true" in plan and "Join" not in plan
+    final = plan.split("== Initial Plan ==")[0]
+    detail = [ln for ln in final.splitlines() if re.search(r"Exchange hashpartitioning\(user_id#\d+L?, _b#\d+L?", ln)]
+    # the rows with their marks once; the per-bucket counts are aggregated before theirs
+    assert 1 <= len(detail) <= 2 and "partial_count" in final
+
+
+def test_key_dedup_sorts_only_repeated_keys(spark, no_broadcast):
+    rows = [(f"S{i}", "1h", "2024-01-01T00:00:00Z", "1") for i in range(50)] + [("S1", "1h", "2024-01-01T00:00:00Z", None)]
+    typed = CL.coerce(spark.createDataFrame(rows, "symbol string, interval string, open_time string, open string"))
+    out = CL.dedup_by_key(typed)
+    plan = _plan(out, run=True).split("== Initial Plan ==")[0]
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    assert out.count() == 50 and out.where("symbol = 'S1' and open = 1").count() == 1
+
+
+def test_order_keys_stay_in_hash_aggregates(spark):
+    from candlewick.sources.adapters import candles_from_lineitem
+
+    for candles in (candles_from_events(_events(spark)), candles_from_lineitem(read_table(spark, SF001, "lineitem"))):
+        plan = _plan(candles)
+        assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_report_scans_the_raw_table_twice(spark, tmp_dir):
+    from candlewick.functions.text import candles_to_text
+    from candlewick.operators.quality import quality_report
+
+    candles_to_text(candles_from_events(_events(spark))).write.parquet(f"{tmp_dir}/text")
+    plan = _plan(quality_report(spark.read.parquet(f"{tmp_dir}/text")), run=True).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet", plan)) == 2
