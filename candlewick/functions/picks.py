@@ -94,10 +94,23 @@ def exact_picks(
     specs: Mapping[str, tuple[float, int, int]],
     prefix: str = "_pick_",
     n: int | None = None,
+    eager: bool = False,
 ) -> DataFrame:
-    """Add one boolean column ``prefix + tag`` per ``specs[tag] = (fraction, minimum, cap_offset)``."""
+    """Add one boolean column ``prefix + tag`` per ``specs[tag] = (fraction, minimum, cap_offset)``.
+
+    ``eager`` finds the thresholds now (one hash per tag comes to the driver)
+    and puts them into the plan as literals, so that picks on top of picks
+    don't nest their subqueries."""
     uid_col = F.col(uid) if isinstance(uid, str) else uid
     thresholds = pick_thresholds(df, uid_col, seed, specs, n)
+    if eager:
+        found = {r["tag"]: r["threshold"] for r in thresholds.collect()}
+        return df.withColumns(
+            {
+                prefix + t: row_hash(seed, t, uid_col) <= F.lit(found[t]) if t in found else F.lit(False)
+                for t in specs
+            }
+        )
     tmap = thresholds.agg(
         F.map_from_entries(F.collect_list(F.struct("tag", "threshold"))).alias("m")
     ).scalar()

@@ -30,7 +30,7 @@ from candlewick.schema import (
     TIME_COLUMNS,
     VOLUME_COLUMNS,
 )
-from candlewick.session import cut_lineage
+from candlewick.session import cut_lineage, drop_table
 
 UID = "_uid"
 VALUE_STEPS = ("missing", "text", "bad_time", "symbol", "negative")
@@ -69,19 +69,21 @@ def _spec(step: str, cap_offset: int = 0):
     return (fraction, minimum, cap_offset)
 
 
-def drop_rows(df: DataFrame, seed: int = 42, n: int | None = None) -> DataFrame:
+def drop_rows(df: DataFrame, seed: int = 42, n: int | None = None, eager: bool = False) -> DataFrame:
     """Remove ``min(max(5, floor(3% n)), n-1)`` rows (``n`` counted if not given)."""
     df = with_uid(df)
-    picked = exact_picks(df, UID, seed, {"drop": _spec("drop", 1)}, n=n)
+    picked = exact_picks(df, UID, seed, {"drop": _spec("drop", 1)}, n=n, eager=eager)
     return picked.filter(~F.col("_pick_drop")).drop("_pick_drop")
 
 
-def duplicate_rows(df: DataFrame, seed: int = 42, n: int | None = None) -> DataFrame:
-    """Append copies of ``min(max(5, floor(3% n)), n)`` rows (``n`` counted if not given)."""
+def duplicate_rows(df: DataFrame, seed: int = 42, n: int | None = None, eager: bool = False) -> DataFrame:
+    """Append copies of ``min(max(5, floor(3% n)), n)`` rows (``n`` counted if
+    not given), as one projection over one scan."""
     df = with_uid(df)
-    picked = exact_picks(df, UID, seed, {"duplicate": _spec("duplicate")}, n=n)
-    dups = picked.filter(F.col("_pick_duplicate")).withColumn(UID, F.concat(F.col(UID), F.lit("#dup")))
-    return picked.unionByName(dups).drop("_pick_duplicate")
+    picked = exact_picks(df, UID, seed, {"duplicate": _spec("duplicate")}, n=n, eager=eager)
+    copy = F.concat(F.col(UID), F.lit("#dup"))
+    uids = F.explode(F.when(F.col("_pick_duplicate"), F.array(F.col(UID), copy)).otherwise(F.array(F.col(UID))))
+    return picked.select(*[c for c in df.columns if c != UID], uids.alias(UID)).select(*df.columns)
 
 
 def sizes_after_rows_steps(n: int) -> tuple[int, int]:
@@ -166,11 +168,12 @@ def inject_values(
     symbols: Sequence[str] | None = SYMBOLS,
     flags: bool = False,
     n: int | None = None,
+    eager: bool = False,
 ) -> DataFrame:
     """Run the chosen value-rewriting steps (all picks from one pass)."""
     df = with_uid(df)
     specs = {s: _spec(s) for s in steps}
-    picked = exact_picks(df, UID, seed, specs, n=n)
+    picked = exact_picks(df, UID, seed, specs, n=n, eager=eager)
     for s in VALUE_STEPS:
         if s not in steps:
             picked = picked.withColumn(f"_pick_{s}", F.lit(False))
@@ -185,70 +188,48 @@ def inject_defects(
     flags: bool = False,
     materialize: bool = True,
 ) -> DataFrame:
-    """All steps in order. The input is counted once; every later row count
-    follows from it. The input, the row set after drop + duplicate and the
-    result are written to the shared checkpoint folder: each pick re-reads its
-    input (histogram, boundary rank, projection) and nested threshold
-    subqueries would otherwise be recomputed; every profiling pass reads the
-    result again. ``materialize=False`` skips the last write for consumers
-    that read the result once (cleaning, sampling, summaries)."""
+    """All steps in order. The input is written once to the shared checkpoint
+    folder and counted; every later row count follows from it. The thresholds
+    of each step are found by passes over that table (one hash per step comes
+    to the driver), so the dirty table is one projection of it. That result is
+    written too, as every profiling pass reads it again, and the input's table
+    is deleted; ``materialize=False`` leaves both to consumers that read the
+    result once (cleaning, sampling, summaries). Building the result runs jobs."""
     base = cut_lineage(with_uid(df))
-    n = base.count()
-    kept, final = sizes_after_rows_steps(n)
-    rows = cut_lineage(duplicate_rows(drop_rows(base, seed, n), seed, kept))
-    out = inject_values(rows, VALUE_STEPS, seed, symbols, flags=flags, n=final)
+    out = _all_steps(base, base.count(), seed, symbols, flags)
     out = out if keep_uid else out.drop(UID)
-    return cut_lineage(out) if materialize else out
+    if not materialize:
+        return out
+    result = cut_lineage(out)
+    drop_table(base)
+    return result
+
+
+def _all_steps(base: DataFrame, n: int, seed: int, symbols: Sequence[str] | None, flags: bool) -> DataFrame:
+    kept, final = sizes_after_rows_steps(n)
+    rows = duplicate_rows(drop_rows(base, seed, n, eager=True), seed, kept, eager=True)
+    return inject_values(rows, VALUE_STEPS, seed, symbols, flags=flags, n=final, eager=True)
 
 
 def injection_summary(df: DataFrame, seed: int = 42, symbols: Sequence[str] | None = SYMBOLS) -> DataFrame:
-    """(metric, value) counts of every step, like the injector's printed summary."""
+    """(metric, value) counts of every step, like the injector's printed
+    summary: one pass over the flagged rows (rows dropped are those of the
+    input that are neither left nor copies)."""
     base = cut_lineage(with_uid(df))
     n = base.count()
-    kept, final = sizes_after_rows_steps(n)
-    dropped = drop_rows(base, seed, n)
-    rows = cut_lineage(duplicate_rows(dropped, seed, kept))
-    flagged = inject_values(rows, VALUE_STEPS, seed, symbols, flags=True, n=final)
-    first = base.agg(F.count(F.lit(1)).alias("original_rows"))
-    kept = dropped.agg(F.count(F.lit(1)).alias("kept"))
-    after = flagged.agg(
-        F.count(F.lit(1)).alias("final_rows"),
+    flagged = _all_steps(base, n, seed, symbols, flags=True)
+    one = flagged.agg(
+        F.lit(n).cast("bigint").alias("original_rows"),
         F.count_if(F.col(UID).endswith("#dup")).alias("duplicated_rows"),
         F.count_if("_pick_missing").alias("missing_values"),
         F.count_if("_pick_text").alias("text_in_numeric_columns"),
         F.count_if("_pick_bad_time").alias("invalid_times"),
         F.count_if("_hit_symbol").alias("inconsistent_symbols"),
         F.count_if("_pick_negative").alias("negative_volumes"),
-    )
-    # Three one-row aggregates -> long form by union (no join needed).
-    def long(one: DataFrame, names):
-        return one.select(
-            F.explode(
-                F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("bigint").alias("value")) for n in names])
-            ).alias("m")
-        ).select("m.metric", "m.value")
-
-    dropped_count = first.select(F.lit(1).alias("_one"), "original_rows").unionByName(
-        kept.select(F.lit(1).alias("_one"), (-F.col("kept")).alias("original_rows"))
-    ).groupBy("_one").agg(F.sum("original_rows").alias("dropped_rows"))
-    return (
-        long(first, ["original_rows"])
-        .unionByName(long(dropped_count, ["dropped_rows"]))
-        .unionByName(
-            long(
-                after,
-                [
-                    "duplicated_rows",
-                    "missing_values",
-                    "text_in_numeric_columns",
-                    "invalid_times",
-                    "inconsistent_symbols",
-                    "negative_volumes",
-                    "final_rows",
-                ],
-            )
-        )
-    )
+        F.count(F.lit(1)).alias("final_rows"),
+    ).withColumn("dropped_rows", F.col("original_rows") + F.col("duplicated_rows") - F.col("final_rows"))
+    rows = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value")) for c in one.columns]
+    return one.select(F.inline(F.array(*rows)))
 
 
 def seeded_order(df: DataFrame, seed: int = 42, uid: Column | None = None) -> DataFrame:

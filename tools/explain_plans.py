@@ -18,7 +18,7 @@ KEY_QUERIES = [
     ("market_summary_joined", "the reference's five aggregates and four joins, for comparison"),
     ("clean_candles_1m", "dirty table (materialised) -> coerce -> one dedup exchange -> filter -> features"),
     ("stratified_sample_5_1m", "partial WindowGroupLimit before the exchange"),
-    ("trailing_60s_count", "per-instant pre-aggregation, window over (key, minute bucket), join back"),
+    ("trailing_60s_count", "details shuffled once by (key, one-second bucket), no join"),
     ("inject_missing", "exact pick: threshold as a scalar subquery, outer plan is a projection"),
 ]
 
@@ -48,13 +48,15 @@ def main() -> None:
     ]
     for name, note in KEY_QUERIES:
         df = QUERIES[name](spark, sf)
-        df.write.format("noop").mode("overwrite").save()
+        df.collect()  # the same query execution, so the plan below is the final one
         plan = df._jdf.queryExecution().executedPlan().toString()
         plan = re.sub(r"file:/[^,\]\s]*/tables/[0-9a-f]+", "<checkpoint table>", plan)
         plan = re.sub(r"file:/root/testdata/[^,\]\s]*/([a-z]+\.parquet)", r"<sf>/\1", plan)
-        lines = [ln[:220] for ln in plan.splitlines()]
-        n_ex = sum(1 for ln in lines if re.search(r"\b(Exchange|ShuffleQueryStage|BroadcastQueryStage)\b", ln) and "Reused" not in ln)
-        out += [f"## `{name}`", "", note + f". Exchanges/stages: {n_ex}.", "", "```", *lines, "```", ""]
+        lines = [ln[:220] for ln in plan.split("+- == Initial Plan ==")[0].splitlines()]
+        shuffles = sum(1 for ln in lines if re.search(r"\bShuffleQueryStage\b", ln))
+        broadcasts = sum(1 for ln in lines if re.search(r"\bBroadcastQueryStage\b", ln))
+        scans = sum(1 for ln in lines if "FileScan" in ln)
+        out += [f"## `{name}`", "", f"{note}. Shuffles: {shuffles}, broadcasts: {broadcasts}, scans: {scans}.", "", "```", *lines, "```", ""]
     with open(os.path.join(ROOT, "PLANS.md"), "w") as f:
         f.write("\n".join(out))
     spark.stop()
