@@ -187,6 +187,7 @@ def inject_defects(
     keep_uid: bool = False,
     flags: bool = False,
     materialize: bool = True,
+    shuffled: bool = False,
 ) -> DataFrame:
     """All steps in order. The input is written once to the shared checkpoint
     folder and counted; every later row count follows from it. The thresholds
@@ -194,9 +195,12 @@ def inject_defects(
     to the driver), so the dirty table is one projection of it. That result is
     written too, as every profiling pass reads it again, and the input's table
     is deleted; ``materialize=False`` leaves both to consumers that read the
-    result once (cleaning, sampling, summaries). Building the result runs jobs."""
+    result once (cleaning, sampling, summaries). ``shuffled`` puts the rows in
+    the seeded order (a global sort; only of use right before a file is
+    written). Building the result runs jobs."""
     base = cut_lineage(with_uid(df))
     out = _all_steps(base, base.count(), seed, symbols, flags)
+    out = seeded_order(out, seed) if shuffled else out
     out = out if keep_uid else out.drop(UID)
     if not materialize:
         return out

@@ -84,6 +84,18 @@ _value_query("inject_symbol_variants", "symbol")
 _value_query("inject_negative", "negative")
 
 
+KNOWN = ("CLICKUSDT", "VIEWUSDT")
+
+
+@query(
+    "inject_symbol_variants_known",
+    S.with_ctes(TEXT + X.value_ctes("m_uid", ["symbol"], SEED, KNOWN), f"SELECT {TC} FROM i_val"),
+)
+def q_symbols_known(spark, sf):
+    """Variants only of the symbols on a list; other picked rows stay as they are."""
+    return I.inject_values(event_text(spark, sf), ["symbol"], SEED, symbols=KNOWN).drop(I.UID)
+
+
 @query("inject_defects", S.with_ctes(MESSY, "SELECT * FROM messy"))
 def q_messy(spark, sf):
     return messy(spark, sf)

@@ -151,6 +151,13 @@ def test_picks_are_exact_where_candles_repeat(spark):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, I.drop_rows(named).collect()))
 
 
+def test_injection_can_end_with_the_shuffle(spark):
+    rows = [(f"S{i % 3}USDT", "1h", f"2024-01-01T{i % 24:02d}:00:00Z", str(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "symbol string, interval string, open_time string, open string").dropDuplicates(["symbol", "open_time"])
+    plain, mixed = I.inject_defects(df, symbols=None), I.inject_defects(df, symbols=None, shuffled=True)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, mixed.collect()))
+
+
 def test_many_copies_of_one_row_get_numbers(spark):
     df = spark.range(25_000).select(F.lit("A").alias("symbol"), F.lit("1h").alias("interval"), F.lit("t").alias("open_time"))
     assert I.with_unique_uid(df).select(I.UID).distinct().count() == 25_000

@@ -7,13 +7,11 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from candlewick.plans.catalog import ORACLES, QUERIES
 from tests.conftest import SF001
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
 
 
 def _norm(v):
