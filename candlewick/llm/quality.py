@@ -115,7 +115,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, modulus: int = 4, held_ou
                 ["h", "label", "ids", "counts"],
             )
 
-    picked = texts.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]).select("_h", "_label", "_text")
+    # one text per id (the least, where rows repeat an id with other texts)
+    picked = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "_h", "_label").agg(F.min("_text").alias("_text")).select("_h", "_label", "_text")
     rows = sorted(picked.mapInArrow(bagged, "h long, label int, ids binary, counts binary").collect(), key=lambda r: r["h"])
     teach = [r["label"] for r in rows]
     n = {c: teach.count(c) for c in (0, 1)}

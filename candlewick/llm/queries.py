@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-
+from candlewick.llm import oracles
 from candlewick.llm.common import read_table
 
 
@@ -94,4 +94,8 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_embedding_near_dedup": oracles.EMBEDDING_NEAR_DEDUP,
+    "op5_top_inner_products": oracles.TOP_INNER_PRODUCTS,
+    "op6_substring_dedup": oracles.SUBSTRING_DEDUP,
+}
