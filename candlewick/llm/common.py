@@ -3,6 +3,8 @@ column selection and the word splitter used by several operators."""
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import tempfile
 import uuid
 import zlib
@@ -34,13 +36,22 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Spark's setting for dropping a statement's shuffle files at its end.
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows of a chunk (see ``Scratch.chunked``).
+CHUNK = 4096
+#: Scratch folders of this application, oldest first.
+OPEN: list["Scratch"] = []
+
+
 class Scratch:
     """Tables written to the shared checkpoint folder.
 
     ``table`` cuts the lineage with a Parquet write, so a lost executor is
-    answered by re-reading files, and lets Spark reclaim the shuffle files of
-    the stages behind it. ``drop`` deletes a table as soon as nothing reads it;
-    what the returned result still reads goes when the application ends."""
+    answered by re-reading files. ``release`` lets Spark delete the shuffle
+    files of plans that are no longer referenced; ``table`` does so first.
+    ``drop`` deletes a table as soon as nothing reads it; what the returned
+    result still reads goes when the application ends."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -51,16 +62,51 @@ class Scratch:
         self._fs = self._path(self.root).getFileSystem(conf)
         self._fs.deleteOnExit(self._path(self.root))
         self._n = 0
+        self._names: list[str] = []
+        OPEN.append(self)
         self._where: dict[int, str] = {}
 
     def table(self, df: DataFrame, codec: str = "zstd") -> DataFrame:
+        self.release()
         path = f"{self.root}/t{self._n}"
         self._n += 1
-        df.write.option("compression", codec).parquet(path)
+        with self._shuffles_dropped():
+            df.write.option("compression", codec).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._where[id(out)] = path
-        del df
+        return out
+
+    @contextlib.contextmanager
+    def _shuffles_dropped(self):
+        """Shuffle files of what is written inside go when the write has ended
+        (a lost executor's part is made again only while it runs)."""
+        before = self.spark.conf.get(FILE_CLEANUP)
+        self.spark.conf.set(FILE_CLEANUP, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(FILE_CLEANUP, before)
+
+    def release(self) -> None:
+        gc.collect()
         self.spark.sparkContext._jvm.System.gc()
+
+    def chunked(self, df: DataFrame, codec: str = "zstd") -> DataFrame:
+        """Table of ``df`` with a row number kept as ``_chunk`` and ``_bit``
+        (CHUNK rows, one behind the other in a partition, share a chunk),
+        bucketed by chunk: what is known per chunk joins it without moving
+        these rows. Tasks write what they hold, so nothing is shuffled."""
+        self.release()
+        name, path = f"llm_{uuid.uuid4().hex}", f"{self.root}/t{self._n}"
+        self._n += 1
+        row = F.monotonically_increasing_id()
+        rows = df.withColumn("_row", row).withColumns({"_chunk": F.floor(F.col("_row") / CHUNK), "_bit": (F.col("_row") % CHUNK).cast("int")}).drop("_row")
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        with self._shuffles_dropped():
+            rows.write.option("compression", codec).option("path", path).format("parquet").bucketBy(buckets, "_chunk").saveAsTable(name)
+        out = self.spark.table(name)
+        self._where[id(out)] = path
+        self._names.append(name)
         return out
 
     def drop(self, df: DataFrame) -> None:
@@ -68,6 +114,34 @@ class Scratch:
         if path:
             self._fs.delete(self._path(path), True)
 
+    def close(self) -> None:
+        """Delete all that is left, once nothing reads it any more."""
+        for name in self._names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._fs.delete(self._path(self.root), True)
+        self._names = []
+        self.release()
+
+
+def tidy(make):
+    """A task function that hands its worker's unused memory back to the
+    machine when the task ends: Spark keeps Python workers, and allocators
+    keep what a worker once used."""
+
+    def run(batches):
+        yield from make(batches)
+        import ctypes
+
+        import pyarrow as pa
+
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+
+    return run
+
 
 def shards_for(spark: SparkSession, weight: float, per_shard: float) -> int:
     """Number of groups so that each holds about ``per_shard`` of ``weight``;

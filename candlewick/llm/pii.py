@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import Scratch
+from candlewick.llm.common import CHUNK, Scratch
 
 #: Kinds in the order in which spans of equal start are listed.
 KINDS = ["email", "ip", "card", "phone"]
@@ -187,12 +187,17 @@ def redact(docs: DataFrame, words: int = 2, reach: int = 40, rounds: int = 3, re
     scratch = Scratch(docs.sparkSession)
     renamed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     id_at, text_at = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
-    kept = scratch.table(renamed.withColumn("row", F.monotonically_increasing_id()))
-    rows = kept.select("row", F.col(id_at).cast("long").alias("doc_id"), F.col(text_at).cast("string").alias("text"))
+    kept = scratch.chunked(renamed)
+    rows = kept.select((F.col("_chunk") * CHUNK + F.col("_bit")).alias("row"), F.col(id_at).cast("long").alias("doc_id"), F.col(text_at).cast("string").alias("text"))
     table = occurrence_table(rows, words, reach, scratch)
     added = added_spans(table, rounds, reliable, support, scratch)
     spans = table.select("row", "base").join(added, "row", "left")
     spans = spans.select("row", F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(PLACE)))).alias("spans")).where(F.size("spans") > 0)
+    # per chunk, the spans of its rows that have any
+    entry = F.struct((F.col("row") % CHUNK).cast("int").alias("bit"), "spans")
+    marked = spans.groupBy(F.floor(F.col("row") / CHUNK).alias("_chunk")).agg(F.collect_list(entry).alias("_marked"))
+    marked = scratch.table(marked).hint("shuffle_hash")
+    own = F.get(F.filter("_marked", lambda m: m["bit"] == F.col("_bit")), F.lit(0))["spans"]
     names = F.array(*[F.lit(f"<{k}>") for k in KINDS])
     text = F.col(text_at).cast("string")
 
@@ -205,5 +210,5 @@ def redact(docs: DataFrame, words: int = 2, reach: int = 40, rounds: int = 3, re
     first = F.struct(F.lit(0).alias("to"), F.array().cast("array<string>").alias("out"))
     last = lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["to"] + 1, F.length(text)))
     clean = F.when(F.col("spans").isNull(), text).otherwise(F.aggregate("spans", first, cut, last))
-    out = kept.join(spans, "row", "left")
+    out = kept.join(marked, "_chunk", "left").withColumn("spans", own)
     return out.select(*[clean.alias(c) if c == text_at else F.col(c) for c in renamed.columns]).toDF(*docs.columns)

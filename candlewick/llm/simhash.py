@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import _LOWER, Scratch
+from candlewick.llm.common import _LOWER, CHUNK, Scratch
 from candlewick.llm.components import connected_components, spanning
 
 BITS = 64
@@ -168,14 +168,19 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int = 42,
     the one with the smallest id (null ids last, then the first row as read),
     exactly one row of a component even where rows repeat."""
     scratch = Scratch(docs.sparkSession)
-    # a row number that survives recomputation, as it is written with the rows
     renamed = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    numbered = scratch.table(renamed.withColumn("row", F.monotonically_increasing_id()))
+    numbered = scratch.chunked(renamed)
     at = {name: f"c{i}" for i, name in enumerate(docs.columns)}
-    rows = numbered.select("row", F.col(at[id_col]).cast("long").alias("doc_id"), F.col(at[text_col]).cast("string").alias("text"))
+    row = F.col("_chunk") * CHUNK + F.col("_bit")
+    rows = numbered.select(row.alias("row"), F.col(at[id_col]).cast("long").alias("doc_id"), F.col(at[text_col]).cast("string").alias("text"))
     hashed = scratch.table(fingerprints(rows, shingle, seed))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first")
     per_fp = hashed.groupBy("fp").agg(first)
     rooted = components_of(hashed, radius, scratch).join(per_fp, "fp")
     stays = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
-    return numbered.join(scratch.table(stays), "row", "left_semi").drop("row").toDF(*docs.columns)
+    # one bitmap per chunk says which of its rows stay
+    bits = stays.groupBy(F.floor(F.col("row") / CHUNK).alias("_chunk")).agg(F.bitmap_construct_agg(F.col("row") % CHUNK).alias("_stay"))
+    bits = scratch.table(bits).hint("shuffle_hash")
+    byte = F.conv(F.hex(F.substring("_stay", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    kept = numbered.join(bits, "_chunk").where(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), F.col("_bit") % 8)) != 0)
+    return kept.select(*renamed.columns).toDF(*docs.columns)
