@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import Scratch
+from candlewick.llm.common import Scratch, tidy
 
 NO_ID = (1 << 63) - 1
 
@@ -88,4 +88,4 @@ def to_blocks(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, blo
 
     key_type = pa.list_(pa.struct([("doc_id", pa.int64()), ("digest", pa.binary()), ("n_bytes", pa.int64())]))
     schema = "block long, keys array<struct<doc_id: long, digest: binary, n_bytes: long>>, payload binary"
-    return scratch.table(rows.mapInArrow(built, schema), codec="uncompressed")
+    return scratch.table(rows.mapInArrow(tidy(built), schema), codec="uncompressed")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.blocks import NO_ID, rows_of, texts_of, to_blocks
-from candlewick.llm.common import Scratch, Words, mix
+from candlewick.llm.common import Scratch, Words, mix, tidy
 
 #: Characters of patterns per automaton (about 40 bytes of memory each).
 SHARD_CHARS = 1 << 21
@@ -228,8 +228,9 @@ def dedup_substrings(docs: DataFrame, window: int = 20, anchor: int = 5, block_b
 
         return sorted_groups(batches, ["anchor"], closed)
 
-    asked = blocks.select("block", "payload").mapInArrow(anchored, "anchor long, block long")
+    asked = blocks.select("block", "payload").mapInArrow(tidy(anchored), "anchor long, block long")
     recurring = asked.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(shared, "block long, anchor long")
+    del asked
     recurring = scratch.table(recurring.groupBy("block").agg(F.collect_list("anchor").alias("anchors")))
 
     def nominated(batches):
@@ -265,9 +266,13 @@ def dedup_substrings(docs: DataFrame, window: int = 20, anchor: int = 5, block_b
         return sorted_groups(batches, ["w", "w2"], closed)
 
     asked = blocks.select("block", "payload").join(recurring, "block", "left").join(copies, "block", "left")
-    asked = asked.select("block", "payload", "anchors", "copies").mapInArrow(nominated, "w long, w2 int, id long, start int, block long, at int")
+    asked = asked.select("block", "payload", "anchors", "copies").mapInArrow(tidy(nominated), "w long, w2 int, id long, start int, block long, at int")
     flagged = asked.repartition("w", "w2").sortWithinPartitions("w", "w2", "id", "start").mapInArrow(later, "block long, at int")
+    del asked
     flagged = scratch.table(flagged.groupBy("block").agg(F.collect_list("at").alias("flagged")))
+    scratch.drop(recurring)
+    del recurring
+    scratch.release()
 
     width = len(docs.columns)
     text_at = docs.columns.index(text_col)
@@ -299,9 +304,9 @@ def dedup_substrings(docs: DataFrame, window: int = 20, anchor: int = 5, block_b
 
     joined = blocks.select("block", "payload").join(flagged, "block", "left").join(copies, "block", "left").select("payload", "flagged", "copies")
     if not keep_rows:
-        return joined.mapInArrow(located, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+        return joined.mapInArrow(tidy(located), "doc_id long, n_words long, n_removed long, kept_sha256 string")
     schema = ", ".join(f"c{i} {f.dataType.simpleString()}" if i != text_at else f"c{i} string" for i, f in enumerate(docs.schema))
-    return joined.mapInArrow(located, schema).toDF(*docs.columns)
+    return joined.mapInArrow(tidy(located), schema).toDF(*docs.columns)
 
 
 def ids_of(rows: pa.RecordBatch) -> np.ndarray:
