@@ -9,9 +9,10 @@ left to right: at each token the automaton takes an arc from the longest
 state it is in, or fails to shorter ones and adds their weights.
 
 The model never sits in one place. Each block of documents counts its own
-n-grams, the counts are summed by hash across the corpus, and a block gets
-back the totals of those of its n-grams that other blocks have too: the part of the
-automaton its own documents can walk through, never more than its own size."""
+n-grams and sends them, sorted by hash, to the shards of the hash range; a
+shard sums what all blocks sent and answers each with totals in the order of
+its question. So a block gets the part of the automaton its own documents can
+walk through, never more than its own size."""
 
 from __future__ import annotations
 
@@ -21,8 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.llm.blocks import rows_of, texts_of, to_blocks
-from candlewick.llm.common import Scratch, Words, crc_mod_of, mix
+from candlewick.llm.common import Scratch, Words, crc_mod_of, mix, shards_for, tidy
 
+#: N-grams that a shard sums at once, about (with their sort 100 MB).
+SHARD_GRAMS = 2 << 20
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 
 
@@ -52,10 +55,49 @@ def token_grams(texts: list[bytes], order: int):
     return first, grams
 
 
-def gram_counts(grams: np.ndarray, trained: np.ndarray):
-    """Distinct hashes, how often each occurs in training, and per place its index."""
-    distinct, index = np.unique(grams, return_inverse=True)
-    return distinct, np.bincount(index[trained], minlength=len(distinct)), index
+class Grams:
+    """The distinct n-grams of a block, all orders in one list sorted by hash."""
+
+    def __init__(self, grams: list[np.ndarray], trained: np.ndarray):
+        self.places, self.index, hashes, counts, unigram = [], [], [], [], []
+        base = 0
+        for k, g in enumerate(grams, 1):
+            valid = np.flatnonzero(g) if k > 2 else np.arange(len(g))
+            distinct, index = np.unique(g[valid], return_inverse=True)
+            self.places.append(valid)
+            self.index.append(index + base)
+            base += len(distinct)
+            hashes.append(distinct)
+            counts.append(np.bincount(index[trained[valid]], minlength=len(distinct)))
+            unigram.append(np.full(len(distinct), k == 1))
+        hashes = np.concatenate(hashes)
+        self.order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[self.order]
+        # lowest bit: is it a single token
+        self.counts = (np.concatenate(counts) << 1 | np.concatenate(unigram))[self.order]
+
+    def per_place(self, totals: np.ndarray) -> list[np.ndarray]:
+        """Totals given in the order of ``hashes`` -> per order, by token place."""
+        unsorted = np.empty_like(totals)
+        unsorted[self.order] = totals
+        n, out = len(self.places[0]), []
+        for places, index in zip(self.places, self.index):
+            t = np.zeros(n, dtype=np.int64)
+            t[places] = unsorted[index]
+            out.append(t)
+        return out
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """Integers as compressed byte planes (small and rising values get short)."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unsqueezed(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 8 * n, codec="zstd", asbytes=True), dtype=np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view("<u8").reshape(-1)
 
 
 class Automaton:
@@ -88,7 +130,7 @@ class Automaton:
         return total
 
 
-def lm_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int = 2, strength: float = 4.0, block_bytes: int = 12 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def lm_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int = 2, strength: float = 256.0, block_bytes: int = 4 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``
     for every row of ``docs``, learning from the rows whose crc32(id as text)
     mod ``modulus`` is not ``held_out``.
@@ -96,7 +138,7 @@ def lm_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int =
     Null texts count as empty (one end token); a null id counts as '' for the
     split; repeated rows are counted and scored each; other columns are
     ignored; an empty table gives no rows. Tokens and n-grams are told apart
-    by 64-bit hashes. Nothing is capped or pruned; the driver receives three
+    by 64-bit hashes. Nothing is capped or pruned; the driver receives four
     numbers. ``block_bytes`` of text is what one Python worker holds."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
@@ -105,86 +147,65 @@ def lm_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int =
     def learned(rows) -> np.ndarray:
         return np.array([crc_mod_of(i, modulus) != held_out for i in rows.column("_id").to_pylist()], dtype=bool)
 
-    def counted(batches):
+    text_bytes = blocks.select(F.explode("keys.n_bytes").alias("n")).agg(F.sum("n")).first()[0] or 0
+    shards = shards_for(spark, order * text_bytes / 5, SHARD_GRAMS)
+    cuts = np.array([i * (1 << 64) // shards for i in range(1, shards)], dtype=np.uint64)
+
+    def asked(batches):
         for batch in batches:
             for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
                 rows = rows_of(payload.as_py())
                 first, grams = token_grams(texts_of(rows), order)
-                trained = np.repeat(learned(rows), np.diff(first))
-                for k, g in enumerate(grams, 1):
-                    valid = g != 0 if k > 2 else slice(None)
-                    distinct, n, _ = gram_counts(g[valid], trained[valid])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(distinct.view(np.int64)), pa.array(np.full(len(distinct), block)), pa.array((n << 3 | k).astype(np.int64))],
-                        ["gram", "block", "n"],
-                    )
-
-    def totalled(batches):
-        """Of rows sorted by gram: the total of each gram that several blocks
-        have, once per block; rows of block -1 hold numbers of training
-        tokens (as gram) and of known words (as n)."""
-        held = None
-
-        def closed(rows):
-            gram, block, n = rows
-            starts = np.concatenate(([0], np.flatnonzero(gram[1:] != gram[:-1]) + 1))
-            sizes = np.diff(np.concatenate((starts, [len(gram)])))
-            totals = np.add.reduceat(n >> 3, starts)
-            unigram = n[starts] & 7 == 1
-            words, tokens = int((totals[unigram] > 0).sum()), int(totals[unigram].sum())
-            several = np.repeat(sizes > 1, sizes)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.append(block[several], -1)), pa.array(np.append(gram[several], tokens)), pa.array(np.append(np.repeat(totals, sizes)[several], words))],
-                ["block", "gram", "n"],
-            )
-
-        for batch in batches:
-            rows = np.array([batch.column(c).to_numpy() for c in ("gram", "block", "n")])
-            if held is not None:
-                rows = np.concatenate([held, rows], axis=1)
-            if not rows.shape[1]:
-                continue
-            last = int(np.searchsorted(rows[0], rows[0, -1]))
-            held = rows[:, last:]
-            if last:
-                yield closed(rows[:, :last])
-        if held is not None and held.shape[1]:
-            yield closed(held)
-
-    asked = blocks.select("block", "payload").mapInArrow(counted, "gram long, block long, n long")
-    answers = scratch.table(asked.repartition("gram").sortWithinPartitions("gram").mapInArrow(totalled, "block long, gram long, n long"))
-    tokens, types = (x or 0 for x in answers.where("block = -1").agg(F.sum("gram"), F.sum("n")).first())
+                own = Grams(grams, np.repeat(learned(rows), np.diff(first)))
+                at = np.concatenate(([0], np.searchsorted(own.hashes, cuts), [len(own.hashes)]))
+                full = np.flatnonzero(np.diff(at))
+                parts = [slice(at[i], at[i + 1]) for i in full.tolist()]
+                hashes = [squeezed(np.diff(own.hashes[p], prepend=np.uint64(0))) for p in parts]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(full, pa.int32()), pa.array(np.full(len(parts), block)), pa.array(hashes, pa.binary()), pa.array([squeezed(own.counts[p]) for p in parts], pa.binary())],
+                    ["shard", "block", "grams", "counts"],
+                )
+
+    def answered(table):
+        """Totals of a shard's n-grams, to each block in the order it asked;
+        the first row also has the shard's training tokens and known words."""
+        hashes = [np.cumsum(unsqueezed(g.as_py()), dtype=np.uint64) for g in table.column("grams")]
+        counts = np.concatenate([unsqueezed(c.as_py()) for c in table.column("counts")]).astype(np.int64)
+        distinct, first, index = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        totals = np.zeros(len(distinct), dtype=np.int64)
+        np.add.at(totals, index, counts >> 1)
+        words = totals[(counts[first] & 1).astype(bool)]
+        ends = np.cumsum([len(h) for h in hashes])
+        back = [squeezed(t) for t in np.split(totals[index], ends[:-1])]
+        rest = [0] * (len(back) - 1)
+        return pa.table({
+            "block": table.column("block"), "shard": table.column("shard"), "totals": pa.array(back, pa.binary()),
+            "tokens": pa.array([int(words.sum()), *rest], pa.int64()), "types": pa.array([int((words > 0).sum()), *rest], pa.int64()),
+        })
+
+    questions = blocks.select("block", "payload").mapInArrow(tidy(asked), "shard int, block long, grams binary, counts binary")
+    answers = questions.groupBy("shard").applyInArrow(answered, "block long, shard int, totals binary, tokens long, types long")
+    del questions
+    answers = scratch.table(answers, codec="uncompressed")
+    scratch.release()
+    tokens, types = (x or 0 for x in answers.agg(F.sum("tokens"), F.sum("types")).first())
     learns = F.crc32(F.coalesce(F.col("key.doc_id").cast("string"), F.lit("")).cast("binary")) % modulus != held_out
     train_docs = blocks.select(F.explode("keys").alias("key")).where(learns).count()
 
     def scored(batches):
         for batch in batches:
-            for payload, grams_in, n_in in zip(batch.column("payload"), batch.column("grams"), batch.column("ns")):
+            for payload, totals_in in zip(batch.column("payload"), batch.column("totals")):
                 rows = rows_of(payload.as_py())
                 first, grams = token_grams(texts_of(rows), order)
                 learn = learned(rows)
-                trained = np.repeat(learn, np.diff(first))
-                known = np.array(grams_in.values.to_numpy() if grams_in.is_valid else [], dtype=np.int64).view(np.uint64)
-                totals = np.array(n_in.values.to_numpy() if n_in.is_valid else [], dtype=np.int64)
-                by = np.argsort(known)
-                known, totals = known[by], totals[by]
-                counts, contexts = [], []
-                for k, g in enumerate(grams, 1):
-                    distinct, n, index = gram_counts(g, trained & (g != 0) if k > 2 else trained)
-                    at = np.searchsorted(known, distinct)
-                    at[at == len(known)] = 0
-                    found = known[at] == distinct if len(known) else np.zeros(len(distinct), dtype=bool)
-                    n[found] = totals[at[found]]
-                    if k > 2 and len(distinct) and distinct[0] == 0:
-                        n[0] = 0
-                    counts.append(n[index])
-                    if k > 1:
-                        context = np.zeros(len(g), dtype=np.int64)
-                        context[1:] = counts[k - 2][:-1]
-                        context[first[:-1]] = train_docs if k == 2 else 0
-                        contexts.append(context)
-                if not len(learn):
-                    continue
+                own = Grams(grams, np.repeat(learn, np.diff(first)))
+                counts = own.per_place(np.concatenate([unsqueezed(t.as_py()) for t in totals_in.values]).astype(np.int64))
+                contexts = []
+                for k in range(2, order + 1):
+                    context = np.zeros(len(counts[0]), dtype=np.int64)
+                    context[1:] = counts[k - 2][:-1]
+                    context[first[:-1]] = train_docs if k == 2 else 0
+                    contexts.append(context)
                 automaton = Automaton(counts, contexts, tokens, types, strength)
                 add = lambda x: np.add.reduceat(x, first[:-1])
                 yield pa.RecordBatch.from_arrays(
@@ -195,6 +216,7 @@ def lm_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int =
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    packed = answers.where("block <> -1").groupBy("block").agg(F.collect_list(F.struct("gram", "n")).alias("a")).select("block", F.col("a.gram").alias("grams"), F.col("a.n").alias("ns"))
-    joined = blocks.select("block", "payload").join(packed, "block", "left").select("payload", "grams", "ns")
-    return joined.mapInArrow(scored, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    in_order = F.array_sort(F.collect_list(F.struct("shard", "totals")))
+    packed = answers.groupBy("block").agg(in_order.alias("a")).select("block", F.col("a.totals").alias("totals"))
+    joined = blocks.select("block", "payload").join(packed, "block").select("payload", "totals")
+    return joined.mapInArrow(tidy(scored), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from candlewick.llm.common import Words
-from candlewick.llm.lm_score import lm_scores
+from candlewick.llm.lm_score import lm_scores, squeezed, unsqueezed
 from candlewick.llm.substring import chained, dedup_substrings, least
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -126,8 +126,15 @@ def brute_lm(rows, order, k):
 @pytest.mark.parametrize("order,block", [(2, 1 << 20), (2, 1500), (3, 1500)])
 def test_scores_equal_brute_force(frame, order, block):
     rows = corpus(40 + order)
-    got = lm_scores(frame(SCHEMA, rows, 4), order=order, block_bytes=block).collect()
+    got = lm_scores(frame(SCHEMA, rows, 4), order=order, strength=4.0, block_bytes=block).collect()
     key = lambda r: (str(r[0]), r[2], round(r[5], 3), round(r[6], 3))
     for g, w in zip(sorted(map(tuple, got), key=key), sorted(brute_lm(rows, order, 4.0), key=key), strict=True):
         assert g[:5] == w[:5]
         assert g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=1e-9)
+
+
+def test_squeezed_arrays_come_back():
+    rnd = np.random.default_rng(3)
+    for values in ([], [0], [2**64 - 1, 0, 5], rnd.integers(0, 2**63, 1000)):
+        values = np.array(values, dtype=np.uint64)
+        assert (unsqueezed(squeezed(values)) == values).all() and len(unsqueezed(squeezed(values))) == len(values)
