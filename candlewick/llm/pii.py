@@ -5,9 +5,12 @@ are a lexical pattern; the same patterns also stand before identifier-like
 tokens that no expression knows. Spark scores the bipartite graph of patterns
 and instances in rounds: a pattern is as reliable as the share of its
 occurrences that are believed entities of a kind, an unknown instance is as
-credible as its best pattern. Reliable patterns then add their unknown
-instances as spans. The graph holds occurrences only, never texts; every round
-is two combined aggregations and two equi-joins, written as a table."""
+credible as its best pattern, or sure where its text is a seed elsewhere. What
+is believed backs patterns by its belief, so a round can add patterns that the
+seeds alone don't reach; where a context has too little support, its last word
+speaks. Credible instances become spans wherever they stand. The graph holds
+occurrences only, never texts; every round is combined aggregations and
+equi-joins, written as a table."""
 
 from __future__ import annotations
 
@@ -140,21 +143,39 @@ def added_spans(table: DataFrame, rounds: int, reliable: float, support: int, sc
     """(row, added array<struct<start, kind, end>>) from scoring the graph."""
     shape = F.when(F.contains("text", F.lit("@")), F.lit("@ ")).otherwise(F.lit("# "))
     seen = table.select("row", F.explode("seen").alias("s")).select("row", "s.*").withColumn("pattern", F.concat(shape, F.col("context")))
-    # edges of the graph: how often an instance stands behind a pattern
-    edges = scratch.table(seen.groupBy("pattern", "text", "kind").agg(F.count("*").alias("n")))
+    # edges of the graph: how often an instance stands behind a context
+    whole = scratch.table(seen.groupBy("pattern", "text", "kind").agg(F.count("*").alias("n")))
+    # the last word alone is a pattern too; '~' tells it from whole contexts
+    last = F.regexp_extract("pattern", r"^(?:@|#)\x20.*\x20([^\x20]+)$", 1)
+    short = F.when(last != "", F.concat(F.substring("pattern", 1, 1), F.lit("~"), last))
+    both = F.explode(F.array_compact(F.array("pattern", short)))
+    edges = scratch.table(whole.select(both.alias("pattern"), "text", "kind", "n").groupBy("pattern", "text", "kind").agg(F.sum("n").alias("n")))
     totals = scratch.table(edges.groupBy("pattern").agg(F.sum("n").alias("total")))
     known = edges.where("kind is not null").withColumn("belief", F.lit(1.0))
     unknown = edges.where("kind is null").drop("kind")
-    votes = known
+    waiting = scratch.table(whole.where("kind is null").select("pattern", short.alias("short"), "text"))
+    contexts = waiting.select("pattern", "short").distinct()
+    reach = contexts.select(F.col("pattern").alias("of"), F.explode(F.array_compact(F.array(F.struct(F.lit(2).alias("rank"), "pattern"), F.when(F.col("short").isNotNull(), F.struct(F.lit(1).alias("rank"), F.col("short").alias("pattern")))))).alias("p"))
+    reach = reach.select("of", "p.rank", "p.pattern")
+    # an unknown token whose text is an entity elsewhere is as sure as that one
+    same = scratch.table(waiting.select("text").distinct().join(known.select("text", "kind").distinct(), "text").withColumn("belief", F.lit(1.0)))
+    beliefs = same
     for _ in range(rounds):
-        scored = votes.groupBy("pattern", "kind").agg(F.sum(F.col("n") * F.col("belief")).alias("votes"), F.sum((F.col("belief") == 1).cast("int")).alias("seeds"))
-        scored = scored.where(F.col("seeds") >= support).join(totals, "pattern")
-        patterns = scratch.table(scored.select("pattern", "kind", (F.col("votes") / (F.col("total") + 1)).alias("score")))
+        votes = known.unionByName(unknown.join(beliefs, "text").select(*known.columns))
+        # an instance counts once towards the support of a pattern, by its belief
+        votes = votes.groupBy("pattern", "kind", "text").agg(F.sum(F.col("n") * F.col("belief")).alias("votes"), F.max("belief").alias("belief"))
+        scored = votes.groupBy("pattern", "kind").agg(F.sum("votes").alias("votes"), F.sum("belief").alias("backing"))
+        scored = scored.where(F.col("backing") >= support).join(totals, "pattern")
+        patterns = scored.select("pattern", "kind", (F.col("votes") / (F.col("total") + 1)).alias("score"))
+        # the longest context with support speaks (at most two scores a kind)
+        heard = reach.join(patterns, "pattern").groupBy("of").agg(F.collect_list(F.struct("rank", "kind", "score")).alias("all"))
+        heard = heard.withColumn("top", F.array_max(F.transform("all", lambda s: s["rank"])))
+        heard = heard.select(F.col("of").alias("pattern"), F.explode(F.filter("all", lambda s: s["rank"] == F.col("top"))).alias("s")).select("pattern", "s.kind", "s.score")
         # an unknown instance is as credible as its best pattern, and votes with that
-        beliefs = unknown.join(patterns, "pattern").groupBy("text", "kind").agg(F.max("score").alias("belief"))
-        votes = known.unionByName(unknown.join(beliefs, "text"))
-    best = patterns.where(F.col("score") >= reliable).groupBy("pattern").agg(F.min(F.struct(-F.col("score"), "kind")).alias("first"))
-    news = seen.where("kind is null").drop("kind").join(best, "pattern")
+        heard = waiting.join(heard, "pattern").select("text", "kind", F.col("score").alias("belief")).unionByName(same)
+        beliefs = scratch.table(heard.groupBy("text", "kind").agg(F.max("belief").alias("belief")))
+    best = beliefs.where(F.col("belief") >= reliable).groupBy("text").agg(F.min(F.struct(-F.col("belief"), "kind")).alias("first"))
+    news = seen.where("kind is null").drop("kind").join(best, "text")
     return news.groupBy("row").agg(F.collect_list(F.struct("start", F.col("first.kind").alias("kind"), "end")).alias("added"))
 
 
@@ -165,9 +186,12 @@ def find_personal_data(docs: DataFrame, words: int = 2, reach: int = 40, rounds:
     the seeds that vouch for it).
 
     A pattern is the last ``words`` words in the ``reach`` characters before an
-    entity, apart for tokens with and without an @. It adds its unknown tokens
-    when at least ``support`` distinct seeds of one kind stand behind it and
-    make up ``reliable`` of all its occurrences plus one. Null and empty texts
+    entity, or the last one where those have no score; apart for tokens with and
+    without an @. It has a score when distinct instances of one kind, seeds as 1
+    and unknown ones by their belief, add up to ``support``: their believed share
+    of all its occurrences plus one. An unknown token is a span, wherever it
+    stands, when its best pattern scores ``reliable`` in the last of ``rounds``
+    rounds or its text is a seed elsewhere. Null and empty texts
     have no spans; repeated rows count (and vouch) each; null ids stay null;
     other columns are ignored; an empty table gives no rows."""
     scratch = Scratch(docs.sparkSession)

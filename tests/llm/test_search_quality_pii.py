@@ -153,6 +153,29 @@ def test_patterns_discover_unknown_identifiers(frame):
     assert got[200]["n_email"] == 0 and got[200]["base_sha256"] == hashlib.sha256(b"").hexdigest()
 
 
+def named_spans(frame, rows, **options):
+    text = {i: t for i, t, _ in rows}
+    got = find_personal_data(frame("doc_id long, text string, spans string", rows), **options).collect()
+    return {r["doc_id"]: [(k, text[r["doc_id"]][int(a) : int(b)]) for k, a, b in (s.split(":") for s in r["spans"].split(",") if s)] for r in got}
+
+
+def test_believed_instances_work(frame):
+    rows = [(i, f"please write to user{i}@mail.example.com today", "") for i in range(30)]
+    # believed behind "write to", so they back "boss is", which no seed stands behind
+    rows += [(100 + i, f"please write to root{i}@host today", "") for i in range(7)]
+    rows += [(200 + i, f"our boss is root{i}@host now", "") for i in range(7)]
+    rows += [(300, "our boss is other@host now", "")]
+    # the two words before it are new, the last one is not
+    rows += [(400, "or fax to some@where now", ""), (401, "or fax by some@place now", "")]
+    # a seed elsewhere, here made too long for a card by the next number
+    rows += [(500, "card 4111111111111111 ok", ""), (501, "ref 4111111111111111 12345 ok", "")]
+    got = named_spans(frame, rows, reliable=0.7)
+    assert got[103] == [("email", "root3@host")] and got[203] == [("email", "root3@host")]
+    assert got[300] == [("email", "other@host")]
+    assert got[400] == [("email", "some@where")] and got[401] == []
+    assert got[501] == [("card", "4111111111111111")]
+
+
 def test_redaction(frame):
     rows = bootstrap_rows() + pii_rows() + [(600, "a +1.2.3.4 5678901 b 1.2.3.4", None)]
     df = frame("doc_id long, text string, spans string", rows)
