@@ -14,7 +14,7 @@ equi-joins, written as a table."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.llm.common import CHUNK, Scratch
@@ -38,6 +38,13 @@ PATTERNS = {
 MARKS = {"email": "@", "phone": "+"}
 #: Identifier-like tokens: runs of these characters with five digits or an @.
 TOKEN = r"(?<![A-Za-z0-9@._%+()-])(?=(?:[A-Za-z@._%+()-]*+[0-9]){5}|[A-Za-z0-9._%+()-]*+@)[A-Za-z0-9@._%+()-]++"
+#: Identifiers written in groups: two or more groups of digits, brackets, dots
+#: and hyphens with one space between, five digits in all (the expression looks
+#: ahead for them, also past the last group: ``grouped`` counts again).
+GROUP = r"[(+]*+[0-9]++(?:[().+-]++[0-9]++)*+\)?+(?![().+-]*+[A-Za-z0-9@_%])"
+GROUPS = r"(?<![A-Za-z0-9@._%+()-])(?=(?:[().+-]*+(?:\x20[().+-]*+)?+[0-9]){5})" + GROUP + r"(?:\x20" + GROUP + r")++"
+#: A group token that begins with a whole token of its own.
+LED = r"^(?:[().+-]*+[0-9]){5}[^\x20]*+\x20"
 OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}$"
 PLACE = "array<struct<start: int, kind: int, end: int>>"
 SPAN = "array<struct<start: int, end: int, text: string>>"
@@ -68,6 +75,10 @@ def digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
+def grouped(text: Column) -> Column:
+    return F.filter(found(text, GROUPS, F.lit(True)), lambda t: F.length(digits(t["text"])) >= 5)
+
+
 def luhn(number: Column) -> Column:
     n = F.length(number)
 
@@ -125,9 +136,10 @@ def listed(spans: Column) -> Column:
 
 def occurrence_table(rows: DataFrame, words: int, reach: int, scratch: Scratch) -> DataFrame:
     """``row``, ``doc_id``, base spans and, with their left contexts, all base
-    spans and unknown identifier-like tokens of rows (row, doc_id, text)."""
+    spans and unknown identifier-like tokens of rows (row, doc_id, text): single
+    runs and groups, also where a group holds such a run."""
     rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
-    rows = rows.withColumn("base", base_spans(F.col("text"))).withColumn("tokens", found(F.col("text"), TOKEN, F.lit(True)))
+    rows = rows.withColumn("base", base_spans(F.col("text"))).withColumn("tokens", F.concat(found(F.col("text"), TOKEN, F.lit(True)), grouped(F.col("text"))))
     free = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
 
     def entry(s, kind):
@@ -143,8 +155,10 @@ def added_spans(table: DataFrame, rounds: int, reliable: float, support: int, sc
     """(row, added array<struct<start, kind, end>>) from scoring the graph."""
     shape = F.when(F.contains("text", F.lit("@")), F.lit("@ ")).otherwise(F.lit("# "))
     seen = table.select("row", F.explode("seen").alias("s")).select("row", "s.*").withColumn("pattern", F.concat(shape, F.col("context")))
-    # edges of the graph: how often an instance stands behind a context
-    whole = scratch.table(seen.groupBy("pattern", "text", "kind").agg(F.count("*").alias("n")))
+    # edges of the graph: how often an instance stands behind a context; a group
+    # that begins with a token of its own is the same place, counted with that
+    again = F.col("kind").isNull() & F.col("text").rlike(LED)
+    whole = scratch.table(seen.groupBy("pattern", "text", "kind").agg(F.sum(F.when(again, 0).otherwise(1)).alias("n")))
     # the last word alone is a pattern too; '~' tells it from whole contexts
     last = F.regexp_extract("pattern", r"^(?:@|#)\x20.*\x20([^\x20]+)$", 1)
     short = F.when(last != "", F.concat(F.substring("pattern", 1, 1), F.lit("~"), last))
@@ -161,7 +175,7 @@ def added_spans(table: DataFrame, rounds: int, reliable: float, support: int, sc
     same = scratch.table(waiting.select("text").distinct().join(known.select("text", "kind").distinct(), "text").withColumn("belief", F.lit(1.0)))
     beliefs = same
     for _ in range(rounds):
-        votes = known.unionByName(unknown.join(beliefs, "text").select(*known.columns))
+        votes = known.unionByName(unknown.where("n > 0").join(beliefs, "text").select(*known.columns))
         # an instance counts once towards the support of a pattern, by its belief
         votes = votes.groupBy("pattern", "kind", "text").agg(F.sum(F.col("n") * F.col("belief")).alias("votes"), F.max("belief").alias("belief"))
         scored = votes.groupBy("pattern", "kind").agg(F.sum("votes").alias("votes"), F.sum("belief").alias("backing"))
@@ -176,6 +190,9 @@ def added_spans(table: DataFrame, rounds: int, reliable: float, support: int, sc
         beliefs = scratch.table(heard.groupBy("text", "kind").agg(F.max("belief").alias("belief")))
     best = beliefs.where(F.col("belief") >= reliable).groupBy("text").agg(F.min(F.struct(-F.col("belief"), "kind")).alias("first"))
     news = seen.where("kind is null").drop("kind").join(best, "text")
+    # of a group and the tokens in it, the group
+    before = Window.partitionBy("row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    news = news.withColumn("to", F.max(F.when(F.contains("text", F.lit(" ")), F.col("end"))).over(before)).where("to is null or to <= start")
     return news.groupBy("row").agg(F.collect_list(F.struct("start", F.col("first.kind").alias("kind"), "end")).alias("added"))
 
 

@@ -176,6 +176,19 @@ def test_believed_instances_work(frame):
     assert got[501] == [("card", "4111111111111111")]
 
 
+def test_identifiers_in_groups(frame):
+    rows = [(i, f"my card number 4111 1111 1111 1111 is {i}", "") for i in range(2)]
+    rows += [(10 + i, f"my card number {n} is it", "") for i, n in enumerate(["5500 0055 5555 5559", "4012 8888 8888 1881", "3782 822463 10005 0", "4222-2222-2222-2220", "6011 1111 1111 1117", "5105 1051 0510 5100", "4000 0000 0000 0002"])]
+    rows += [(100, "my card number 4111 1111 1111 1112 is it", ""), (101, "my card number 12 34 is short", ""), (102, "my card number 12345 678 is one", "")]
+    rows += [(200 + i, f"her phone number +1 (375) 555-43{10 + i} rings", "") for i in range(12)]
+    rows += [(300, "her phone number (375) 555 4393. It rings", ""), (301, "her phone number 555 123.4567 rings", ""), (302, "the year 12 345 678 was", "")]
+    rows += [(303, "7 " * 30000, ""), (304, "her phone number 12 34  567", "")]
+    got = named_spans(frame, rows, reliable=0.7)
+    assert got[100] == [("card", "4111 1111 1111 1112")] and got[102] == [("card", "12345 678")]
+    assert got[300] == [("phone", "(375) 555 4393")] and got[301] == [("phone", "555 123.4567")]
+    assert got[101] == got[302] == got[303] == got[304] == []
+
+
 def test_redaction(frame):
     rows = bootstrap_rows() + pii_rows() + [(600, "a +1.2.3.4 5678901 b 1.2.3.4", None)]
     df = frame("doc_id long, text string, spans string", rows)
