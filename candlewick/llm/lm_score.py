@@ -26,6 +26,8 @@ from candlewick.llm.common import Scratch, Words, crc_mod_of, mix, shards_for, t
 
 #: N-grams that a shard sums at once, about (with their sort 100 MB).
 SHARD_GRAMS = 2 << 20
+#: Smoothing of orders 2 and 3, chosen on a second split of training rows.
+STRENGTHS = (2048.0, 4.0)
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 
 
@@ -56,12 +58,14 @@ def token_grams(texts: list[bytes], order: int):
 
 
 class Grams:
-    """The distinct n-grams of a block, all orders in one list sorted by hash."""
+    """The distinct n-grams of a block, of the given orders, in one list sorted
+    by hash."""
 
-    def __init__(self, grams: list[np.ndarray], trained: np.ndarray):
+    def __init__(self, grams: list[np.ndarray], trained: np.ndarray, orders: range):
         self.places, self.index, hashes, counts, unigram = [], [], [], [], []
-        base = 0
-        for k, g in enumerate(grams, 1):
+        base, self.n = 0, len(trained)
+        for k in orders:
+            g = grams[k - 1]
             valid = np.flatnonzero(g) if k > 2 else np.arange(len(g))
             distinct, index = np.unique(g[valid], return_inverse=True)
             self.places.append(valid)
@@ -80,9 +84,9 @@ class Grams:
         """Totals given in the order of ``hashes`` -> per order, by token place."""
         unsorted = np.empty_like(totals)
         unsorted[self.order] = totals
-        n, out = len(self.places[0]), []
+        out = []
         for places, index in zip(self.places, self.index):
-            t = np.zeros(n, dtype=np.int64)
+            t = np.zeros(self.n, dtype=np.int64)
             t[places] = unsorted[index]
             out.append(t)
         return out
@@ -103,13 +107,14 @@ def unsqueezed(data: bytes) -> np.ndarray:
 class Automaton:
     """The part of the backoff automaton that a block's tokens can walk."""
 
-    def __init__(self, counts: list[np.ndarray], contexts: list[np.ndarray], tokens: int, types: int, strength: float):
+    def __init__(self, counts: list[np.ndarray], contexts: list[np.ndarray], tokens: int, types: int, strengths: tuple[float, ...]):
         """counts[k-1]: training count of the k-gram ending at each token;
-        contexts[k-2]: training count of its first k-1 tokens as a context."""
+        contexts[k-2]: training count of its first k-1 tokens as a context;
+        strengths[k-2]: smoothing of order k."""
         p = (counts[0] + 1.0) / (tokens + types + 1.0)
         self.base = np.log10(p)
         self.arcs, self.failures, self.states = [], [], []
-        for c, h in zip(counts[1:], contexts):
+        for c, h, strength in zip(counts[1:], contexts, strengths):
             p = np.where(h > 0, (c + strength * p) / (h + strength), p)
             self.states.append(h > 0)
             self.arcs.append(np.where(c > 0, np.log10(p), np.nan))
@@ -130,10 +135,11 @@ class Automaton:
         return total
 
 
-def lm_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int = 2, strength: float = 256.0, block_bytes: int = 4 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def lm_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int = 3, strength: float | tuple[float, ...] = STRENGTHS, block_bytes: int = 4 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``
     for every row of ``docs``, learning from the rows whose crc32(id as text)
-    mod ``modulus`` is not ``held_out``.
+    mod ``modulus`` is not ``held_out``. ``strength`` is the smoothing k of all
+    orders, or one for each order from 2 on.
 
     Null texts count as empty (one end token); a null id counts as '' for the
     split; repeated rows are counted and scored each; other columns are
@@ -142,29 +148,38 @@ def lm_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int =
     numbers. ``block_bytes`` of text is what one Python worker holds."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
+    strengths = tuple(strength) if isinstance(strength, (tuple, list)) else (strength,) * (order - 1)
+    if len(strengths) != order - 1:
+        raise ValueError(f"order {order} takes {order - 1} strengths, not {len(strengths)}")
     blocks = to_blocks(docs, scratch, id_col, text_col, block_bytes)
 
     def learned(rows) -> np.ndarray:
         return np.array([crc_mod_of(i, modulus) != held_out for i in rows.column("_id").to_pylist()], dtype=bool)
 
+    # longer n-grams go in turns of their own: a turn's shuffle files go at its end
+    turns = [range(1, min(order, 2) + 1), *(range(k, k + 1) for k in range(3, order + 1))]
     text_bytes = blocks.select(F.explode("keys.n_bytes").alias("n")).agg(F.sum("n")).first()[0] or 0
-    shards = shards_for(spark, order * text_bytes / 5, SHARD_GRAMS)
-    cuts = np.array([i * (1 << 64) // shards for i in range(1, shards)], dtype=np.uint64)
 
-    def asked(batches):
-        for batch in batches:
-            for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
-                rows = rows_of(payload.as_py())
-                first, grams = token_grams(texts_of(rows), order)
-                own = Grams(grams, np.repeat(learned(rows), np.diff(first)))
-                at = np.concatenate(([0], np.searchsorted(own.hashes, cuts), [len(own.hashes)]))
-                full = np.flatnonzero(np.diff(at))
-                parts = [slice(at[i], at[i + 1]) for i in full.tolist()]
-                hashes = [squeezed(np.diff(own.hashes[p], prepend=np.uint64(0))) for p in parts]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(full, pa.int32()), pa.array(np.full(len(parts), block)), pa.array(hashes, pa.binary()), pa.array([squeezed(own.counts[p]) for p in parts], pa.binary())],
-                    ["shard", "block", "grams", "counts"],
-                )
+    def asking(orders: range):
+        shards = shards_for(spark, len(orders) * text_bytes / 5, SHARD_GRAMS)
+        cuts = np.array([i * (1 << 64) // shards for i in range(1, shards)], dtype=np.uint64)
+
+        def asked(batches):
+            for batch in batches:
+                for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
+                    rows = rows_of(payload.as_py())
+                    first, grams = token_grams(texts_of(rows), orders[-1])
+                    own = Grams(grams, np.repeat(learned(rows), np.diff(first)), orders)
+                    at = np.concatenate(([0], np.searchsorted(own.hashes, cuts), [len(own.hashes)]))
+                    full = np.flatnonzero(np.diff(at))
+                    parts = [slice(at[i], at[i + 1]) for i in full.tolist()]
+                    hashes = [squeezed(np.diff(own.hashes[p], prepend=np.uint64(0))) for p in parts]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(full, pa.int32()), pa.array(np.full(len(parts), block)), pa.array(hashes, pa.binary()), pa.array([squeezed(own.counts[p]) for p in parts], pa.binary())],
+                        ["shard", "block", "grams", "counts"],
+                    )
+
+        return asked
 
     def answered(table):
         """Totals of a shard's n-grams, to each block in the order it asked;
@@ -183,10 +198,13 @@ def lm_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int =
             "tokens": pa.array([int(words.sum()), *rest], pa.int64()), "types": pa.array([int((words > 0).sum()), *rest], pa.int64()),
         })
 
-    questions = blocks.select("block", "payload").mapInArrow(tidy(asked), "shard int, block long, grams binary, counts binary")
-    answers = questions.groupBy("shard").applyInArrow(answered, "block long, shard int, totals binary, tokens long, types long")
-    del questions
-    answers = scratch.table(answers, codec="uncompressed")
+    answers = None
+    for turn, orders in enumerate(turns):
+        questions = blocks.select("block", "payload").mapInArrow(tidy(asking(orders)), "shard int, block long, grams binary, counts binary")
+        totals = questions.groupBy("shard").applyInArrow(answered, "block long, shard int, totals binary, tokens long, types long")
+        del questions
+        totals = scratch.table(totals, codec="uncompressed").withColumn("turn", F.lit(turn))
+        answers = totals if answers is None else answers.unionByName(totals)
     scratch.release()
     tokens, types = (x or 0 for x in answers.agg(F.sum("tokens"), F.sum("types")).first())
     learns = F.crc32(F.coalesce(F.col("key.doc_id").cast("string"), F.lit("")).cast("binary")) % modulus != held_out
@@ -194,19 +212,22 @@ def lm_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int =
 
     def scored(batches):
         for batch in batches:
-            for payload, totals_in in zip(batch.column("payload"), batch.column("totals")):
+            for payload, turns_in, totals_in in zip(batch.column("payload"), batch.column("turns").to_pylist(), batch.column("totals")):
                 rows = rows_of(payload.as_py())
                 first, grams = token_grams(texts_of(rows), order)
                 learn = learned(rows)
-                own = Grams(grams, np.repeat(learn, np.diff(first)))
-                counts = own.per_place(np.concatenate([unsqueezed(t.as_py()) for t in totals_in.values]).astype(np.int64))
+                trained, counts = np.repeat(learn, np.diff(first)), []
+                for turn, orders in enumerate(turns):
+                    totals = [unsqueezed(t.as_py()) for n, t in zip(turns_in, totals_in.values) if n == turn]
+                    totals = np.concatenate([np.zeros(0, dtype=np.uint64), *totals]).astype(np.int64)
+                    counts += Grams(grams, trained, orders).per_place(totals)
                 contexts = []
                 for k in range(2, order + 1):
                     context = np.zeros(len(counts[0]), dtype=np.int64)
                     context[1:] = counts[k - 2][:-1]
                     context[first[:-1]] = train_docs if k == 2 else 0
                     contexts.append(context)
-                automaton = Automaton(counts, contexts, tokens, types, strength)
+                automaton = Automaton(counts, contexts, tokens, types, strengths)
                 add = lambda x: np.add.reduceat(x, first[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -216,7 +237,7 @@ def lm_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int =
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
-    in_order = F.array_sort(F.collect_list(F.struct("shard", "totals")))
-    packed = answers.groupBy("block").agg(in_order.alias("a")).select("block", F.col("a.totals").alias("totals"))
-    joined = blocks.select("block", "payload").join(packed, "block").select("payload", "totals")
+    in_order = F.array_sort(F.collect_list(F.struct("turn", "shard", "totals")))
+    packed = answers.groupBy("block").agg(in_order.alias("a")).select("block", F.col("a.turn").alias("turns"), F.col("a.totals").alias("totals"))
+    joined = blocks.select("block", "payload").join(packed, "block").select("payload", "turns", "totals")
     return joined.mapInArrow(tidy(scored), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

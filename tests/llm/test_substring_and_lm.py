@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from candlewick.llm.common import Words
-from candlewick.llm.lm_score import lm_scores, squeezed, unsqueezed
+from candlewick.llm.lm_score import Automaton, lm_scores, squeezed, unsqueezed
 from candlewick.llm.substring import chained, dedup_substrings, least
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -133,6 +133,29 @@ def test_scores_equal_brute_force(frame, order, block):
         assert g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], rel=1e-9)
 
 
+def test_registered_query_learns_trigrams(spark, frame, tmp_path):
+    from candlewick.llm.queries import QUERIES
+
+    # "c" follows "b" after "a" only: the pair alone can't tell
+    rows = [(i, "a b c" if i % 2 else "x b d", "") for i in range(400)]
+    frame(SCHEMA, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op2_lm_scores"](spark, str(tmp_path)).collect()}
+    pair = {r["doc_id"]: r["score"] for r in lm_scores(frame(SCHEMA, rows), order=2, strength=2048.0).collect()}
+    assert all(got[i] > pair[i] + 0.2 for i in range(400))
+
+
+def test_one_strength_for_each_order(frame):
+    one = lambda *v: [np.array([x]) for x in v]
+    p1 = 6 / 15
+    p2 = (3 + 9 * p1) / (4 + 9)
+    seen = Automaton(one(5, 3, 2), one(4, 3), 10, 4, (9.0, 2.0)).walk()
+    failed = Automaton(one(5, 3, 0), one(4, 3), 10, 4, (9.0, 2.0)).walk()
+    assert seen[0] == pytest.approx(math.log10((2 + 2 * p2) / (3 + 2)))
+    assert failed[0] == pytest.approx(math.log10(2 / 5 * p2))
+    with pytest.raises(ValueError):
+        lm_scores(frame(SCHEMA, []), order=3, strength=(9.0,))
+
+
 def test_squeezed_arrays_come_back():
     rnd = np.random.default_rng(3)
     for values in ([], [0], [2**64 - 1, 0, 5], rnd.integers(0, 2**63, 1000)):
