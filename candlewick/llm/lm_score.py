@@ -26,8 +26,8 @@ from candlewick.llm.common import Scratch, Words, crc_mod_of, mix, shards_for, t
 
 #: N-grams that a shard sums at once, about (with their sort 100 MB).
 SHARD_GRAMS = 2 << 20
-#: Smoothing of orders 2 and 3, chosen on a second split of training rows.
-STRENGTHS = (2048.0, 4.0)
+#: Smoothing of orders 2 and 3, chosen on a second split of the training rows (README).
+STRENGTHS = (8192.0, 4.0)
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 
 
