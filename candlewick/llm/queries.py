@@ -80,6 +80,18 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(read_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.merkle import tampered_check
+
+    return tampered_check(read_table(spark, sf_dir, "documents"))
+
+
+def op13_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.permutation import nearest_neighbours
+
+    return nearest_neighbours(read_table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_lm_scores": op2_lm_scores,
@@ -91,6 +103,8 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_quality_scores": op9_quality_scores,
     "op10_bpe_codec": op10_bpe_codec,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_approximate_neighbours": op13_approximate_neighbours,
     "pipeline": pipeline,
 }
 

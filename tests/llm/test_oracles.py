@@ -28,6 +28,10 @@ def test_query_equals_sql(spark, con, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_covers_its_table(spark, name):
     df = QUERIES[name](spark, SF001)
+    key = "doc_id" if "doc_id" in df.columns else None
+    if key is None:  # searches: tested in their own files
+        assert df.count()
+        return
     ids = {r[0] for r in df.select("doc_id").collect()}
     docs = {r[0] for r in spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id").collect()}
     assert ids and ids <= docs and (name == "pipeline" or ids == docs)
