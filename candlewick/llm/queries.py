@@ -86,6 +86,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tampered_check(read_table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from candlewick.llm.align import align_tokens
+
+    return align_tokens(read_table(spark, sf_dir, "documents"), vocabulary(), vocabulary("piece_bpe_32k.model"))
+
+
 def op13_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from candlewick.llm.permutation import nearest_neighbours
 
@@ -104,6 +110,7 @@ QUERIES = {
     "op9_quality_scores": op9_quality_scores,
     "op10_bpe_codec": op10_bpe_codec,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_token_alignment": op12_token_alignment,
     "op13_approximate_neighbours": op13_approximate_neighbours,
     "pipeline": pipeline,
 }
