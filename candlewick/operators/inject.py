@@ -3,12 +3,14 @@ cleaning rules on.
 
 Each step picks an exact number of rows ``min(max(minimum, floor(n *
 fraction)), n)`` by seeded hash (``functions.picks``), so the result does not
-depend on partitioning and can be replayed in SQL. Steps run in the order
+depend on partitioning and can be replayed in SQL. Candles may repeat: where an
+identity is to be picked in part, its rows are told apart by their content,
+and equal rows by their place in the written table. Steps run in the order
 drop -> duplicate -> missing -> text -> bad times -> symbol variants ->
 negative volumes; the last five only rewrite values, so their picks are all
 computed in one pass over the same row set.
 
-Rows carry a unique ``_uid`` while injecting (duplicates get ``uid#dup``).
+Rows carry an identity ``_uid`` while injecting (duplicates get ``uid#dup``).
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.functions.exprs import hash_choice, is_numeric_text
-from candlewick.functions.picks import exact_picks, pick_size
+from candlewick.functions.picks import exact_picks, pick_cuts, pick_size, place_key, splits_ties
 from candlewick.functions.text import text_uid
 from candlewick.schema import (
     BAD_TIME_WORDS,
@@ -30,9 +32,11 @@ from candlewick.schema import (
     TIME_COLUMNS,
     VOLUME_COLUMNS,
 )
-from candlewick.session import cut_lineage, drop_table
+from candlewick.session import checkpoint_dir, cut_lineage, drop_table
 
 UID = "_uid"
+#: Place of a row among all rows; only there while rows are picked.
+PLACE = "_place"
 VALUE_STEPS = ("missing", "text", "bad_time", "symbol", "negative")
 
 
@@ -43,25 +47,58 @@ def with_uid(df: DataFrame, uid: Column | None = None) -> DataFrame:
     return df.withColumn(UID, uid if uid is not None else text_uid())
 
 
-def with_unique_uid(df: DataFrame) -> DataFrame:
-    """Row identities that stay unique where candles repeat, so that picks are
-    exact there too. An identity that occurs once is itself; repeated ones get
-    the hash of the whole row and, for equal rows, a running number.
+def _row_digest(columns: Sequence[str]) -> Column:
+    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns]))
+
+
+def _copies(df: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
+    """``df`` with a running number ``_at`` (from 1) among equal rows, and
+    ``more`` columns of the distinct rows.
 
     Equal rows are first counted (combined map-side) and made again from the
     count in steps of bounded size over all tasks, so a group of copies of any
     size never meets in one task."""
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).withColumns(more or {})
+    step = 10_000
+    parts = rows.withColumn("_from", F.explode(F.expr(f"sequence(1L, _n, {step}L)")))
+    spread = parts.where(f"_n <= {step}").unionByName(parts.where(f"_n > {step}").repartition(*df.columns, "_from"))
+    return spread.withColumn("_at", F.explode(F.expr(f"sequence(_from, least(_n, _from + {step - 1}L))"))).drop("_n", "_from")
+
+
+def with_unique_uid(df: DataFrame) -> DataFrame:
+    """Row identities that stay unique where candles repeat, so that every
+    repeated row has picks of its own. An identity that occurs once is itself;
+    repeated ones get the hash of the whole row and, for equal rows, a running
+    number."""
     if UID in df.columns:
         return df
-    whole = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in df.columns]))
-    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_id", text_uid())
-    repeated = rows.groupBy("_id").agg(F.sum("_n").alias("_all")).where("_all > 1").select("_id", F.lit(True).alias("_again"))
-    step = 10_000
-    parts = rows.join(repeated, "_id", "left").withColumn("_from", F.explode(F.expr(f"sequence(1L, _n, {step}L)")))
-    spread = parts.where(f"_n <= {step}").unionByName(parts.where(f"_n > {step}").repartition("_id", "_from"))
-    copies = spread.withColumn("_at", F.explode(F.expr(f"sequence(_from, least(_n, _from + {step - 1}L))")))
-    uid = F.when(F.col("_again"), F.concat("_id", F.lit("|"), whole, F.lit("#"), F.col("_at").cast("string"))).otherwise(F.col("_id"))
-    return copies.select(*df.columns, uid.alias(UID))
+    rows = _copies(df, {"_id": text_uid()})
+    repeated = rows.groupBy("_id").agg(F.count(F.lit(1)).alias("_all")).where("_all > 1").select("_id", F.lit(True).alias("_again"))
+    unique = F.concat("_id", F.lit("|"), _row_digest(df.columns), F.lit("#"), F.col("_at").cast("string"))
+    return rows.join(repeated, "_id", "left").select(*df.columns, F.when(F.col("_again"), unique).otherwise(F.col("_id")).alias(UID))
+
+
+def placed(df: DataFrame) -> DataFrame:
+    """``df`` with identities and a place for every row, written once, so that
+    places stay what they are. Without a shared folder places are running
+    numbers among equal rows, which any later run finds again."""
+    df = with_uid(df)
+    if PLACE in df.columns:
+        return df
+    if checkpoint_dir(df.sparkSession) is None:
+        return _copies(df).withColumnRenamed("_at", PLACE)
+    return cut_lineage(df.withColumn(PLACE, F.monotonically_increasing_id()))
+
+
+def _picked(df: DataFrame, seed: int, specs: dict[str, tuple[float, int, int]], n: int | None) -> DataFrame:
+    """``df`` with identities and a column ``_pick_<step>`` per spec. Rows are
+    given places (a table is written) only where an identity is picked in part."""
+    df = with_uid(df)
+    cuts = pick_cuts(df, F.col(UID), seed, specs, n)
+    rows = placed(df) if splits_ties(cuts) else df
+    ties = (_row_digest([c for c in df.columns if c not in (UID, PLACE)]), place_key(F.col(PLACE)))
+    out = exact_picks(rows, UID, seed, specs, cuts=cuts, ties=ties)
+    return out if PLACE in df.columns else out.drop(PLACE)
 
 
 def _spec(step: str, cap_offset: int = 0):
@@ -69,18 +106,17 @@ def _spec(step: str, cap_offset: int = 0):
     return (fraction, minimum, cap_offset)
 
 
-def drop_rows(df: DataFrame, seed: int = 42, n: int | None = None, eager: bool = False) -> DataFrame:
+def drop_rows(df: DataFrame, seed: int = 42, n: int | None = None) -> DataFrame:
     """Remove ``min(max(5, floor(3% n)), n-1)`` rows (``n`` counted if not given)."""
-    df = with_uid(df)
-    picked = exact_picks(df, UID, seed, {"drop": _spec("drop", 1)}, n=n, eager=eager)
+    picked = _picked(df, seed, {"drop": _spec("drop", 1)}, n)
     return picked.filter(~F.col("_pick_drop")).drop("_pick_drop")
 
 
-def duplicate_rows(df: DataFrame, seed: int = 42, n: int | None = None, eager: bool = False) -> DataFrame:
+def duplicate_rows(df: DataFrame, seed: int = 42, n: int | None = None) -> DataFrame:
     """Append copies of ``min(max(5, floor(3% n)), n)`` rows (``n`` counted if
     not given), as one projection over one scan."""
     df = with_uid(df)
-    picked = exact_picks(df, UID, seed, {"duplicate": _spec("duplicate")}, n=n, eager=eager)
+    picked = _picked(df, seed, {"duplicate": _spec("duplicate")}, n)
     copy = F.concat(F.col(UID), F.lit("#dup"))
     uids = F.explode(F.when(F.col("_pick_duplicate"), F.array(F.col(UID), copy)).otherwise(F.array(F.col(UID))))
     return picked.select(*[c for c in df.columns if c != UID], uids.alias(UID)).select(*df.columns)
@@ -168,12 +204,9 @@ def inject_values(
     symbols: Sequence[str] | None = SYMBOLS,
     flags: bool = False,
     n: int | None = None,
-    eager: bool = False,
 ) -> DataFrame:
     """Run the chosen value-rewriting steps (all picks from one pass)."""
-    df = with_uid(df)
-    specs = {s: _spec(s) for s in steps}
-    picked = exact_picks(df, UID, seed, specs, n=n, eager=eager)
+    picked = _picked(df, seed, {s: _spec(s) for s in steps}, n)
     for s in VALUE_STEPS:
         if s not in steps:
             picked = picked.withColumn(f"_pick_{s}", F.lit(False))
@@ -198,10 +231,10 @@ def inject_defects(
     result once (cleaning, sampling, summaries). ``shuffled`` puts the rows in
     the seeded order (a global sort; only of use right before a file is
     written). Building the result runs jobs."""
-    base = cut_lineage(with_uid(df))
+    base = placed(df)
     out = _all_steps(base, base.count(), seed, symbols, flags)
     out = seeded_order(out, seed) if shuffled else out
-    out = out if keep_uid else out.drop(UID)
+    out = out.drop(PLACE) if keep_uid else out.drop(UID, PLACE)
     if not materialize:
         return out
     result = cut_lineage(out)
@@ -211,15 +244,15 @@ def inject_defects(
 
 def _all_steps(base: DataFrame, n: int, seed: int, symbols: Sequence[str] | None, flags: bool) -> DataFrame:
     kept, final = sizes_after_rows_steps(n)
-    rows = duplicate_rows(drop_rows(base, seed, n, eager=True), seed, kept, eager=True)
-    return inject_values(rows, VALUE_STEPS, seed, symbols, flags=flags, n=final, eager=True)
+    rows = duplicate_rows(drop_rows(base, seed, n), seed, kept)
+    return inject_values(rows, VALUE_STEPS, seed, symbols, flags=flags, n=final)
 
 
 def injection_summary(df: DataFrame, seed: int = 42, symbols: Sequence[str] | None = SYMBOLS) -> DataFrame:
     """(metric, value) counts of every step, like the injector's printed
     summary: one pass over the flagged rows (rows dropped are those of the
     input that are neither left nor copies)."""
-    base = cut_lineage(with_uid(df))
+    base = placed(df)
     n = base.count()
     flagged = _all_steps(base, n, seed, symbols, flags=True)
     one = flagged.agg(

@@ -101,11 +101,12 @@ def q_messy(spark, sf):
     return messy(spark, sf)
 
 
-_SUMMARY_SQL = S.with_ctes(
-    MESSY[:-1],
-    """SELECT metric, value FROM (
-  SELECT 'original_rows' AS metric, (SELECT count(*) FROM m_uid) AS value
-  UNION ALL SELECT 'dropped_rows', (SELECT count(*) FROM m_uid) - (SELECT count(*) FROM i_drop)
+def _summary_sql(ctes, source):
+    return S.with_ctes(
+        ctes,
+        f"""SELECT metric, value FROM (
+  SELECT 'original_rows' AS metric, (SELECT count(*) FROM {source}) AS value
+  UNION ALL SELECT 'dropped_rows', (SELECT count(*) FROM {source}) - (SELECT count(*) FROM i_drop)
   UNION ALL SELECT 'duplicated_rows', (SELECT count(*) FROM i_dup WHERE _uid LIKE '%#dup')
   UNION ALL SELECT 'missing_values', (SELECT count(*) FROM i_val WHERE _pick_missing)
   UNION ALL SELECT 'text_in_numeric_columns', (SELECT count(*) FROM i_val WHERE _pick_text)
@@ -113,10 +114,10 @@ _SUMMARY_SQL = S.with_ctes(
   UNION ALL SELECT 'inconsistent_symbols', (SELECT count(*) FROM i_val WHERE _hit_symbol)
   UNION ALL SELECT 'negative_volumes', (SELECT count(*) FROM i_val WHERE _pick_negative)
   UNION ALL SELECT 'final_rows', (SELECT count(*) FROM i_val)) s""",
-)
+    )
 
 
-@query("injection_summary", _SUMMARY_SQL)
+@query("injection_summary", _summary_sql(MESSY[:-1], "m_uid"))
 def q_inject_summary(spark, sf):
     return I.injection_summary(event_text(spark, sf), SEED, symbols=None)
 
@@ -148,13 +149,44 @@ _WHOLE = "md5(" + " || '|' || ".join(f"coalesce({X.qi(c)}, '\\N')" for c in CAND
     ),
 )
 def q_drop_repeated(spark, sf):
-    """Dropping rows from a table in which candles repeat: exactly as many go as
-    the fraction says, though identities (and whole rows) are not unique."""
+    """Dropping rows from a table in which candles repeat, every repeated row
+    with an identity of its own: exactly as many go as the fraction says."""
+    return I.drop_rows(I.with_unique_uid(repeated_text(spark, sf)), SEED).drop(I.UID)
+
+
+def repeated_text(spark, sf):
+    """The rows of ``_REPEATED``: neither identities nor whole rows are unique."""
     text = event_text(spark, sf)
     hour = F.substring("open_time", 12, 2).cast("int")
     even, odd = text.where(hour % 2 == 0), text.where(hour % 2 == 1)
-    rows = text.unionByName(even).unionByName(even).unionByName(odd.withColumn("close", F.lit("1.00000000")))
-    return I.drop_rows(I.with_unique_uid(rows), SEED).drop(I.UID)
+    return text.unionByName(even).unionByName(even).unionByName(odd.withColumn("close", F.lit("1.00000000")))
+
+
+# The default identity over repeated candles: rows of one identity in the order
+# of their content, equal rows one after the other (any of them is as good).
+_TIES = ", _w, _ord"
+_REPEATED_STEPS = (
+    TEXT[:-1]
+    + [
+        ("r_all", _REPEATED),
+        ("r_uid", f"SELECT *, {_IDENTITY} AS _uid, {_WHOLE} AS _w, row_number() OVER (ORDER BY {_WHOLE}) AS _ord FROM r_all"),
+    ]
+    + X.drop_ctes("r_uid", SEED, ties=_TIES)
+    + X.dup_ctes("i_drop", SEED, ties=_TIES)
+    + X.value_ctes("i_dup", X.VALUE_STEPS, SEED, None, ties=_TIES)
+)
+
+
+@query("inject_defects_repeated", S.with_ctes(_REPEATED_STEPS, f"SELECT {TC} FROM i_val"))
+def q_messy_repeated(spark, sf):
+    """All steps, default identity, on a table in which candles repeat."""
+    return I.inject_defects(repeated_text(spark, sf), SEED, symbols=None)
+
+
+@query("injection_summary_repeated", _summary_sql(_REPEATED_STEPS, "r_uid"))
+def q_inject_summary_repeated(spark, sf):
+    """Every step has exactly the size that the fractions say."""
+    return I.injection_summary(repeated_text(spark, sf), SEED, symbols=None)
 
 
 # --- coercion and profiling ------------------------------------------------

@@ -74,25 +74,26 @@ def choice(seed, tag: str, options: list[str]) -> str:
     return f"[{', '.join(options)}][({hint(seed, tag)} % {len(options)}) + 1]"
 
 
-def pick(seed, step: str, cap_offset: int = 0) -> str:
+def pick(seed, step: str, cap_offset: int = 0, ties: str = "") -> str:
+    """``ties``: further order columns (", a, b") where identities repeat."""
     fraction, minimum = INJECT_SIZES[step]
     k = (
         f"least(greatest({minimum}, floor(count(*) OVER () * CAST({fraction} AS DOUBLE))), "
         f"count(*) OVER () - {cap_offset})"
     )
-    return f"(row_number() OVER (ORDER BY {h(seed, step)}) <= {k})"
+    return f"(row_number() OVER (ORDER BY {h(seed, step)}{ties}) <= {k})"
 
 
-def drop_ctes(src: str, seed: int = 42, name: str = "i_drop") -> list[tuple[str, str]]:
+def drop_ctes(src: str, seed: int = 42, name: str = "i_drop", ties: str = "") -> list[tuple[str, str]]:
     return [
-        (f"{name}_p", f"SELECT *, {pick(seed, 'drop', 1)} AS _p FROM {src}"),
+        (f"{name}_p", f"SELECT *, {pick(seed, 'drop', 1, ties)} AS _p FROM {src}"),
         (name, f"SELECT * EXCLUDE (_p) FROM {name}_p WHERE NOT _p"),
     ]
 
 
-def dup_ctes(src: str, seed: int = 42, name: str = "i_dup") -> list[tuple[str, str]]:
+def dup_ctes(src: str, seed: int = 42, name: str = "i_dup", ties: str = "") -> list[tuple[str, str]]:
     return [
-        (f"{name}_p", f"SELECT *, {pick(seed, 'duplicate')} AS _p FROM {src}"),
+        (f"{name}_p", f"SELECT *, {pick(seed, 'duplicate', 0, ties)} AS _p FROM {src}"),
         (
             name,
             f"SELECT * EXCLUDE (_p) FROM {name}_p UNION ALL "
@@ -113,10 +114,10 @@ def _set_one(src: str, step: str, cols: list[str], value: str, seed: int) -> str
 
 
 def value_ctes(
-    src: str, steps=VALUE_STEPS, seed: int = 42, symbols=None, name: str = "i_val", present=CANDLE_COLUMNS
+    src: str, steps=VALUE_STEPS, seed: int = 42, symbols=None, name: str = "i_val", present=CANDLE_COLUMNS, ties: str = ""
 ) -> list[tuple[str, str]]:
     picks = ", ".join(
-        f"{pick(seed, s) if s in steps else 'false'} AS _pick_{s}" for s in VALUE_STEPS
+        f"{pick(seed, s, 0, ties) if s in steps else 'false'} AS _pick_{s}" for s in VALUE_STEPS
     )
     ctes = [(f"{name}_p", f"SELECT *, {picks} FROM {src}")]
     cur = f"{name}_p"
