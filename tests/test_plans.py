@@ -75,14 +75,17 @@ def test_key_dedup_and_full_dedup_combine_map_side(spark):
     assert any("HashAggregate" in ln for ln in lines[ex + 1:])  # partial aggregate below the exchange
 
 
-def test_trailing_window_shuffles_details_once_and_does_not_join(spark, no_broadcast):
+def _final(plan):
+    return plan.split("== Initial Plan ==")[0]
+
+
+def test_trailing_sweep_scans_and_shuffles_once(spark, no_broadcast):
     ev = _events(spark).select("event_id", "user_id", "ts")
-    plan = _plan(trailing_count(ev, "ts", ["user_id"]), run=True)
-    assert "isFinalPlan=true" in plan and "Join" not in plan
-    final = plan.split("== Initial Plan ==")[0]
-    detail = [ln for ln in final.splitlines() if re.search(r"Exchange hashpartitioning\(user_id#\d+L?, _b#\d+L?", ln)]
-    # the rows with their marks once; the per-bucket counts are aggregated before theirs
-    assert 1 <= len(detail) <= 2 and "partial_count" in final
+    for options in ({}, {"range_rows": 50}):
+        plan = _final(_plan(trailing_count(ev, "ts", ["user_id"], **options), run=True))
+        assert "Join" not in plan and len(re.findall("FileScan parquet", plan)) == 1
+        assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+        assert "ArrowPython" not in plan and "InMemoryTableScan" not in plan
 
 
 def test_key_dedup_sorts_only_repeated_keys(spark, no_broadcast):
