@@ -6,9 +6,11 @@ that it stays inside whole-stage codegen.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Accepted text grammars of the safe casts.
@@ -127,3 +129,38 @@ def hash_choice(seed, tag: str, uid, options: Sequence) -> Column:
     opts = [o if isinstance(o, Column) else F.lit(o) for o in options]
     idx = F.pmod(hash_int(seed, tag, uid), F.lit(len(opts))).cast("int")
     return F.element_at(F.array(*opts), idx + 1)
+
+
+def constant_array(values: Sequence, kind: str) -> Column:
+    """A list as one literal array (folded once, not a node per element)."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
+
+
+def bisect_count(table: Column, size: int, value: Column) -> Column:
+    """How many of the ``size`` ascending elements of ``table`` are at or below
+    ``value``, by bisection (log2(size) comparisons a row)."""
+    steps = [1 << i for i in reversed(range(size.bit_length()))]
+    if not steps:
+        return F.lit(0)
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when(F.coalesce(F.get(table, at + step - 1) <= value, F.lit(False)), at + step).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), further)
+
+
+def file_position(df: DataFrame) -> Column:
+    """Place of a row in the files that ``df`` scans, as a fixed-width number:
+    the file (by name), the block in it and the row. Use it in a projection
+    right above the scan; where no files are read it is the row's place in its
+    partition order."""
+    files = sorted(df.inputFiles(), key=str.encode)
+    wide = "decimal(38,0)"
+    row = F.monotonically_increasing_id()
+    if not files:
+        return row.cast(wide)
+    file = bisect_count(constant_array(files, "string"), len(files), F.input_file_name())
+    block = F.greatest(F.input_file_block_start(), F.lit(0).cast("bigint"))
+    in_block = row.bitwiseAND(F.lit((1 << 33) - 1))
+    # 10 digits for the row, 15 for the block (a petabyte), the rest for the file
+    return (file.cast("decimal(12,0)") * F.lit(Decimal(10**25)) + block.cast("decimal(15,0)") * F.lit(Decimal(10**10)) + in_block.cast("decimal(10,0)")).cast(wide)

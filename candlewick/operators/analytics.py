@@ -8,9 +8,10 @@ Every rank ends with ``symbol`` so ties are broken the same way everywhere.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.functions.exact import exact_avg, exact_stddev, exact_sum
 from candlewick.functions.exprs import candle_direction, percent_change
 from candlewick.schema import DERIVED_COLUMNS, DIRECTIONS, INTERPRETATION_FORMAT, require_columns
 from candlewick.session import cut_lineage
@@ -51,9 +52,18 @@ def derive_time_features(df: DataFrame, ts: str = "open_time") -> DataFrame:
     )
 
 
+def _sum(df: DataFrame, c: str) -> Column:
+    """Sum with the same bits for any partitioning (integers and decimals are exact as they are)."""
+    return exact_sum(c) if dict(df.dtypes)[c] in ("double", "float") else F.sum(c)
+
+
+def _avg(df: DataFrame, c: str) -> Column:
+    return exact_avg(c) if dict(df.dtypes)[c] in ("double", "float") else F.avg(c)
+
+
 def avg_by_symbol(df: DataFrame, column: str, alias: str) -> DataFrame:
     """``SELECT symbol, AVG(column) AS alias ... GROUP BY symbol ORDER BY symbol``."""
-    return df.groupBy("symbol").agg(F.avg(column).alias(alias)).orderBy("symbol")
+    return df.groupBy("symbol").agg(_avg(df, column).alias(alias)).orderBy("symbol")
 
 
 def row_count_by_symbol(df: DataFrame) -> DataFrame:
@@ -68,8 +78,8 @@ def volatility_stats(df: DataFrame) -> DataFrame:
     """avg / sample stddev / min / max of price_range per symbol."""
     df = ensure_candle_features(df)
     return df.groupBy("symbol").agg(
-        F.avg("price_range").alias("avg_price_range"),
-        F.stddev_samp("price_range").alias("stddev_price_range"),
+        _avg(df, "price_range").alias("avg_price_range"),
+        exact_stddev("price_range").alias("stddev_price_range"),
         F.min("price_range").alias("min_price_range"),
         F.max("price_range").alias("max_price_range"),
     )
@@ -92,9 +102,9 @@ def volatility_ranking(df: DataFrame) -> DataFrame:
 
 def activity_stats(df: DataFrame) -> DataFrame:
     return df.groupBy("symbol").agg(
-        F.sum("trade_count").alias("total_trades"),
-        F.sum("quote_volume").alias("total_quote_volume"),
-        F.avg("volume").alias("average_volume"),
+        _sum(df, "trade_count").alias("total_trades"),
+        _sum(df, "quote_volume").alias("total_quote_volume"),
+        _avg(df, "volume").alias("average_volume"),
     )
 
 
@@ -128,7 +138,7 @@ def period_totals(
         df = derive_time_features(df)
     if drop_null_period:
         df = df.filter(F.col(period).isNotNull())
-    return df.groupBy(period).agg(F.sum(source).alias(alias))
+    return df.groupBy(period).agg(_sum(df, source).alias(alias))
 
 
 def busiest_period(df: DataFrame, by: str = "hour", metric: str = "trades", n: int = 1) -> DataFrame:
@@ -219,15 +229,15 @@ def market_summary(df: DataFrame) -> DataFrame:
     direction = F.col("candle_direction")
     agg = df.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("total_records"),
-        F.avg("volume").alias("avg_volume"),
-        F.sum("trade_count").alias("total_trades"),
-        F.avg("percent_change").alias("avg_percent_change"),
-        F.avg("price_range").alias("avg_price_range"),
-        F.stddev_samp("price_range").alias("stddev_price_range"),
+        _avg(df, "volume").alias("avg_volume"),
+        _sum(df, "trade_count").alias("total_trades"),
+        _avg(df, "percent_change").alias("avg_percent_change"),
+        _avg(df, "price_range").alias("avg_price_range"),
+        exact_stddev("price_range").alias("stddev_price_range"),
         F.count_if(direction == "up").alias("up_count"),
         F.count_if(direction == "down").alias("down_count"),
         F.count_if(direction == "flat").alias("flat_count"),
-        F.sum("quote_volume").alias("total_quote_volume"),
+        _sum(df, "quote_volume").alias("total_quote_volume"),
     )
     return _with_ranks_and_text(agg).select(*SUMMARY_COLUMNS).orderBy("activity_rank")
 
@@ -255,7 +265,7 @@ def market_summary_joined(df: DataFrame) -> DataFrame:
         F.col("rank").alias("activity_rank"),
     )
     rows = row_count_by_symbol(df).select("symbol", F.col("total_rows").alias("total_records"))
-    pct = df.groupBy("symbol").agg(F.avg("percent_change").alias("avg_percent_change"))
+    pct = df.groupBy("symbol").agg(_avg(df, "percent_change").alias("avg_percent_change"))
     dirs = direction_counts(df).select(
         "symbol",
         F.col("up_candles").alias("up_count"),

@@ -12,10 +12,10 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.functions.exprs import clean_symbol, null_safe, safe_double, safe_timestamp
+from candlewick.functions.exprs import clean_symbol, file_position, null_safe, safe_double, safe_timestamp
 from candlewick.operators.analytics import derive_candle_features
 from candlewick.schema import CANDLE_COLUMNS, NUMERIC_COLUMNS, TIME_COLUMNS
 
@@ -62,25 +62,35 @@ def dedup_by_key(
     """One row per candle key: the row with the fewest nulls, then the smallest
     ``tiebreak`` (default: md5 of the raw time texts and numbers).
 
-    Rows per key are counted first (a hash aggregate of keys only). Keys that
-    occur once pass through an anti join; the ordered pick, whose struct buffer
-    needs a sorted aggregate, runs on repeated keys alone and combines
-    map-side, so no group is collected into one task.
+    A ranked window that keeps the first row only: every map task forwards one
+    row per key it has seen, so a key with any number of rows reaches one task
+    as at most one row per map task. One scan, one shuffle.
     """
     value_cols = [c for c in df.columns if c not in keys]
     if tiebreak is None:
         tiebreak = F.md5(
             F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in value_cols])
         )
-    names = [f"_k{i}" for i in range(len(keys))]
-    repeated = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-    )
-    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(repeated[n]) for k, n in zip(keys, names)])
-    order = F.struct(null_count(df.columns).alias("nulls"), tiebreak.alias("tb"))
-    best = df.join(repeated, same, "left_semi").groupBy(*keys).agg(F.min_by(F.struct(*value_cols), order).alias("_best"))
-    picked = best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in value_cols]).select(*df.columns)
-    return df.join(repeated, same, "left_anti").unionByName(picked)
+    best = Window.partitionBy(*keys).orderBy(null_count(df.columns), tiebreak)
+    return df.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank")
+
+
+def duplicate_mask(df: DataFrame, position: Column | None = None, out: str = "is_duplicate") -> DataFrame:
+    """``df`` with a mark on every row that is equal to an earlier one (null
+    equals null); the first of equal rows is not marked.
+
+    ``position`` orders the rows: a number, unique per row, the same whenever
+    ``df`` is read (default: the place in its files). The first place of
+    every repeated row comes from a hash aggregate that combines copies
+    map-side; only repeated rows are on the other side of the join, so a large
+    group of copies is one row there and its join partition can be split."""
+    rows = df.withColumn("_at", (file_position(df) if position is None else position).cast("decimal(38,0)"))
+    firsts = rows.groupBy(*df.columns).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    names = {c: f"_d{i}" for i, c in enumerate(df.columns)}
+    firsts = firsts.select(*[F.col(c).alias(n) for c, n in names.items()], "_first")
+    same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(firsts[n]) for c, n in names.items()])
+    mark = F.coalesce(F.col("_at") > F.col("_first"), F.lit(False))
+    return rows.join(firsts, same, "left").select(*[rows[c] for c in df.columns], mark.alias(out))
 
 
 def rule_columns(df: DataFrame, strict: bool = False) -> dict[str, Column]:

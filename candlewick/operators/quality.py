@@ -1,10 +1,10 @@
 """Data-quality profiling: null counts, invalid values, duplicates, rule hits
 and the before/after report.
 
-The report needs two aggregate passes: one over the raw table (row count,
-missing, unparsable and repaired values) and one over the de-duplicated table
-(rule hits and the nulls left after cleaning). Results are long (metric,
-value) DataFrames built from one-row aggregates: no joins, nothing collected.
+The report needs one pass: the aggregate that de-duplicates the rows carries
+the counts of the raw table (copies, missing and repaired values) along.
+Results are long (metric, value) DataFrames built from one-row aggregates: no
+joins, nothing collected.
 ``render_report`` formats the bounded report on the driver, ``write_report``
 writes it.
 """
@@ -12,6 +12,8 @@ writes it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,11 +136,11 @@ def invalid_timestamps(raw: DataFrame) -> DataFrame:
 
 
 def duplicate_count(raw: DataFrame) -> DataFrame:
-    """Rows equal to an earlier row after coercion (= rows - distinct rows)."""
+    """Rows equal to an earlier row after coercion: the copies beyond the
+    first of every distinct row, from one aggregate."""
     typed = C.coerce(raw)
-    total = typed.agg(F.count(F.lit(1)).alias("n"))
-    distinct = C.dedup_rows(typed).agg((-F.count(F.lit(1))).alias("n"))
-    return total.unionByName(distinct).agg(F.sum("n").alias("duplicates"))
+    rows = typed.groupBy(*typed.columns).agg((F.count(F.lit(1)) - 1).alias("n"))
+    return rows.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("duplicates"))
 
 
 def rule_violation_counts(typed: DataFrame, strict: bool = False) -> DataFrame:
@@ -215,38 +217,49 @@ def quality_report(
 ) -> DataFrame:
     """Before/after report as (seq, metric, value), mirroring ``clean_candles``.
 
-    Two scans of ``raw``: one aggregate over the rows as they are (missing,
-    unparsable and repaired values), one over the de-duplicated table. The
-    second counts rows kept, rule hits and nulls left, and the distinct rows
-    among those kept in the same pass (rows are grouped with their count, so
-    ``duplicates_after`` is measured rather than assumed). The two one-row
-    results meet in a union and a global sum; every report row comes from it.
+    One scan and one shuffle of the rows: the aggregate that de-duplicates the
+    typed rows also counts, per distinct row, its copies and what coercion hid
+    in them (missing numbers, repaired rows). All else follows from the typed
+    row, so the counts before cleaning are sums over its groups. The cleaned
+    table's rows are grouped once more, in the same partitions, so
+    ``duplicates_after`` is measured rather than assumed. With ``dedup_keys``
+    the rows kept are picked in a branch of their own, which reads ``raw``
+    again.
     """
     from candlewick.operators.analytics import derive_candle_features
 
     raw_cols, numbers, times = raw.columns, _numeric_present(raw), _time_present(raw)
-    typed = C.coerce(raw)
-    deduped = C.dedup_by_key(typed, dedup_keys) if dedup_keys else C.dedup_rows(typed)
-    featured = derive_candle_features(deduped)
-    clean_cols = list(featured.columns)
-    # equal rows of the cleaned table, grouped: one row and how many there are
-    grouped = featured.groupBy(*clean_cols).agg(F.count(F.lit(1)).alias("_copies"))
-    rules = C.rule_columns(grouped.drop("_copies"), strict)
-    removed = C.violates_any(grouped.drop("_copies"), strict)
+    hidden = {f"_m{i}": F.col(c).isNull() for i, c in enumerate(numbers)} | {"_fixed": repaired(raw)}
+    counted = raw.withColumns({n: F.coalesce(e, F.lit(False)).cast("bigint") for n, e in hidden.items()})
+    typed = C.coerce(counted)
+    rows = typed.groupBy(*[c for c in typed.columns if c not in hidden]).agg(F.count(F.lit(1)).alias("_copies"), *[F.sum(n).alias(n) for n in hidden])
+    featured = derive_candle_features(rows)
+    extra = ("_copies", *hidden)
+    clean_cols = [c for c in featured.columns if c not in extra]
+    grouped = featured.groupBy(*clean_cols).agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(c) for c in extra])
+    rules = C.rule_columns(typed, strict)
+    removed = C.violates_any(typed, strict)
 
-    def rows_where(condition: Column) -> Column:
+    def copies_where(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("_copies"))), F.lit(0))
 
-    one: dict[str, Column] = {"rows_before": F.count(F.lit(1))}
-    one |= {f"b{i}": F.count_if(F.col(c).isNull()) for i, c in enumerate(raw_cols)}
-    one |= {f"n{i}": F.count_if(F.col(c).isNotNull() & safe_double(c).isNull()) for i, c in enumerate(numbers)}
-    one |= {f"t{i}": F.count_if(F.col(c).isNotNull() & safe_timestamp(c).isNull()) for i, c in enumerate(times)}
-    bad_number = F.lit(False)
-    for c in numbers:
-        bad_number = bad_number | safe_double(c).isNull()
-    one |= {"invalid_numeric_rows": F.count_if(bad_number), "rows_repaired": F.count_if(repaired(raw))}
+    def rows_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("_rows"))), F.lit(0))
+
+    def missing(c: str) -> Column:
+        """Copies of a row whose raw value is missing."""
+        if c in numbers:
+            return F.coalesce(F.sum(f"_m{numbers.index(c)}"), F.lit(0))
+        return copies_where(F.col(f"{c}__orig" if c in times else c).isNull())
+
+    no_number = reduce(or_, [F.col(c).isNull() for c in numbers], F.lit(False))
+    one: dict[str, Column] = {"rows_before": F.coalesce(F.sum("_copies"), F.lit(0))}
+    one |= {f"b{i}": missing(c) for i, c in enumerate(raw_cols)}
+    one |= {f"n{i}": copies_where(F.col(c).isNull()) - missing(c) for i, c in enumerate(numbers)}
+    one |= {f"t{i}": copies_where(F.col(f"{c}__orig").isNotNull() & F.col(c).isNull()) for i, c in enumerate(times)}
+    one |= {"invalid_numeric_rows": copies_where(no_number), "rows_repaired": F.coalesce(F.sum("_fixed"), F.lit(0))}
     two: dict[str, Column] = {
-        "rows_deduped": F.coalesce(F.sum("_copies"), F.lit(0)),
+        "rows_deduped": F.coalesce(F.sum("_rows"), F.lit(0)),
         "rows_after": rows_where(~removed),
         "distinct_after": F.count_if(~removed),
         "rule_removed": rows_where(removed),
@@ -254,9 +267,17 @@ def quality_report(
     two |= {f"r{i}": rows_where(r) for i, r in enumerate(rules.values())}
     two |= {f"a{i}": rows_where(~removed & F.col(c).isNull()) for i, c in enumerate(clean_cols)}
     zero = F.lit(0).cast("bigint")
-    first = raw.agg(*[e.cast("bigint").alias(n) for n, e in one.items()]).select(*one, *[zero.alias(n) for n in two])
-    second = grouped.agg(*[e.cast("bigint").alias(n) for n, e in two.items()]).select(*[zero.alias(n) for n in one], *two)
-    facts = first.unionByName(second).agg(*[F.sum(n).alias(n) for n in (*one, *two)])
+
+    def of(df: DataFrame, aggregates: dict[str, Column]) -> DataFrame:
+        return df.agg(*[e.cast("bigint").alias(n) for n, e in aggregates.items()])
+
+    if dedup_keys:
+        kept = derive_candle_features(C.dedup_by_key(C.coerce(raw), dedup_keys)).groupBy(*clean_cols).agg(F.count(F.lit(1)).alias("_rows"))
+        first = of(grouped, one).select(*one, *[zero.alias(n) for n in two])
+        second = of(kept, two).select(*[zero.alias(n) for n in one], *two)
+        facts = first.unionByName(second).agg(*[F.sum(n).alias(n) for n in (*one, *two)])
+    else:
+        facts = of(grouped, one | two)
 
     def total(prefix: str, n: int) -> Column:
         return sum((F.col(f"{prefix}{i}") for i in range(n)), zero)

@@ -22,14 +22,13 @@ A table that fits one range needs neither sample nor marks."""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlewick.functions.exprs import ntz_epoch_micros
+from candlewick.functions.exprs import bisect_count, constant_array, ntz_epoch_micros
 from candlewick.schema import RATE_LIMIT, RATE_WINDOW_SECONDS
 from candlewick.session import MAX_SHUFFLE_PARTITIONS, cut_lineage
 
@@ -56,13 +55,8 @@ def _micros(df: DataFrame, ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def _constant(values: list, kind: str) -> Column:
-    """A list as one literal (folded once, not a node per element)."""
-    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
-
-
 def _bounds(bounds: list[tuple[int, int, int]]) -> Column:
-    return _constant([dict(zip("abt", b)) for b in bounds], _POINT)
+    return constant_array([dict(zip("abt", b)) for b in bounds], _POINT)
 
 
 def _point(time: Column) -> Column:
@@ -71,15 +65,7 @@ def _point(time: Column) -> Column:
 
 def range_of(point: Column, bounds: list[tuple[int, int, int]]) -> Column:
     """How many of the ascending ``bounds`` are at or below ``point``, by bisection."""
-    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
-    if not steps:
-        return F.lit(0)
-    table = _bounds(bounds)
-
-    def further(at: Column, step: Column) -> Column:
-        return F.when(F.coalesce(F.get(table, at + step - 1) <= point, F.lit(False)), at + step).otherwise(at)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), further)
+    return bisect_count(_bounds(bounds), len(bounds), point)
 
 
 def find_ranges(base: DataFrame, rows: int, window_us: int, range_rows: int) -> Ranges:
@@ -131,7 +117,7 @@ def trailing_count(
     if ranges.bounds:
         starts = F.get(_bounds(ranges.bounds), F.col("_range") - 1)  # null for the first range
         same_key = (starts["a"] == F.col("_a")) & (starts["b"] == F.col("_b"))
-        carried = F.get(_constant(ranges.carried, "bigint"), F.col("_range"))
+        carried = F.get(constant_array(ranges.carried, "bigint"), F.col("_range"))
         gone = F.coalesce(F.sum("_gone").over(_frame(keys, Window.unboundedPreceding, 0)), F.lit(0))
         count = count + F.when(F.coalesce(same_key, F.lit(False)), carried - gone).otherwise(F.lit(0))
     swept = swept.withColumn(out, count)
@@ -157,7 +143,7 @@ def _sweep(timed: DataFrame, keys: list[str], window_us: int, ranges: Ranges) ->
     crowded = marks = None
     if any(ranges.crowded):
         last = F.col("_range") - 1
-        here = F.get(_constant(ranges.crowded, "boolean"), last) & (F.get(_bounds(ranges.bounds), last) == _point(F.col("_at")))
+        here = F.get(constant_array(ranges.crowded, "boolean"), last) & (F.get(_bounds(ranges.bounds), last) == _point(F.col("_at")))
         rows = rows.withColumn("_here", F.coalesce(here, F.lit(False)))
         crowded, rows = rows.where("_here"), rows.where("NOT _here").drop("_here")
         marks = crowded.groupBy(*keys, "_a", "_b", "_at", "_range", "_until").agg(F.count(F.lit(1)).alias("_n"))

@@ -308,6 +308,18 @@ def q_dup_count(spark, sf):
     return Q.duplicate_count(messy(spark, sf))
 
 
+@query(
+    "duplicate_mask",
+    S.with_ctes(
+        CLEAN,
+        "SELECT *, row_number() OVER (PARTITION BY " + ", ".join(X.qi(c) for c in [*CANDLE_COLUMNS, "open_time__orig", "close_time__orig"]) + ") > 1 AS is_duplicate FROM c_typed",
+    ),
+)
+def q_dup_mask(spark, sf):
+    """Every row after the first of equal rows is marked."""
+    return CL.duplicate_mask(CL.coerce(messy(spark, sf)))
+
+
 @query("dedup_rows", S.with_ctes(CLEAN, "SELECT * FROM c_dedup"))
 def q_dedup(spark, sf):
     return CL.dedup_rows(CL.coerce(messy(spark, sf)))

@@ -16,6 +16,32 @@ from candlewick.schema import CANDLE_COLUMNS, KLINE_FIELDS
 
 _TIME_FIELDS = ("open_time", "close_time")
 _RECORDS = "array<array<string>>"
+_PARSED = f"lists array<{_RECORDS}>, broken string"
+
+
+def parsed_payload(text: Column) -> Column:
+    """One parse of a payload: ``lists`` (one, if the text is one list) and,
+    where the text is not what it should be, ``broken`` (the parser's channel
+    for corrupt records, so a text that is cut off is not taken in part)."""
+    return F.from_json(F.concat(F.lit('{"lists":['), text, F.lit("]}")), _PARSED, {"columnNameOfCorruptRecord": "broken"})
+
+
+def closed_text(text: Column) -> Column:
+    """The text is one bracketed list, as far as its ends tell."""
+    bare = F.trim(F.translate(text, "\n\r\t", "   "))
+    return F.coalesce(bare.startswith("[") & bare.endswith("]"), F.lit(False))
+
+
+def _records(parsed: Column) -> Column:
+    return F.get(parsed["lists"], F.lit(0))
+
+
+def _fault(parsed: Column, closed: Column) -> Column:
+    records = _records(parsed)
+    least = KLINE_FIELDS.index("trade_count") + 1
+    short = F.exists(records, lambda r: r.isNull() | (F.size(r) < least))
+    whole = (F.size(parsed["lists"]) == 1) & records.isNotNull() & parsed["broken"].isNull() & closed
+    return F.when(~F.coalesce(whole, F.lit(False)), "not an array of records").when(short, "record with missing fields")
 
 
 def payload_fault(payload) -> Column:
@@ -23,16 +49,14 @@ def payload_fault(payload) -> Column:
     arrays (error objects, cut-off or other text, null) or a record with fewer
     fields than a candle has. An empty array is a good response without rows."""
     text = F.col(payload) if isinstance(payload, str) else payload
-    records = F.from_json(text, _RECORDS)
-    least = KLINE_FIELDS.index("trade_count") + 1
-    short = F.exists(records, lambda r: r.isNull() | (F.size(r) < least))
-    closed = F.trim(text).rlike(r"(?s)^\s*\[.*\]\s*$")
-    return F.when(records.isNull() | ~F.coalesce(closed, F.lit(False)), "not an array of records").when(short, "record with missing fields")
+    return _fault(parsed_payload(text), closed_text(text))
 
 
 def bad_payloads(df: DataFrame, payload: str = "value") -> DataFrame:
     """The rows of ``df`` that ``decode_klines`` refuses, with the ``fault``."""
-    return df.withColumn("fault", payload_fault(payload)).where("fault is not null")
+    columns = df.columns
+    parsed = df.withColumns({"_parsed": parsed_payload(F.col(payload)), "_closed": closed_text(F.col(payload))})
+    return parsed.withColumn("fault", _fault(F.col("_parsed"), F.col("_closed"))).where("fault is not null").select(*columns, "fault")
 
 
 def decode_klines(
@@ -44,7 +68,7 @@ def decode_klines(
     with_taker: bool = False,
     on_bad: str = "fail",
 ) -> DataFrame:
-    """Explode JSON payloads into typed candles.
+    """Explode JSON payloads into typed candles; a payload is parsed once.
 
     ``on_bad="fail"`` ends the query at the first payload with a fault;
     ``"skip"`` leaves such payloads out, to be reported by ``bad_payloads``.
@@ -57,14 +81,15 @@ def decode_klines(
     itv = F.col(interval) if isinstance(interval, str) else interval
     if on_bad not in ("fail", "skip"):
         raise ValueError(f"on_bad must be 'fail' or 'skip', not {on_bad!r}")
-    fault = payload_fault(payload)
-    said = F.concat(F.lit("bad kline payload for "), F.coalesce(sym, F.lit("?")), F.lit(": "), fault)
+    text = F.col(payload)
+    parsed = df.select(sym.alias("symbol"), itv.alias("interval"), parsed_payload(text).alias("_parsed"), closed_text(text).alias("_closed"))
+    parsed = parsed.select("symbol", "interval", _records(F.col("_parsed")).alias("_records"), _fault(F.col("_parsed"), F.col("_closed")).alias("_fault"))
+    said = F.concat(F.lit("bad kline payload for "), F.coalesce(F.col("symbol"), F.lit("?")), F.lit(": "), F.col("_fault"))
     bad = F.raise_error(said) if on_bad == "fail" else F.lit(None)
-    parsed = F.when(fault.isNull(), F.from_json(F.col(payload), _RECORDS)).otherwise(bad.cast(_RECORDS))
-    records = df.select(sym.alias("symbol"), itv.alias("interval"), F.explode(parsed).alias("rec"))
+    records = parsed.select("symbol", "interval", F.explode(F.when(F.col("_fault").isNull(), F.col("_records")).otherwise(bad.cast(_RECORDS))).alias("rec"))
     fields = {}
     for i, name in enumerate(KLINE_FIELDS):
-        raw = F.try_element_at(F.col("rec"), F.lit(i + 1))
+        raw = F.get("rec", F.lit(i))
         if name in _TIME_FIELDS:
             fields[name] = epoch_ms_to_timestamp(raw.try_cast("bigint"))
         elif name == "trade_count":
@@ -79,17 +104,15 @@ def decode_klines(
     )
 
 
-def read_klines(spark: SparkSession, path: str, *, with_taker: bool = False, on_bad: str = "fail") -> DataFrame:
-    """Read payload files laid out as ``.../symbol=XXX/interval=1h/*.json``.
+def read_klines(spark: SparkSession, path: str, *, with_taker: bool = False, on_bad: str = "fail", lines: bool = False) -> DataFrame:
+    """Read payload files laid out as ``.../symbol=XXX/interval=1h/*.json``;
+    the directory names supply symbol and interval (partition discovery).
 
-    Each file is one response; the directory names supply symbol and interval
-    (partition discovery), so files decode in parallel.
-    """
-    raw = (
-        spark.read.schema("value string, symbol string, interval string")  # no partition type inference
-        .option("wholetext", True)
-        .text(path)
-    )
+    A file is one response. With ``lines`` a file holds any number of
+    responses, one per line (blank lines are left out), and is read in splits,
+    so neither a row nor a task has to hold a file."""
+    raw = spark.read.schema("value string, symbol string, interval string")  # no partition type inference
+    raw = raw.text(path).where(F.trim("value") != "") if lines else raw.option("wholetext", True).text(path)
     return decode_klines(raw, "value", "symbol", "interval", with_taker=with_taker, on_bad=on_bad)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlewick.sources.klines import decode_klines
+from candlewick.sources.klines import bad_payloads, decode_klines
 
 _FILE_SCHEMA = T.StructType(
     [
@@ -23,18 +23,41 @@ _FILE_SCHEMA = T.StructType(
 )
 
 
+def _files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(_FILE_SCHEMA).option("wholetext", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.text(path)
+
+
 def stream_klines(
     spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None, on_bad: str = "fail"
 ) -> DataFrame:
     """Streaming candles from payload files under ``path/symbol=X/interval=Y/``;
     a bad payload ends the stream unless ``on_bad="skip"``."""
-    reader = spark.readStream.schema(_FILE_SCHEMA).option("wholetext", True)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.text(path)
+    raw = _files(spark, path, max_files_per_trigger)
     return decode_klines(raw, "value", "symbol", "interval", on_bad=on_bad)
 
 
+def stream_rejects(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming rows (file, symbol, interval, fault, payload text) of the
+    payloads that ``stream_klines`` with ``on_bad="skip"`` leaves out."""
+    raw = _files(spark, path, max_files_per_trigger).withColumn("file", F.col("_metadata.file_path"))
+    return bad_payloads(raw).select("file", "symbol", "interval", "fault", "value")
+
+
+def _started(query, once: bool):
+    return (query.trigger(availableNow=True) if once else query.trigger(processingTime="1 minute")).start()
+
+
+def ingest_rejects(spark: SparkSession, source: str, sink: str, checkpoint: str, *, once: bool = True):
+    """Append refused payloads with their fault to the Parquet table at
+    ``sink``: the counterpart of ``ingest_klines(..., on_bad="skip")`` over the
+    same folder, with a checkpoint of its own, so no payload is lost unseen."""
+    rows = stream_rejects(spark, source).writeStream.format("parquet").option("path", sink)
+    return _started(rows.option("checkpointLocation", checkpoint).outputMode("append"), once)
+
+
 def ingest_klines(
     spark: SparkSession,
     source: str,
@@ -55,5 +78,4 @@ def ingest_klines(
         .partitionBy("open_date")
         .outputMode("append")
     )
-    query = query.trigger(availableNow=True) if once else query.trigger(processingTime="1 minute")
-    return query.start()
+    return _started(query, once)
