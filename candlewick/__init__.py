@@ -11,6 +11,6 @@ The package is organised by role:
 * ``streaming`` – the same ingest and cleaning operators over a file stream
 """
 
-from candlewick.session import configure, cut_lineage
+from candlewick.session import cached, configure, cut_lineage, table_scope
 
-__all__ = ["configure", "cut_lineage"]
+__all__ = ["cached", "configure", "cut_lineage", "table_scope"]

@@ -251,7 +251,8 @@ def _all_steps(base: DataFrame, n: int, seed: int, symbols: Sequence[str] | None
 def injection_summary(df: DataFrame, seed: int = 42, symbols: Sequence[str] | None = SYMBOLS) -> DataFrame:
     """(metric, value) counts of every step, like the injector's printed
     summary: one pass over the flagged rows (rows dropped are those of the
-    input that are neither left nor copies)."""
+    input that are neither left nor copies). The nine counts are computed here
+    and the table behind them is deleted."""
     base = placed(df)
     n = base.count()
     flagged = _all_steps(base, n, seed, symbols, flags=True)
@@ -265,8 +266,9 @@ def injection_summary(df: DataFrame, seed: int = 42, symbols: Sequence[str] | No
         F.count_if("_pick_negative").alias("negative_volumes"),
         F.count(F.lit(1)).alias("final_rows"),
     ).withColumn("dropped_rows", F.col("original_rows") + F.col("duplicated_rows") - F.col("final_rows"))
-    rows = [F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value")) for c in one.columns]
-    return one.select(F.inline(F.array(*rows)))
+    counts = one.first()
+    drop_table(base)
+    return df.sparkSession.createDataFrame([(c, int(counts[c])) for c in one.columns], "metric string, value bigint")
 
 
 def seeded_order(df: DataFrame, seed: int = 42, uid: Column | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candlewick.functions.exact import exact_avg
 from candlewick.functions.exprs import row_hash
 from candlewick.functions.text import content_uid, iso_utc
 from candlewick.operators.analytics import ensure_candle_features
@@ -64,7 +65,7 @@ def sample_check_report(sample: DataFrame, n: int = 5) -> DataFrame:
     """(seq, metric, value) report over a sample (bounded: n rows per symbol).
 
     The sample is materialised once (it is small) because five report parts
-    read it."""
+    read it; inside a ``table_scope`` that table goes at the scope's end."""
     from candlewick.session import cut_lineage
 
     sample = cut_lineage(ensure_candle_features(sample))
@@ -86,7 +87,7 @@ def sample_check_report(sample: DataFrame, n: int = 5) -> DataFrame:
             )
         )
     )
-    by_symbol = sample.groupBy("symbol").agg(F.avg("close").alias("c"), F.avg("volume").alias("v"))
+    by_symbol = sample.groupBy("symbol").agg(exact_avg("close").alias("c"), exact_avg("volume").alias("v"))
     avg_close = by_symbol.select(
         (F.lit(100)).alias("seq"),
         F.concat(F.lit(AVG_CLOSE), F.col("symbol")).alias("metric"),
@@ -128,7 +129,7 @@ def sample_check_report(sample: DataFrame, n: int = 5) -> DataFrame:
 
 def top_symbol_by_avg_volume(df: DataFrame) -> DataFrame:
     """Arg-max of the per-symbol average volume (ties: smaller symbol)."""
-    avg = df.groupBy("symbol").agg(F.avg("volume").alias("avg_volume")).filter(F.col("avg_volume").isNotNull())
+    avg = df.groupBy("symbol").agg(exact_avg("volume").alias("avg_volume")).filter(F.col("avg_volume").isNotNull())
     return avg.agg(
         F.min_by("symbol", F.struct((-F.col("avg_volume")).alias("nv"), F.col("symbol"))).alias("symbol"),
         F.max("avg_volume").alias("avg_volume"),
@@ -159,8 +160,8 @@ def sample_against_full(sample: DataFrame, full: DataFrame) -> DataFrame:
     def averages(df: DataFrame, side: str) -> DataFrame:
         return df.where("symbol is not null").groupBy("symbol").agg(
             F.count(F.lit(1)).alias(f"{side}_rows"),
-            F.avg("close").alias(f"{side}_avg_close"),
-            F.avg("volume").alias(f"{side}_avg_volume"),
+            exact_avg("close").alias(f"{side}_avg_close"),
+            exact_avg("volume").alias(f"{side}_avg_volume"),
         )
 
     return averages(full, "full").join(averages(sample, "sample"), "symbol", "left")

@@ -17,6 +17,8 @@ from candlewick.plans import sql as S
 from candlewick.plans import sql_clean as X
 from candlewick.plans.registry import event_candles, query
 from candlewick.schema import CANDLE_COLUMNS, NUMERIC_COLUMNS
+from candlewick.session import checkpoint_dir, scratch_path
+from candlewick.sources.files import csv_rejects
 
 SEED = 42
 SAMPLE_SEED = 1
@@ -189,6 +191,31 @@ def q_inject_summary_repeated(spark, sf):
     return I.injection_summary(repeated_text(spark, sf), SEED, symbols=None)
 
 
+# Every fifth hour's row lacks its last field, the next hour's row has one too many.
+_SPOILED = "CAST(substr(open_time, 12, 2) AS INTEGER) % 5"
+
+
+@query(
+    "csv_reject_report",
+    S.with_ctes(
+        TEXT[:-1],
+        f"""SELECT CASE {_SPOILED} WHEN 0 THEN 'short' ELSE 'long' END AS kind,
+       CAST({len(CANDLE_COLUMNS)} + CASE {_SPOILED} WHEN 0 THEN -1 ELSE 1 END AS INTEGER) AS fields, count(*) AS n
+FROM m_text WHERE {_SPOILED} < 2 GROUP BY ALL""",
+    ),
+)
+def q_csv_rejects(spark, sf):
+    """The candles as CSV files with spoiled rows, read back for what is refused."""
+    spoiled = F.substring("open_time", 12, 2).cast("int") % 5
+    values = F.array_join(F.array(*[F.col(c) for c in CANDLE_COLUMNS[:-1]]), ",", "")
+    last = F.when(spoiled == 0, "").otherwise(F.concat(F.lit(","), F.col(CANDLE_COLUMNS[-1])))
+    line = F.concat(values, last, F.when(spoiled == 1, ",more").otherwise(""))
+    path = scratch_path(spark, checkpoint_dir(spark))
+    # one column whose name is the header line; the separator never occurs
+    event_text(spark, sf).select(line.alias(",".join(CANDLE_COLUMNS))).write.option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(path)
+    return csv_rejects(spark, path).groupBy("kind", "fields").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- coercion and profiling ------------------------------------------------
 
 

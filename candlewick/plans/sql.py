@@ -57,9 +57,9 @@ FROM (
          max(l_extendedprice) AS high,
          min(l_extendedprice) AS low,
          last(l_extendedprice ORDER BY l_orderkey, l_linenumber, l_extendedprice) AS close,
-         CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS volume,
-         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))
-                  * (1 - CAST(l_discount AS DECIMAL(18,2)))) AS DOUBLE) AS quote_volume,
+         CAST(sum(CAST(l_quantity AS DECIMAL(20,6))) AS DOUBLE) AS volume,
+         CAST(sum(CAST(l_extendedprice AS DECIMAL(20,6))
+                  * CAST(1 - CAST(l_discount AS DECIMAL(12,8)) AS DECIMAL(12,8))) AS DOUBLE) AS quote_volume,
          count(*) AS trade_count
   FROM lineitem
   GROUP BY 1, 2

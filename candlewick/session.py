@@ -5,7 +5,11 @@ from __future__ import annotations
 import os
 import uuid
 import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _TZ = "spark.sql.session.timeZone"
@@ -93,8 +97,9 @@ def cut_lineage(df: DataFrame, *, without_folder: str = "warn") -> DataFrame:
     re-reads files instead of re-running the lineage. One write job, unlike
     ``Dataset.checkpoint``, which computes an unpersisted plan twice. Without a
     configured folder the plan is recomputed by every pass: ``without_folder``
-    says whether to "warn", "fail" or "ignore". Tables are deleted when the
-    application ends, or earlier by ``drop_table``.
+    says whether to "warn", "fail" or "ignore". Tables are deleted at the end
+    of the ``table_scope`` they are written in, by ``drop_table``, or when the
+    application ends.
     """
     spark = df.sparkSession
     root = checkpoint_dir(spark)
@@ -104,23 +109,75 @@ def cut_lineage(df: DataFrame, *, without_folder: str = "warn") -> DataFrame:
         if without_folder == "warn":
             warnings.warn(f"{_CHECKPOINT} is not set: multi-pass stages recompute their input", stacklevel=2)
         return df
-    path = f"{root.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    path = scratch_path(spark, root)
     df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    _TABLES[id(out)] = (out, path)
+    out._table_path = path
     return out
 
 
-#: Tables that ``cut_lineage`` wrote, by the DataFrame that scans them.
-_TABLES: dict[int, tuple[DataFrame, str]] = {}
+def scratch_path(spark: SparkSession, root: str) -> str:
+    """A new path below the shared folder ``root``. What is written there is
+    deleted at the end of the open ``table_scope``, else with the application."""
+    path = f"{root.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    fs, place = _place(spark, path)
+    fs.deleteOnExit(place)  # as the path is made, so that a failed write leaves nothing either
+    scopes = _SCOPES.get()
+    if scopes:
+        scopes[-1].append(path)
+    return path
+
+
+#: Paths of the tables written in the open scopes, innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("table_scopes", default=())
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, place = _place(spark, path)
+    fs.delete(place, True)
+    fs.cancelDeleteOnExit(place)
 
 
 def drop_table(df: DataFrame) -> None:
     """Delete the table behind a ``cut_lineage`` result that nothing reads any more."""
-    _, path = _TABLES.pop(id(df), (None, None))
+    path = getattr(df, "_table_path", None)
     if path:
-        spark = df.sparkSession
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _delete(df.sparkSession, path)
+        df._table_path = None
+
+
+@contextmanager
+def table_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that operators write for themselves inside the ``with`` block are
+    deleted at its end, whatever happens. Results that read them (DataFrames
+    are lazy) have to be written or collected inside. Scopes may be nested;
+    a table belongs to the innermost one."""
+    paths: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), paths))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(token)
+        for path in paths:
+            _delete(spark, path)
+
+
+@contextmanager
+def cached(df: DataFrame, level: str = "MEMORY_AND_DISK") -> Iterator[DataFrame]:
+    """``df`` persisted at the storage level of that name ("DISK_ONLY",
+    "MEMORY_AND_DISK_2", ...) inside the ``with`` block, and given back at its
+    end. For what fits the executors; a lost executor's part is computed again
+    from its lineage. Larger intermediate results go to ``cut_lineage``."""
+    kind = getattr(StorageLevel, level, None)
+    if not isinstance(kind, StorageLevel):
+        raise ValueError(f"unknown storage level {level!r}")
+    held = df.persist(kind)
+    try:
+        yield held
+    finally:
+        held.unpersist()

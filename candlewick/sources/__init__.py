@@ -2,6 +2,8 @@
 
 from candlewick.sources.adapters import candles_from_events, candles_from_lineitem
 from candlewick.sources.files import (
+    csv_reject_counts,
+    csv_rejects,
     read_candles_csv,
     read_candles_parquet,
     read_cleaned_csv,
@@ -17,6 +19,8 @@ __all__ = [
     "candles_from_events",
     "candles_from_lineitem",
     "candles_to_kline_json",
+    "csv_reject_counts",
+    "csv_rejects",
     "decode_klines",
     "read_candles_csv",
     "read_candles_parquet",

@@ -92,7 +92,8 @@ def candles_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """One daily candle per (returnflag || linestatus, ship date) of ``lineitem``.
 
     Prices are ``l_extendedprice``, volume is ``l_quantity``, quote volume is
-    ``l_extendedprice * (1 - l_discount)``. First/last order by (orderkey,
+    ``l_extendedprice * (1 - l_discount)``, summed as decimals with six digits
+    of prices and quantities and eight of discounts. First/last order by (orderkey,
     linenumber, price); the price breaks ties because (orderkey, linenumber)
     is not unique in the generated data. The key is one decimal(38,0): 19
     digits of orderkey (any long), 3 of linenumber, 16 of the price in cents.
@@ -112,10 +113,10 @@ def candles_from_lineitem(lineitem: DataFrame) -> DataFrame:
             F.concat("l_returnflag", "l_linestatus", F.lit("USDT")).alias("symbol"),
             _day(F.col("l_shipdate")).alias("open_time"),
             F.col("l_extendedprice").alias("price"),
-            F.col("l_quantity").cast("decimal(18,2)").alias("qty"),
+            F.col("l_quantity").cast("decimal(20,6)").alias("qty"),
             (
-                F.col("l_extendedprice").cast("decimal(18,2)")
-                * (F.lit(1) - F.col("l_discount").cast("decimal(18,2)"))
+                F.col("l_extendedprice").cast("decimal(20,6)")
+                * (F.lit(1) - F.col("l_discount").cast("decimal(12,8)")).cast("decimal(12,8)")
             ).alias("quote"),
             order.alias("ord"),
         )
