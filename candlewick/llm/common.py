@@ -7,7 +7,9 @@ import contextlib
 import gc
 import tempfile
 import uuid
+import warnings
 import zlib
+from contextvars import ContextVar
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +24,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one is set
-    only where the session names none (tests, a laptop)."""
+    """The shared folder of ``spark.checkpoint.dir``. Where the session names
+    none, a temporary one is set on a single machine, with a warning; on a
+    cluster that is an error."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -31,7 +34,10 @@ def scratch_root(spark: SparkSession) -> str:
         if current.isDefined():
             root = current.get()
         else:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("spark.checkpoint.dir is not set: executors need a shared folder")
             root = tempfile.mkdtemp(prefix="candlewick-llm-", dir="/tmp")
+            warnings.warn(f"spark.checkpoint.dir is not set: scratch tables go to {root}", stacklevel=2)
             sc.setCheckpointDir(root)
     return root.rstrip("/")
 
@@ -40,8 +46,24 @@ def scratch_root(spark: SparkSession) -> str:
 FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows of a chunk (see ``Scratch.chunked``).
 CHUNK = 4096
-#: Scratch folders of this application, oldest first.
-OPEN: list["Scratch"] = []
+#: Scratch folders made in the open scopes, innermost last.
+_SCOPES: ContextVar[tuple[list["Scratch"], ...]] = ContextVar("scratch_scopes", default=())
+
+
+@contextlib.contextmanager
+def scratch_scope():
+    """Scratch folders that operators make inside the ``with`` block are
+    deleted at its end. Results are lazy and read them, so they have to be
+    written inside. Without a scope a folder stays until the application ends:
+    nothing that a result may still read is ever deleted by another call."""
+    made: list[Scratch] = []
+    token = _SCOPES.set((*_SCOPES.get(), made))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(token)
+        for scratch in made:
+            scratch.close()
 
 
 class Scratch:
@@ -51,7 +73,8 @@ class Scratch:
     answered by re-reading files. ``release`` lets Spark delete the shuffle
     files of plans that are no longer referenced; ``table`` does so first.
     ``drop`` deletes a table as soon as nothing reads it; what the returned
-    result still reads goes when the application ends."""
+    result still reads goes at the end of the open ``scratch_scope`` or else
+    of the application."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -62,9 +85,9 @@ class Scratch:
         self._fs = self._path(self.root).getFileSystem(conf)
         self._fs.deleteOnExit(self._path(self.root))
         self._n = 0
-        self._names: list[str] = []
-        OPEN.append(self)
-        self._where: dict[int, str] = {}
+        scopes = _SCOPES.get()
+        if scopes:
+            scopes[-1].append(self)
 
     def table(self, df: DataFrame, codec: str = "zstd") -> DataFrame:
         self.release()
@@ -73,7 +96,7 @@ class Scratch:
         with self._shuffles_dropped():
             df.write.option("compression", codec).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._where[id(out)] = path
+        out._scratch_path = path
         return out
 
     @contextlib.contextmanager
@@ -102,24 +125,27 @@ class Scratch:
         row = F.monotonically_increasing_id()
         rows = df.withColumn("_row", row).withColumns({"_chunk": F.floor(F.col("_row") / CHUNK), "_bit": (F.col("_row") % CHUNK).cast("int")}).drop("_row")
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        with self._shuffles_dropped():
-            rows.write.option("compression", codec).option("path", path).format("parquet").bucketBy(buckets, "_chunk").saveAsTable(name)
-        out = self.spark.table(name)
-        self._where[id(out)] = path
-        self._names.append(name)
+        try:  # only the catalog knows buckets: the name goes once the scan is resolved, the files stay
+            with self._shuffles_dropped():
+                rows.write.option("compression", codec).option("path", path).format("parquet").bucketBy(buckets, "_chunk").saveAsTable(name)
+            out = self.spark.table(name)
+            out.schema  # resolves it
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        out._scratch_path = path
         return out
 
     def drop(self, df: DataFrame) -> None:
-        path = self._where.pop(id(df), None)
-        if path:
+        path = getattr(df, "_scratch_path", None)
+        if path and path.startswith(f"{self.root}/"):
             self._fs.delete(self._path(path), True)
+            df._scratch_path = None
 
     def close(self) -> None:
         """Delete all that is left, once nothing reads it any more."""
-        for name in self._names:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self._fs.delete(self._path(self.root), True)
-        self._names = []
+        place = self._path(self.root)
+        self._fs.delete(place, True)
+        self._fs.cancelDeleteOnExit(place)
         self.release()
 
 

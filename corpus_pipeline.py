@@ -4,17 +4,18 @@ substring dedup, personal data, packing.
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; every stage
 but the last returns the columns of ``docs``. ``run`` writes each stage's rows
 as Parquet to the shared checkpoint folder and reads them again for the next,
-so a lost executor costs at most a stage's own work. Nulls, empty texts, ties
+so a lost executor costs at most a stage's own work, and deletes a stage's
+scratch tables when its rows are written. A stage called on its own leaves its
+tables until the application ends, or until the end of the ``scratch_scope``
+that its caller opened. Nulls, empty texts, ties
 and repeated rows are treated as the operators' docstrings say; an empty
 table passes through every stage as an empty table."""
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm.common import OPEN, Scratch, read_table
+from candlewick.llm.common import Scratch, read_table, scratch_scope
 from candlewick.llm.packing import pack
 from candlewick.llm.pii import redact
 from candlewick.llm.quality import quality_scores
@@ -49,34 +50,12 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), window=1024)
 
 
-def after_its_predecessor(stage):
-    """``stage``, deleting the scratch tables of the stages before it first:
-    their results are written when a stage starts. Where ``docs`` still reads
-    such a table (stages chained without writing), all are left."""
-
-    @functools.wraps(stage)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        if _made and not any(s.root.rpartition("/")[2] in f for f in docs.inputFiles() for s in _made):
-            for scratch in _made:
-                scratch.close()
-            _made.clear()
-        before = len(OPEN)
-        out = stage(spark, docs, sf_dir)
-        _made.extend(OPEN[before:])
-        return out
-
-    return run_stage
-
-
-#: Scratch folders of stages whose results may not be written yet.
-_made: list[Scratch] = []
-
 STAGES = [
-    ("quality", after_its_predecessor(good_quality)),
-    ("near_dedup", after_its_predecessor(near_dedup)),
-    ("substring_dedup", after_its_predecessor(substring_dedup)),
-    ("personal_data", after_its_predecessor(personal_data)),
-    ("packing", after_its_predecessor(packing)),
+    ("quality", good_quality),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("personal_data", personal_data),
+    ("packing", packing),
 ]
 
 #: SQL has no trained classifier and no byte-pair encoding; tests hold the
@@ -90,6 +69,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         done = docs
-        docs = scratch.table(stage(spark, docs, sf_dir))
+        with scratch_scope():  # what a stage leaves behind goes when its result is written
+            docs = scratch.table(stage(spark, docs, sf_dir))
         scratch.drop(done)
     return docs

@@ -124,3 +124,45 @@ def test_empty_documents(spark, tmp_dir):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_dir}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
     assert corpus_pipeline.run(spark, tmp_dir).count() == 0
+
+
+def other_corpus(spark, n):
+    rows = [(i, f"text number {i} of another corpus with some words {i * i}", "en", "s", 1) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES[1:]])
+def test_a_result_outlives_other_calls(spark, sf_dir, stage):
+    """Lazy results of one call are read after other calls of the same stage and of ``run``."""
+    work = dict(corpus_pipeline.STAGES)[stage]
+    first = work(spark, other_corpus(spark, 30), sf_dir)
+    second = work(spark, other_corpus(spark, 40), sf_dir)
+    assert second.select("doc_id").distinct().count() == 40
+    assert first.select("doc_id").distinct().count() == 30
+
+
+def test_run_leaves_only_its_result(spark, sf_dir, tmp_dir, monkeypatch):
+    import os
+
+    from candlewick.llm import common
+
+    root = os.path.join(tmp_dir, "scratch")
+    monkeypatch.setattr(common, "scratch_root", lambda s: root)
+    tables = {t.name for t in spark.catalog.listTables()}
+    rows = corpus_pipeline.run(spark, sf_dir)
+    assert rows.count()
+    left = [d for d in os.listdir(root) if os.listdir(os.path.join(root, d))]
+    assert len(left) == 1 and len(os.listdir(os.path.join(root, left[0]))) == 1
+    assert {t.name for t in spark.catalog.listTables()} == tables
+
+
+def test_a_scope_ends_even_after_a_failure(spark):
+    from candlewick.llm.common import Scratch, scratch_scope
+
+    with pytest.raises(RuntimeError):
+        with scratch_scope():
+            scratch = Scratch(spark)
+            kept = scratch.chunked(spark.range(100).toDF("x"))
+            assert kept.count() == 100
+            raise RuntimeError
+    assert not scratch._fs.exists(scratch._path(scratch.root))
