@@ -97,16 +97,23 @@ class Irregular(Exception):
     """A space next to other white space: the text needs the full pattern."""
 
 
+#: Longer pieces are computed again each time.
+MEMO_CHARS = 64
+
+
 class Memo(dict):
     """piece -> value, computed once. At ``limit`` entries the held ones become
-    the old generation and the former old one goes, so memory stays bounded
-    whatever the vocabulary of the corpus."""
+    the old generation and the former old one goes; keys of more than
+    ``MEMO_CHARS`` characters (texts without spaces) are never held. So memory
+    stays bounded in bytes, too, whatever the corpus is made of."""
 
     def __init__(self, make, limit: int):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
+        if len(key) > MEMO_CHARS:
+            return self.make(key)
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()

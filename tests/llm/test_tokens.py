@@ -51,3 +51,18 @@ def test_empty_table(frame, vocab_path):
     empty = frame(SCHEMA, [])
     assert token_counts(empty, vocab_path).count() == 0
     assert bpe_round_trip(empty, vocab_path).count() == 0
+
+
+def test_memos_hold_no_long_pieces(vocab_path):
+    """Texts without spaces: nothing of them stays, results are the library's."""
+    from candlewick.llm.bpe import Codec
+
+    codec, lib = Codec(vocab_path), Tokenizer.from_file(vocab_path)
+    splitter = codec.encode.__self__
+    rnd = random.Random(8)
+    for _ in range(200):
+        text = "".join(rnd.choice("abcdefgh") for _ in range(rnd.choice([60, 64, 65, 3000])))
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
+        codec.encode("x " + text)
+    held = [k for memo in (splitter.piece, splitter.chunk) for k in (*memo, *memo.old)]
+    assert held and max(map(len, held)) <= 65  # a piece may start with a space
