@@ -28,8 +28,11 @@ def integers(vectors: np.ndarray, scale: float) -> np.ndarray:
 
 
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact integer products: float64 where every sum stays below 2^53."""
-    top = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1]
+    """Exact integer products: float64 where every sum stays below 2^53, 64-bit
+    integers below 2^63; beyond, an error rather than a score that wraps."""
+    top = np.abs(q.astype(np.float64)).max(initial=0) * np.abs(c.astype(np.float64)).max(initial=0) * q.shape[1]
+    if top >= 2.0**63:
+        raise OverflowError("inner products of these vectors may not fit a long: use a smaller scale")
     if top < 2**53:
         return (q.astype(np.float64) @ c.T.astype(np.float64)).astype(np.int64)
     return q @ c.T
@@ -101,12 +104,15 @@ def top_inner_products(vectors: DataFrame, k: int = 5, every: int = 50, scale: f
 
     Rows whose vector is null or holds null or non-finite components take no
     part; empty vectors neither; repeated rows are rows of their own, so a
-    repeated query id returns one list per row. Other columns are ignored."""
+    repeated query id returns one list per row. Other columns are ignored.
+    Finite components so large that a scaled one, or a product by the bound
+    max|q| max|c| d, leaves the range of a long end the query with an error."""
     spark = vectors.sparkSession
     scratch = Scratch(spark)
     x = F.col(vector_col).cast("array<double>")
     fine = x.isNotNull() & (F.size(x) > 0) & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    ints = F.transform(x, lambda v: F.floor(F.lit(scale) * v).cast("long"))
+    beyond = F.raise_error(F.lit("a scaled component does not fit a long: use a smaller scale")).cast("long")
+    ints = F.transform(x, lambda v: F.when(F.abs(F.lit(scale) * v) < F.lit(2.0**63), F.floor(F.lit(scale) * v).cast("long")).otherwise(beyond))
     rows = vectors.where(F.coalesce(fine, F.lit(False))).select(F.col(id_col).cast("long").alias("vec"), ints.alias("ints"))
     length = F.aggregate("ints", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
     rows = scratch.table(rows.withColumn("row", F.monotonically_increasing_id()).withColumn("dim", F.size("ints")).withColumn("length", length))

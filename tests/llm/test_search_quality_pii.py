@@ -211,3 +211,14 @@ def test_redaction(frame):
             to = max(to, int(b))
         assert got[i] == [t if t is None else want + t[to:]]
     assert redact(df.limit(0)).count() == 0 and find_personal_data(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("big", [1e38, 1e9])
+def test_scores_beyond_a_long_are_an_error(frame, big):
+    from candlewick.llm.topk import top_inner_products
+
+    rows = [(i, [big, big / 10]) for i in range(0, 150, 50)]
+    with pytest.raises(Exception, match="use a smaller scale"):
+        top_inner_products(frame("vec_id long, embedding array<double>", rows), k=2, every=50).collect()
+    small = top_inner_products(frame("vec_id long, embedding array<double>", rows), k=2, every=50, scale=1e-30 if big > 1e9 else 1e-3)
+    assert small.count() == 6
