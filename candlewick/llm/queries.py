@@ -119,4 +119,5 @@ ORACLES = {
     "op1_embedding_near_dedup": oracles.EMBEDDING_NEAR_DEDUP,
     "op5_top_inner_products": oracles.TOP_INNER_PRODUCTS,
     "op6_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op11_merkle_manifest": oracles.MERKLE_MANIFEST,
 }
