@@ -304,7 +304,8 @@ def interpretation(df: DataFrame) -> DataFrame:
     )
 
 
-#: The statements of the SQL surface, over the view that ``register_market_data`` makes.
+# The statements of the SQL surface (names and columns are its
+# contract), over the view that ``register_market_data`` makes.
 MARKET_DATA_SQL = {
     "preview": "SELECT * FROM market_data LIMIT 10",
     "avg_close": "SELECT symbol, avg(close) AS avg_close_price FROM market_data GROUP BY symbol ORDER BY symbol",

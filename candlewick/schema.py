@@ -49,18 +49,8 @@ NUMERIC_COLUMNS = (
     "taker_buy_base_volume",
     "taker_buy_quote_volume",
 )
-# Numeric columns known to the defect injector (taker columns only when present).
-INJECT_NUMERIC_COLUMNS = (
-    "open",
-    "high",
-    "low",
-    "close",
-    "volume",
-    "quote_volume",
-    "trade_count",
-    "taker_buy_base_volume",
-    "taker_buy_quote_volume",
-)
+# The defect injector knows the same numeric columns.
+INJECT_NUMERIC_COLUMNS = NUMERIC_COLUMNS
 TIME_COLUMNS = ("open_time", "close_time")
 VOLUME_COLUMNS = ("volume", "quote_volume", "taker_buy_base_volume", "taker_buy_quote_volume")
 # Replacement words used by the defect injector.

@@ -203,16 +203,18 @@ def write_csv(
     write(out, path) if expected is None else _checked(out, path, expected, mode, write)
 
 
-def write_single_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> str:
+def write_single_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, order_by: Sequence[str] = ()) -> str:
     """One CSV file at ``path`` (overwritten). Only for summary-sized results.
 
-    ``repartition(1)`` keeps the work before it parallel; one task writes the
-    part into ``path + '.parts'``. The Hadoop file system renames it, so it
+    ``repartition(1)`` keeps the work before it parallel; one task sorts the
+    rows by ``order_by`` (an order from before is lost in the exchange) and
+    writes the part into ``path + '.parts'``. The Hadoop file system renames it, so it
     works on any cluster file system; an old file is set aside first and comes
     back if the rename fails.
     """
     base = path.rstrip("/")
-    write_csv(df.repartition(1), f"{base}.parts", columns)
+    one = df.repartition(1)
+    write_csv(one.sortWithinPartitions(*order_by) if order_by else one, f"{base}.parts", columns)
     fs, (tmp_path, dest, old) = _file_system(df.sparkSession, f"{base}.parts", path, f"{base}.old")
     parts = [s.getPath() for s in fs.listStatus(tmp_path) if s.getPath().getName().startswith("part-")]
     if len(parts) != 1:
