@@ -159,6 +159,7 @@ def nearest_neighbours(vectors: DataFrame, k: int = 10, every: int = 100, pivots
         keys = [pa.array([d], pa.int32()), table.column("block").slice(0, 1).combine_chunks()]
         return pa.table(dict(zip(("dim", "block", "vec", "node", "first", "member", "place", "start"), keys + values)))
 
+    placed = placed.repartition(shards_for(spark, 0, 1), "dim", "block")  # a block is work for a task, however small it is
     index = scratch.table(placed.groupBy("dim", "block").applyInArrow(posted, f"dim int, block long, {INDEX}"))
 
     # a task reads an index block, then streams the queries through it
