@@ -18,8 +18,12 @@ KEY_QUERIES = [
     ("market_summary_joined", "the reference's five aggregates and four joins, for comparison"),
     ("clean_candles_1m", "dirty table (materialised) -> coerce -> one dedup exchange -> filter -> features"),
     ("stratified_sample_5_1m", "partial WindowGroupLimit before the exchange"),
-    ("trailing_60s_count", "details shuffled once by (key, one-second bucket), no join"),
-    ("inject_missing", "exact pick: threshold as a scalar subquery, outer plan is a projection"),
+    ("trailing_60s_count", "rows shuffled once, no join (one range at this size: a range frame by key)"),
+    ("quality_report_1m", "counts of the raw rows ride on the de-duplicating aggregate: one scan, one shuffle of rows"),
+    ("dedup_by_candle_key_1m", "WindowGroupLimit below the only exchange"),
+    ("kline_decode", "one parse of a payload"),
+    ("duplicate_mask", "first places by a hash aggregate, joined to the rows"),
+    ("inject_missing", "exact pick: the cut is a literal, the plan is a projection"),
 ]
 
 
