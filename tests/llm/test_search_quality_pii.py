@@ -7,9 +7,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from candlewick.llm.common import Words, mix
 from candlewick.llm.pii import find_personal_data, redact
-from candlewick.llm.quality import quality_scores
+from candlewick.llm.quality import Model, bag, features, quality_scores
 from candlewick.llm.topk import top_inner_products
 
 
@@ -77,6 +80,76 @@ def test_quality_on_held_out_rows(frame):
     assert Counter(r["doc_id"] for r in kept.collect()) == want
 
 
+def test_features_are_words_pairs_and_character_ngrams():
+    def hashed(words):
+        return (Words([w.encode() for w in words], lower=False).hashes >> np.uint64(47)).tolist()
+
+    def pair(a, b):
+        h = Words([f"{a} {b}".encode()], lower=False).hashes
+        return int(mix(h[:1], h[1:])[0] >> np.uint64(47))
+
+    texts = ["", "a b b c", "", "c", "c a", "  ", ""]
+    parts = list(features(texts, 17))
+    for n, text in enumerate(texts):
+        words = text.split()
+        got = [ids[bounds[n] : bounds[n + 1]].tolist() for ids, bounds in parts]
+        assert got[0] == hashed(words)
+        assert got[1] == [pair(a, b) for a, b in zip(words, words[1:])]
+        assert got[2] == [0] * sum(a == b for a, b in zip(words, words[1:]))
+        assert [len(g) for g in got[3:]] == [max(0, len(text) - k + 1) for k in (2, 3, 4)]
+        ids, counts = bag(text, 17)
+        assert Counter(dict(zip(ids.tolist(), counts.tolist()))) == Counter(i for g in got for i in g)
+
+
+def brute_quality(rows, marks, bits=17, epochs=3):
+    """Scores by one plain loop over all texts, without Spark's plan: the same
+    training rows in the same orders, features added one at a time."""
+    labels = {}
+    for i, q, _ in marks:
+        if i is not None and q in (0, 1):
+            labels[i] = min(q, labels.get(i, 1))
+    texts = {}
+    for i, t, _ in rows:
+        if i in labels and zlib.crc32(str(i).encode()) % 4 != 2:
+            texts[i] = min(t or "", texts.get(i, t or ""))
+    n = Counter(labels[i] for i in texts)
+    spark = SparkSession.getActiveSession()
+    orders = spark.createDataFrame([(i, e) for i in texts for e in range(epochs)], "i long, e int").withColumn("h", F.xxhash64("i"))
+    orders = orders.select("i", "e", "h", F.xxhash64("h", "e").alias("o")).collect()
+    model = Model(bits, tuple(sum(n.values()) / (2.0 * n[c]) for c in (0, 1)))
+    bags = {i: bag(t, bits) for i, t in texts.items()}
+    for r in sorted(orders, key=lambda r: (r["e"], r["o"], r["h"])):
+        model.learn(*bags[r["i"]], labels[r["i"]])
+    weights, prior = model.numbers()
+    out = []
+    for i, t, _ in rows:
+        ids, counts = bag(t or "", bits)
+        z = prior + sum(float(weights[k]) * c for k, c in zip(ids.tolist(), counts.tolist())) / max(1, counts.sum())
+        out.append((i, 1 / (1 + math.exp(-z))))
+    return out
+
+
+def test_quality_scores_equal_a_plain_loop(frame):
+    rows, marks = quality_rows()
+    got = quality_scores(frame("doc_id long, text string, score string", rows, 5), frame("doc_id long, quality int, toxic int", marks)).collect()
+    key = lambda r: (str(r[0]), r[1])
+    for g, w in zip(sorted(((r["doc_id"], r["score"]) for r in got), key=key), sorted(brute_quality(rows, marks), key=key), strict=True):
+        assert g[0] == w[0] and abs(g[1] - w[1]) < 1e-6
+
+
+def test_training_on_long_texts_sends_the_driver_numbers_only(spark, frame):
+    rnd = random.Random(7)
+    rows = [(i, " ".join(f"{rnd.choice('xyz')}{rnd.randrange(10**6)}" for _ in range(8000)) if i % 2 else "noise " * 12000, "") for i in range(200)]
+    marks = [(i, i % 2, 0) for i in range(200)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(1 << 20))  # many batches
+    try:
+        got = quality_scores(frame("doc_id long, text string, score string", rows), frame("doc_id long, quality int, toxic int", marks), bits=14).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+    assert len(got) == 200 and all(r["predicted"] == r["doc_id"] % 2 for r in got)
+
+
 def test_quality_without_labels_or_rows(frame):
     rows, marks = quality_rows()
     docs, labels = frame("doc_id long, text string, score string", rows[:20]), frame("doc_id long, quality int, toxic int", [])
