@@ -5,8 +5,9 @@ their smoothed log-probability, and every state has a failure arc to its
 suffix. With Dirichlet smoothing, p(w|h) = (c(hw) + k p(w|h')) / (c(h) + k),
 the weight of a failure arc is log k / (c(h) + k); the root is the add-one
 unigram model, which keeps mass for unknown words. A text is read once from
-left to right: at each token the automaton takes an arc from the longest
-state it is in, or fails to shorter ones and adds their weights.
+left to right, carrying the state: at each token the automaton takes the arc
+of the state it is in, or fails to shorter ones, adding their weights, until
+one has an arc. Many texts are read side by side, a token of each at a time.
 
 The model never sits in one place. Each block of documents counts its own
 n-grams and sends them, sorted by hash, to the shards of the hash range; a
@@ -104,35 +105,107 @@ def unsqueezed(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u8").reshape(-1)
 
 
-class Automaton:
-    """The part of the backoff automaton that a block's tokens can walk."""
+#: Tokens that one reading head of the automaton takes at most.
+LANE = 512
+
 
-    def __init__(self, counts: list[np.ndarray], contexts: list[np.ndarray], tokens: int, types: int, strengths: tuple[float, ...]):
-        """counts[k-1]: training count of the k-gram ending at each token;
-        contexts[k-2]: training count of its first k-1 tokens as a context;
-        strengths[k-2]: smoothing of order k."""
+class Automaton:
+    """The part of the backoff automaton that a block's tokens can walk: states
+    (0 is the root, 1 the start of a text, then the seen contexts), arcs sorted
+    by (state, token), and a failure arc from each state to that of its suffix."""
+
+    def __init__(self, first: np.ndarray, grams: list[np.ndarray], counts: list[np.ndarray], texts: int, tokens: int, types: int, strengths: tuple[float, ...]):
+        """first: token range of each text; grams[k-1], counts[k-1]: hash and
+        training count of the k-gram ending at each token; ``texts``, ``tokens``
+        and ``types`` of training; strengths[k-2]: smoothing of order k."""
+        self.first = first
+        _, one, self.token = np.unique(grams[0], return_index=True, return_inverse=True)
         p = (counts[0] + 1.0) / (tokens + types + 1.0)
         self.base = np.log10(p)
-        self.arcs, self.failures, self.states = [], [], []
-        for c, h, strength in zip(counts[1:], contexts, strengths):
-            p = np.where(h > 0, (c + strength * p) / (h + strength), p)
-            self.states.append(h > 0)
-            self.arcs.append(np.where(c > 0, np.log10(p), np.nan))
-            self.failures.append(np.log10(strength / (h + strength)))
-
-    def walk(self) -> np.ndarray:
-        """log10 probability of each token: from the longest state down, take
-        the arc if there is one, else add the failure weight and go on."""
-        total = np.zeros(len(self.base))
-        open_ = np.ones(len(total), dtype=bool)
-        for states, arcs, failures in zip(self.states[::-1], self.arcs[::-1], self.failures[::-1]):
-            taken = open_ & states & ~np.isnan(arcs)
-            total[taken] += arcs[taken]
-            open_ &= ~taken
-            failed = open_ & states
-            total[failed] += failures[failed]
-        total[open_] += self.base[open_]
-        return total
+        opening = np.zeros(len(p), dtype=bool)
+        opening[first[:-1]] = True
+        longest = len(strengths)  # words of the longest context
+        self.order = longest + 1
+        # the start is a state of its own; as a context of one word it fails to the root
+        self.fail_to, self.fail_weight = [np.zeros(2, np.int64)], [np.array([0.0, np.log10(strengths[0] / (texts + strengths[0])) if longest and texts else 0.0])]
+        # state of the context of each length that ends at each token (0: none longer than the root)
+        ending, made = [np.zeros(len(p), np.int64)], 2
+        for j in range(1, longest + 1):
+            seen = np.flatnonzero(counts[j - 1] > 0)
+            _, at, index = np.unique(grams[j - 1][seen], return_index=True, return_inverse=True)
+            state = ending[-1].copy()  # where this length is not seen, the next shorter
+            state[seen] = made + index
+            self.fail_to.append(ending[-1][seen[at]])
+            h = counts[j - 1][seen[at]].astype(np.float64)
+            k = strengths[j - 1]
+            self.fail_weight.append(np.log10(k / (h + k)))
+            ending.append(state)
+            made += len(at)
+        keys, weights, targets = [], [], []
+        for k in range(2, self.order + 1):
+            context = np.zeros(len(p), np.int64)  # state of the k-1 tokens before
+            context[1:] = ending[k - 1][:-1]
+            h = np.zeros(len(p), np.int64)
+            h[1:] = counts[k - 2][:-1]
+            context[opening], h[opening] = (1, texts) if k == 2 else (0, 0)
+            p = np.where(h > 0, (counts[k - 1] + strengths[k - 2] * p) / (h + strengths[k - 2]), p)
+            taken = np.flatnonzero((counts[k - 1] > 0) & (h > 0))
+            key, at = np.unique(context[taken] << 32 | self.token[taken], return_index=True)
+            keys.append(key)
+            weights.append(np.log10(p[taken[at]]))
+            targets.append(ending[min(k, longest)][taken[at]])
+        self.fail_to, self.fail_weight = np.concatenate(self.fail_to), np.concatenate(self.fail_weight)
+        # the root has an arc for every token, known or not
+        self.root_weight, self.root_to = self.base[one], ending[min(1, longest)][one]
+        keys = np.concatenate([*keys, [np.int64(1) << 62]])
+        order = np.argsort(keys, kind="stable")
+        self.keys = keys[order]
+        self.weights, self.targets = np.concatenate([*weights, [0.0]])[order], np.concatenate([*targets, [0]]).astype(np.int64)[order]
+
+    def step(self, state: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Reads one token in each of many states: the new states and the
+        weights of the arcs taken, failures included."""
+        weight, to = np.zeros(len(state)), np.empty_like(state)
+        who = np.arange(len(state))
+        state = state.copy()
+        while len(who):
+            at_root = state == 0
+            done = who[at_root]
+            weight[done] += self.root_weight[token[done]]
+            to[done] = self.root_to[token[done]]
+            who, state = who[~at_root], state[~at_root]
+            key = state << 32 | token[who]
+            arc = np.searchsorted(self.keys, key)
+            hit = self.keys[arc] == key
+            weight[who[hit]] += self.weights[arc[hit]]
+            to[who[hit]] = self.targets[arc[hit]]
+            who, state = who[~hit], state[~hit]
+            weight[who] += self.fail_weight[state]
+            state = self.fail_to[state]
+        return to, weight
+
+    def walk(self, lane: int = LANE) -> np.ndarray:
+        """log10 probability of each text. A text of more than ``lane`` tokens
+        is read by several heads, each of which starts ``order - 1`` tokens
+        early at the root: after them it is in the state of a head that comes
+        from the start, as a state is the longest seen suffix of that many."""
+        size = np.diff(self.first)
+        heads = -(-size // lane)
+        text = np.repeat(np.arange(len(size)), heads)
+        part = np.arange(len(text)) - np.repeat(np.cumsum(heads) - heads, heads)
+        start = self.first[text] + part * lane
+        end = np.minimum(start + lane, self.first[text + 1])
+        at = np.maximum(start - (self.order - 1), self.first[text])
+        by_length = np.argsort(at - end, kind="stable")  # longest first: those still reading are a prefix
+        text, start, end, at = text[by_length], start[by_length], end[by_length], at[by_length]
+        state = np.where(at == self.first[text], min(1, self.order - 1), 0)
+        sums, length = np.zeros(len(text)), end - at
+        for t in range(int(length[0]) if len(length) else 0):
+            n = int(np.searchsorted(-length, -t, side="left"))  # heads with more than t tokens
+            place = at[:n] + t
+            state, weight = self.step(state[:n], self.token[place])
+            sums[:n] += np.where(place >= start[:n], weight, 0.0)
+        return np.bincount(text, weights=sums, minlength=len(size))
 
 
 def lm_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int = 3, strength: float | tuple[float, ...] = STRENGTHS, block_bytes: int = 4 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -145,7 +218,7 @@ def lm_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int =
     split; repeated rows are counted and scored each; other columns are
     ignored; an empty table gives no rows. Tokens and n-grams are told apart
     by 64-bit hashes. Nothing is capped or pruned; the driver receives four
-    numbers. ``block_bytes`` of text is what one Python worker holds."""
+    numbers. A Python worker holds ``block_bytes`` of texts, or one longer text."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
     strengths = tuple(strength) if isinstance(strength, (tuple, list)) else (strength,) * (order - 1)
@@ -221,18 +294,12 @@ def lm_scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int =
                     totals = [unsqueezed(t.as_py()) for n, t in zip(turns_in, totals_in.values) if n == turn]
                     totals = np.concatenate([np.zeros(0, dtype=np.uint64), *totals]).astype(np.int64)
                     counts += Grams(grams, trained, orders).per_place(totals)
-                contexts = []
-                for k in range(2, order + 1):
-                    context = np.zeros(len(counts[0]), dtype=np.int64)
-                    context[1:] = counts[k - 2][:-1]
-                    context[first[:-1]] = train_docs if k == 2 else 0
-                    contexts.append(context)
-                automaton = Automaton(counts, contexts, tokens, types, strengths)
+                automaton = Automaton(first, grams, counts, train_docs, tokens, types, strengths)
                 add = lambda x: np.add.reduceat(x, first[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column("_id"), pa.array(~learn), pa.array(np.diff(first)), pa.array(add((counts[0] > 0).astype(np.int64))),
-                        pa.array(np.full(len(learn), tokens)), pa.array(add(automaton.base)), pa.array(add(automaton.walk())),
+                        pa.array(np.full(len(learn), tokens)), pa.array(add(automaton.base)), pa.array(automaton.walk()),
                     ],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )

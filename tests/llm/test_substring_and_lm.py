@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from candlewick.llm.common import Words
-from candlewick.llm.lm_score import Automaton, lm_scores, squeezed, unsqueezed
+from candlewick.llm.lm_score import Automaton, lm_scores, squeezed, token_grams, unsqueezed
 from candlewick.llm.substring import chained, dedup_substrings, least
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -144,14 +144,60 @@ def test_registered_query_learns_trigrams(spark, frame, tmp_path):
     assert all(got[i] > pair[i] + 0.2 for i in range(400))
 
 
+def automaton_of(texts, learn, strengths):
+    """Automaton of texts of which some teach, and their tokens."""
+    first, grams = token_grams([t.encode() for t in texts], len(strengths) + 1)
+    trained = np.repeat(np.array(learn, dtype=bool), np.diff(first))
+    counts = []
+    for k, g in enumerate(grams, 1):
+        n = Counter(x for x in g[trained].tolist() if x or k < 3)
+        counts.append(np.array([n[x] if x or k < 3 else 0 for x in g.tolist()], dtype=np.int64))
+    known = {x: c for x, c in zip(grams[0].tolist(), counts[0].tolist()) if c}
+    return Automaton(first, grams, counts, sum(learn), sum(known.values()), len(known), strengths)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_reading_heads_carry_the_state(order):
+    rnd = random.Random(order)
+    texts = [" ".join(rnd.choice("abcdefg") for _ in range(rnd.randrange(60))) for _ in range(30)] + ["", "z", "z z z z a b", "a"]
+    learn = [i % 3 != 2 for i in range(len(texts))]
+    model = automaton_of(texts, learn, (4.0, 2.0, 1.0)[: order - 1])
+    rows = [(3 * i, t, "") for i, t in enumerate(texts)]
+    whole = model.walk()
+    for lane in (1, 2, 7, 50):
+        assert model.walk(lane) == pytest.approx(whole, rel=1e-12)
+    if order == 1:
+        assert whole == pytest.approx(np.add.reduceat(model.base, model.first[:-1]), rel=1e-12)
+    # one head, token by token, against the chain of failures spelled out
+    arcs = {k: (w, t) for k, w, t in zip(model.keys.tolist(), model.weights.tolist(), model.targets.tolist())}
+    for n in range(len(rows)):
+        state, total = min(1, order - 1), 0.0
+        for token in model.token[model.first[n] : model.first[n + 1]].tolist():
+            while state and (state << 32 | token) not in arcs:
+                total += model.fail_weight[state]
+                assert model.fail_to[state] != state
+                state = int(model.fail_to[state])
+            if state:
+                weight, state = arcs[state << 32 | token]
+            else:
+                weight, state = model.root_weight[token], int(model.root_to[token])
+            total += weight
+        assert total == pytest.approx(whole[n], rel=1e-12)
+
+
 def test_one_strength_for_each_order(frame):
-    one = lambda *v: [np.array([x]) for x in v]
-    p1 = 6 / 15
-    p2 = (3 + 9 * p1) / (4 + 9)
-    seen = Automaton(one(5, 3, 2), one(4, 3), 10, 4, (9.0, 2.0)).walk()
-    failed = Automaton(one(5, 3, 0), one(4, 3), 10, 4, (9.0, 2.0)).walk()
-    assert seen[0] == pytest.approx(math.log10((2 + 2 * p2) / (3 + 2)))
-    assert failed[0] == pytest.approx(math.log10(2 / 5 * p2))
+    # p(b) of 10 tokens, then after a, then after the start and a
+    model = automaton_of(["a b", "a b", "a c", "b", "a b"], [True] * 4 + [False], (9.0, 2.0))
+    p1 = (3 + 1) / (11 + 4 + 1)
+    p2 = (2 + 9 * p1) / (3 + 9)
+    p3 = (2 + 2 * p2) / (3 + 2)
+    state, first = model.step(np.array([1]), model.token[:1])
+    state, second = model.step(state, model.token[1:2])
+    assert second[0] == pytest.approx(math.log10(p3))
+    # c never follows b: fails from (a, b) to b and from there to the root
+    c = model.token[model.first[2] + 1 : model.first[2] + 2]
+    _, failed = model.step(state, c)
+    assert failed[0] == pytest.approx(math.log10(2 / (2 + 2) * 9 / (3 + 9) * 2 / 16))
     with pytest.raises(ValueError):
         lm_scores(frame(SCHEMA, []), order=3, strength=(9.0,))
 
