@@ -50,25 +50,88 @@ PLACE = "array<struct<start: int, kind: int, end: int>>"
 SPAN = "array<struct<start: int, end: int, text: string>>"
 
 
+#: Elements of an array that are worked on together, and code points of a piece
+#: of text: work on a text grows with its length and matches, not their product.
+RUN, PIECE = 64, 4096
+
+
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once (the variable of a lambda)."""
+    return F.transform(F.array(value), use)[0]
+
+
+def runs(values: Column) -> Column:
+    """An array, not empty, as an array of arrays of up to RUN elements."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / RUN).cast("int")), lambda i: F.slice(values, i * RUN + 1, RUN))
+
+
+def carried(values: Column, first: Column, step, kind: str) -> Column:
+    """What a fold over ``values`` has before each of them (one more at the end)."""
+    start = F.struct(first.alias("now"), F.array(first).alias("all"))
+
+    def add(state, v):
+        now = step(state["now"], v)
+        return F.struct(now.alias("now"), F.concat(state["all"], F.array(now)).alias("all"))
+
+    return F.aggregate(values, start, add, lambda state: state["all"].cast(f"array<{kind}>"))
+
+
+def pieces(text: Column) -> Column:
+    """A text in pieces of PIECE code points."""
+    return F.when(F.length(text) <= PIECE, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % PIECE), F.lit(0)))
+
+
+def stretch(parts: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` of a text given in pieces."""
+    a, b = F.floor(start / PIECE).cast("int"), F.floor(end / PIECE).cast("int")
+    at = start % PIECE + 1
+    head, tail = F.coalesce(F.get(parts, a), F.lit("")), F.coalesce(F.get(parts, b), F.lit(""))
+    middle = F.when(b > a + 1, F.array_join(F.slice(parts, a + 2, F.greatest(b - a - 1, F.lit(0))), "")).otherwise(F.lit(""))
+    return F.when(a == b, F.substring(head, at, end - start)).otherwise(F.concat(F.substring(head, at, F.lit(PIECE)), middle, F.substring(tail, F.lit(1), end % PIECE)))
+
+
 def found(text: Column, expression: str, guard: Column) -> Column:
     """Matches with code-point offsets: what stands between the matches gives
-    their places."""
+    their places, counted in runs of matches and then over the runs."""
     none = F.array().cast(SPAN)
     hits = F.when(guard, F.regexp_extract_all(text, F.lit(expression), F.lit(0))).otherwise(F.array().cast("array<string>"))
     between = F.split(text, expression, -1)
-    first = F.struct(F.lit(0).alias("pos"), none.alias("out"))
+    size = lambda p: F.length(p["gap"]) + F.length(p["hit"])
+
+    def spans(run, before):  # of a run that begins at ``before``
+        ends = carried(run, before, lambda now, p: now + size(p), "int")
+        return F.zip_with(run, F.slice(ends, 2, RUN), lambda p, end: F.struct((end - F.length(p["hit"])).alias("start"), end.alias("end"), p["hit"].alias("text")))
+
+    def placed(blocks):
+        lengths = F.transform(blocks, lambda run: F.aggregate(run, F.lit(0), lambda n, p: n + size(p)))
+        begins = F.slice(carried(lengths, F.lit(0), lambda now, n: now + n, "int"), F.lit(1), F.size(blocks))
+        return F.flatten(F.zip_with(blocks, begins, spans))
+
+    def paired(h):
+        return runs_of(F.arrays_zip(F.slice(between, 1, F.size(h)).alias("gap"), h.alias("hit")))
+
+    def runs_of(pairs):
+        return bound(pairs, lambda p: bound(runs(p), placed))
+
+    # bound, the matches are searched once
+    return bound(hits, lambda h: F.when(F.size(h) > 0, paired(h)).otherwise(none))
 
-    def add(state, pair):
-        start = state["pos"] + F.length(pair["gap"])
-        end = start + F.length(pair["hit"])
-        return F.struct(end.alias("pos"), F.concat(state["out"], F.array(F.struct(start.alias("start"), end.alias("end"), pair["hit"].alias("text")))).alias("out"))
 
-    def placed(h):
-        gaps = F.slice(between, 1, F.size(h))
-        return F.aggregate(F.arrays_zip(gaps.alias("gap"), h.alias("hit")), first, add, lambda s: s["out"])
+def free_of(tokens: Column, spans: Column) -> Column:
+    """The tokens that overlap none of the spans (each has start and end): runs
+    of both meet where their ranges do."""
 
-    # the one-element transform names the matches, so they are searched once
-    return F.transform(F.array(hits), lambda h: F.when(F.size(h) > 0, placed(h)).otherwise(none))[0]
+    def ranged(values):
+        return F.transform(runs(values), lambda r: F.struct(F.array_min(F.transform(r, lambda s: s["start"])).alias("start"), F.array_max(F.transform(r, lambda s: s["end"])).alias("end"), r.alias("all")))
+
+    meets = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+    def left(run, blocks):
+        near = F.flatten(F.transform(F.filter(blocks, lambda b: meets(run, b)), lambda b: b["all"]))
+        return bound(near, lambda n: F.filter(run["all"], lambda t: ~F.exists(n, lambda s: meets(t, s))))
+
+    kept = bound(ranged(spans), lambda blocks: F.flatten(F.transform(ranged(tokens), lambda run: left(run, blocks))))
+    return F.when((F.size(tokens) > 0) & (F.size(spans) > 0), kept).otherwise(tokens)
 
 
 def digits(text: Column) -> Column:
@@ -117,11 +180,11 @@ def count_of(i: int) -> Column:
     return F.size(F.filter("base", lambda b: b["kind"] == i)).cast("long").alias(f"n_{KINDS[i]}")
 
 
-def left_context(text: Column, start: Column, words: int, reach: int) -> Column:
-    """The last ``words`` words within ``reach`` characters before ``start``
-    (and what touches it), lower-cased, digits as 0; a '^' first where the text
+def left_context(parts: Column, start: Column, words: int, reach: int) -> Column:
+    """The last ``words`` words within ``reach`` characters before ``start`` of
+    a text in pieces (and what touches it), lower-cased, digits as 0; a '^' first where the text
     begins before there are as many."""
-    before = F.substring(text, F.greatest(start - reach, F.lit(0)) + 1, F.least(start, F.lit(reach)))
+    before = stretch(parts, F.greatest(start - reach, F.lit(0)), start)
     plain = F.regexp_replace(F.lower(before), "[0-9]", "0")
     tail = F.regexp_extract(plain, r"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){0,%d}[^\x20\x09-\x0D]*$" % words, 0)
     parts = F.filter(F.split(tail, r"[\x20\x09-\x0D]+"), lambda w: w != "")
@@ -140,13 +203,13 @@ def occurrence_table(rows: DataFrame, words: int, reach: int, scratch: Scratch)
     runs and groups, also where a group holds such a run."""
     rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
     rows = rows.withColumn("base", base_spans(F.col("text"))).withColumn("tokens", F.concat(found(F.col("text"), TOKEN, F.lit(True)), grouped(F.col("text"))))
-    free = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    rows = rows.withColumn("free", free_of(F.col("tokens"), F.col("base"))).withColumn("pieces", pieces(F.col("text")))
 
     def entry(s, kind):
-        context = left_context(F.col("text"), s["start"], words, reach)
+        context = left_context(F.col("pieces"), s["start"], words, reach)
         return F.struct(s["start"].alias("start"), kind.cast("int").alias("kind"), s["end"].alias("end"), s["text"].alias("text"), context.alias("context"))
 
-    seen = F.concat(F.transform("base", lambda b: entry(b, b["kind"])), F.transform(free, lambda t: entry(t, F.lit(None))))
+    seen = F.concat(F.transform("base", lambda b: entry(b, b["kind"])), F.transform("free", lambda t: entry(t, F.lit(None))))
     narrow = F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["kind"].alias("kind"), b["end"].alias("end")))
     return scratch.table(rows.select("row", "doc_id", narrow.alias("base"), seen.alias("seen")))
 
@@ -242,14 +305,21 @@ def redact(docs: DataFrame, words: int = 2, reach: int = 40, rounds: int = 3, re
     names = F.array(*[F.lit(f"<{k}>") for k in KINDS])
     text = F.col(text_at).cast("string")
 
-    def cut(state, s):  # keep what stands before a span; overlapping spans only move the end
-        before = F.substring(text, state["to"] + 1, s["start"] - state["to"])
-        more = F.array(before, F.get(names, s["kind"]))
-        out = F.when(s["start"] >= state["to"], F.concat(state["out"], more)).otherwise(state["out"])
-        return F.struct(F.greatest(state["to"], s["end"]).alias("to"), out.alias("out"))
+    def cut(parts, spans):  # overlapping spans only move the end of the first
+        tops = lambda run: F.array_max(F.transform(run, lambda x: x["end"]))
+
+        def pairs(run, before):  # what each span that begins a stretch brings: the text before it and its name
+            ends = carried(run, before, lambda now, x: F.greatest(now, x["end"]), "int")
+            both = F.arrays_zip(run.alias("span"), F.slice(ends, F.lit(1), F.size(run)).alias("to"))
+            heads = F.filter(both, lambda p: p["span"]["start"] >= p["to"])
+            return F.array_join(F.transform(heads, lambda p: F.concat(stretch(parts, p["to"], p["span"]["start"]), F.get(names, p["span"]["kind"]))), "")
+
+        def joined(blocks):
+            to = carried(F.transform(blocks, tops), F.lit(0), lambda now, top: F.greatest(now, top), "int")
+            return bound(to, lambda t: F.concat(F.array_join(F.zip_with(blocks, F.slice(t, F.lit(1), F.size(blocks)), pairs), ""), stretch(parts, F.element_at(t, -1), F.length(text))))
+
+        return bound(runs(spans), joined)
 
-    first = F.struct(F.lit(0).alias("to"), F.array().cast("array<string>").alias("out"))
-    last = lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["to"] + 1, F.length(text)))
-    clean = F.when(F.col("spans").isNull(), text).otherwise(F.aggregate("spans", first, cut, last))
+    clean = F.when(F.col("spans").isNull(), text).otherwise(bound(pieces(text), lambda parts: cut(parts, F.col("spans"))))
     out = kept.join(marked, "_chunk", "left").withColumn("spans", own)
     return out.select(*[clean.alias(c) if c == text_at else F.col(c) for c in renamed.columns]).toDF(*docs.columns)

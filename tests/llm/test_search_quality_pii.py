@@ -10,8 +10,8 @@ import pytest
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.llm.common import Words, mix
-from candlewick.llm.pii import find_personal_data, redact
+from candlewick.llm.common import Scratch, Words, mix
+from candlewick.llm.pii import LED, find_personal_data, occurrence_table, redact
 from candlewick.llm.quality import Model, bag, features, quality_scores
 from candlewick.llm.topk import top_inner_products
 
@@ -286,6 +286,96 @@ def test_redaction(frame):
     assert redact(df.limit(0)).count() == 0 and find_personal_data(df.limit(0)).count() == 0
 
 
+def test_texts_with_many_matches(frame):
+    rnd = random.Random(4)
+    bits = ["é@b.c", "u{}@mail-1.ex.com", "1.2.3.{}", "4111 1111 1111 1111", "+1 (375) 555-4{:03}", "+1.2.3.4 5678{:03}", "x" * 9000, "key 1234567{}", "né", "a\nb"]
+    many = " ".join(rnd.choice(bits).format(i % 200) for i in range(6000))
+    rows = [(1, many, ""), (2, "a b", ""), (3, "u1@b.c " * 12000, ""), (4, "😀" * 4095 + " z@b.c " + "é" * 4090 + "7.7.7.7 end", ""), (5, "9" * 8191 + " 1.2.3.4 " + "-" * 70000, "")]
+    got = {r["doc_id"]: r["spans"] for r in find_personal_data(frame("doc_id long, text string, spans string", rows)).collect()}
+    clean = {r["doc_id"]: r["text"] for r in redact(frame("doc_id long, text string, spans string", rows)).collect()}
+    for i, t, _ in rows:
+        base = {f"{k}:{s}:{e}" for s, _, e, k in brute_spans(t)}
+        assert base <= set(got[i].split(",")) | {""}
+        want, to = [], 0
+        for k, a, b in (s.split(":") for s in got[i].split(",") if s):
+            if int(a) >= to:
+                want += [t[to : int(a)], f"<{k}>"]
+            to = max(to, int(b))
+        assert clean[i] == "".join(want) + t[to:]
+    assert got[3].count("email") == 12000
+
+
+def brute_added(seen, rounds, reliable, support):
+    """Spans that scoring the graph adds, by plain loops over (row, start, kind,
+    end, text, context)."""
+    whole, edges, totals = Counter(), Counter(), Counter()
+    for _, _, kind, _, text, context in seen:
+        again = kind is None and re.match(LED, text)
+        whole[("@ " if "@" in text else "# ") + context, text, kind] += 0 if again else 1
+
+    def short(pattern):
+        last = pattern[2:].rpartition(" ")[2] if " " in pattern[2:] else ""
+        return [pattern[0] + "~" + last] if last else []
+
+    for (p, t, k), n in whole.items():
+        for q in [p, *short(p)]:
+            edges[q, t, k] += n
+            totals[q] += n
+    seeds = {(t, k) for _, t, k in whole if k is not None}
+    waiting = {(p, t) for p, t, k in whole if k is None}
+    same = {(t, k): 1.0 for t, k in seeds if t in {t for _, t in waiting}}
+    beliefs = dict(same)
+    for _ in range(rounds):
+        votes, belief = Counter(), {}
+        for (q, t, k), n in edges.items():
+            for kind, b in [(k, 1.0)] if k is not None else [(x, b) for (u, x), b in beliefs.items() if u == t and n > 0]:
+                votes[q, kind] += n * b
+                belief[q, kind, t] = max(b, belief.get((q, kind, t), 0.0))
+        backing = Counter()
+        for (q, kind, _), b in belief.items():
+            backing[q, kind] += b
+        score = defaultdict(dict)
+        for (q, kind), b in backing.items():
+            if b >= support:
+                score[q][kind] = votes[q, kind] / (totals[q] + 1)
+        beliefs = dict(same)
+        for p, t in waiting:
+            heard = next((score[q] for q in [p, *short(p)] if score.get(q)), {})
+            for kind, x in heard.items():
+                beliefs[t, kind] = max(x, beliefs.get((t, kind), 0.0))
+    best = {}
+    for (t, k), b in beliefs.items():
+        if b >= reliable:
+            best[t] = min(best.get(t, (0, 0)), (-b, k))
+    out, to = set(), {}
+    for row, start, _, end, text, _ in sorted((s for s in seen if s[2] is None and s[4] in best), key=lambda s: (s[0], s[1], -s[3])):
+        if start >= to.get(row, 0):
+            out.add((row, list(KINDS)[best[text][1]], start, end))
+        if " " in text:
+            to[row] = max(end, to.get(row, 0))
+    return out
+
+
+@pytest.mark.parametrize("seed,reliable,support,rounds", [(1, 0.6, 3, 3), (2, 0.4, 2, 1), (3, 0.5, 4, 5)])
+def test_graph_scores_equal_plain_loops(spark, frame, seed, reliable, support, rounds):
+    rnd = random.Random(seed)
+    values = [f"u{i}@ex.com" for i in range(12)] + [f"root{i}@host" for i in range(9)] + [f"10.0.0.{i}" for i in range(8)] + [f"55512{i}34" for i in range(6)]
+    values += ["4111 1111 1111 1111", "4111 1111 1111 1112", "12345 678", "+1 (375) 555-4393", "(375) 555 4393", "10.0.0.300"]
+    contexts = ["write to", "mail to", "server", "the host", "card no", "call me at", "it is", ""]
+    rows = [(i, " and so ".join(f"{rnd.choice(contexts)} {rnd.choice(values[i % 3 :: 2])}" for _ in range(rnd.randrange(1, 6))), "") for i in range(250)]
+    rows += bootstrap_rows()
+    rows = [(n, t, "") for n, (_, t, _) in enumerate(rows)]
+    df = frame("doc_id long, text string, spans string", rows)
+    table = occurrence_table(df.selectExpr("doc_id as row", "doc_id", "text"), 2, 40, Scratch(spark))
+    seen = [(r["row"], *(r["s"][c] for c in ("start", "kind", "end", "text", "context"))) for r in table.select("row", F.explode("seen").alias("s")).collect()]
+    want = brute_added(seen, rounds, reliable, support)
+    got = set()
+    for r in find_personal_data(df, rounds=rounds, reliable=reliable, support=support).collect():
+        base = {f"{k}:{s}:{e}" for s, _, e, k in brute_spans(rows[r["doc_id"]][1])}
+        got |= {(r["doc_id"], k, int(a), int(b)) for k, a, b in (s.split(":") for s in r["spans"].split(",") if s and s not in base)}
+    assert got == want and len(want) > 5
+
+
 @pytest.mark.parametrize("big", [1e38, 1e9])
 def test_scores_beyond_a_long_are_an_error(frame, big):
     from candlewick.llm.topk import top_inner_products
